@@ -104,3 +104,20 @@ def polygon_area(rings: Column | str) -> Column:
     return F.abs(
         F.aggregate(as_column(rings), F.lit(0.0), lambda total, r: total + signed_ring_area(r))
     )
+
+
+def parts(rings: Column | str) -> Column:
+    """Oriented rings as separate polygons: each counter-clockwise ring starts one
+    and takes the clockwise rings (holes) after it."""
+    column = as_column(rings)
+
+    def add(done: Column, ring: Column) -> Column:
+        opened = F.concat(done, F.array(F.array(ring)))
+        grown = F.concat(
+            F.slice(done, F.lit(1), F.size(done) - 1),
+            F.array(F.concat(F.element_at(done, -1), F.array(ring))),
+        )
+        starts = (F.size(done) == 0) | (signed_ring_area(ring) >= 0)
+        return F.when(starts, opened).otherwise(grown)
+
+    return F.aggregate(column, F.array().cast(f"array<{RINGS_TYPE}>"), add)

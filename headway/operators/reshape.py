@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.missing import quoted
@@ -19,13 +19,15 @@ def pivot_wider(
     names_from: str,
     values_from: Sequence[str],
     names: Sequence[str] | None = None,
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """One row per ``ids`` with a column per name (and value).
 
     Several value columns give ``{value}_{name}``, a single one plain ``{name}``;
     absent cells are missing. A repeated (ids, name) pair fails the query: it has
     no single cell value. The result is one aggregation by ``ids``, so nothing is
-    shuffled a second time. Give ``names`` for a schema that is fixed ahead.
+    shuffled a second time. Give ``names`` for a schema that is fixed ahead;
+    ``extra`` adds further aggregates of the same groups.
     """
     name = F.col(quoted(names_from))
     if names is None:
@@ -44,4 +46,6 @@ def pivot_wider(
                 .otherwise(F.max(F.when(here, F.col(quoted(value)))))
                 .alias(out)
             )
+    for out, aggregate in (extra or {}).items():
+        cells.append(aggregate.alias(out))
     return df.groupBy(*[F.col(quoted(c)) for c in ids]).agg(*cells)

@@ -212,7 +212,7 @@ def spatial_join(
     ).withMetadata("rings", {"epsg": crs_of(polygons)})
 
 
-def count_in(
+def totals_in(
     polygons: DataFrame,
     points: DataFrame,
     key: str,
@@ -220,16 +220,26 @@ def count_in(
     by: Sequence[str] = (),
     name: str = "total",
 ) -> DataFrame:
-    """Polygons with the number of points in them, or the sum of a point column.
+    """Points (or the sum of a point column) per polygon that holds any.
 
-    Points at one place are added up before the spatial join; polygons without
-    points stay, with a missing total.
+    Points at one place are added up before the spatial join, so a place with
+    very many rows is tested once per ``by`` group.
     """
     amount = F.count(F.lit(1)) if value is None else F.coalesce(F.sum(quoted(value)), F.lit(0))
-    epsg = crs_of(points)
     groups = [F.col(quoted(c)) for c in by]
     places = points.groupBy(*groups, "x", "y").agg(amount.alias("__amount"))
-    places = as_points(places, "x", "y", epsg)
+    places = as_points(places, "x", "y", crs_of(points))
     hits = spatial_join(places, polygons.select(quoted(key), "rings"), "within", how="inner")
-    totals = hits.groupBy(quoted(key), *groups).agg(F.sum("__amount").alias(name))
-    return join(polygons, totals, by=key, how="left")
+    return hits.groupBy(quoted(key), *groups).agg(F.sum("__amount").alias(name))
+
+
+def count_in(
+    polygons: DataFrame,
+    points: DataFrame,
+    key: str,
+    value: str | None = None,
+    by: Sequence[str] = (),
+    name: str = "total",
+) -> DataFrame:
+    """Every polygon with its total; without points it stays, the total missing."""
+    return join(polygons, totals_in(polygons, points, key, value, by, name), by=key, how="left")
