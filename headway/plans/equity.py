@@ -15,6 +15,7 @@ from headway.operators.joins import join
 from headway.operators.ranking import ntile
 from headway.operators.reshape import pivot_wider
 from headway.operators.spatial import spatial_join
+from headway.session import durable
 
 # Survey variables by the name used here.
 VARIABLES = {
@@ -104,7 +105,8 @@ def area_scores(
     ``keep_all_areas`` starts from the areas: those without estimates stay with
     missing scores, estimates of other areas are left out.
     """
-    measures = area_measures(acs)
+    # One row per area: written once, so ranking does not read the survey again.
+    measures = durable(area_measures(acs))
     if keep_all_areas:
         measures = join(areas.select("geoid"), measures, by="geoid", how="left")
     quintiles = ntile(measures, {q: m for m, q, _ in MEASURES}, 5, tiebreak=["geoid"])
@@ -134,9 +136,13 @@ def scored_areas(areas: DataFrame, scores: DataFrame) -> DataFrame:
     return join(areas, scores, by="geoid", how="left")
 
 
-def stop_scores(stops: DataFrame, areas: DataFrame) -> DataFrame:
-    """Stops with the scores of the area they lie in; stops in no area are left out."""
-    return drop_na(clean_names(spatial_join(stops, areas, "within")), ["geoid"])
+def stop_scores(stops: DataFrame, areas: DataFrame, scores: DataFrame) -> DataFrame:
+    """Stops with the scores of the area they lie in; stops in no area are left out.
+
+    The shapes travel with the area id only; scores follow by that id.
+    """
+    located = spatial_join(stops, areas.select("geoid", "rings"), "within")
+    return join(drop_na(clean_names(located), ["geoid"]), scores, by="geoid", how="left")
 
 
 def route_index(scored_stops: DataFrame) -> DataFrame:
@@ -148,8 +154,11 @@ def route_index(scored_stops: DataFrame) -> DataFrame:
         count_where(is_in(score, [5])).alias("equity_stops_count"),
         count_where(is_in(score, [1, 2, 3, 4]) | score.isNull()).alias("non_equity_stops_count"),
     )
-    share = per_route.withColumn(
-        "percent_stops_in_priority_bg", ratio_half_even("equity_stops_count", "total_stop_count")
+    share = durable(
+        per_route.withColumn(
+            "percent_stops_in_priority_bg",
+            ratio_half_even("equity_stops_count", "total_stop_count"),
+        )
     )
     return ntile(
         share,

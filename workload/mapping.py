@@ -192,8 +192,8 @@ FROM {supplier}
 # Job points near the areas, in the equal-area metre system.
 JOBS = """
 SELECT c_custkey, c_custkey % 7 AS cd01, c_custkey % 5 AS cd02,
-  cast(-1950000 + c_custkey % 1000 * 45 AS double) AS px,
-  cast(1290000 + c_custkey * 37 % 1000 * 61 AS double) AS py
+  cast(-1984000 + c_custkey % 1000 * 45 AS double) AS px,
+  cast(1352000 + c_custkey * 37 % 1000 * 17 AS double) AS py
 FROM {customer}
 """
 

@@ -585,7 +585,7 @@ def project_lcc(t):
 @query
 def project_albers_inverse(t):
     points = spatial.project(spatial.as_points(t.view(m.JOBS), "px", "py", 102003), 4326)
-    return points.select("c_custkey", F.round("x", 9).alias("lon"), F.round("y", 9).alias("lat"))
+    return points.select("c_custkey", F.round("x", 6).alias("lon"), F.round("y", 6).alias("lat"))
 
 
 @query
@@ -691,6 +691,14 @@ def equity_score(t):
     return _rounded_scores(equity.area_scores(t.view(m.ACS), 2019))
 
 
+@query
+def scored_areas(t):
+    shapes = equity.scored_areas(
+        t.areas(m.AREAS_FEET, 2926), equity.area_scores(t.view(m.ACS), 2019)
+    )
+    return shapes.select("geoid", F.size("rings").alias("rings"), "final_score")
+
+
 @query
 def equity_score_all_areas(t):
     every = columns.bind_rows(
@@ -712,7 +720,7 @@ def stops_by_route(t):
 def _scored_stops(t):
     areas = spatial.project(t.areas(m.AREAS_DEGREES, 4326), 2926)
     scores = equity.area_scores(t.view(m.ACS), 2019)
-    return equity.stop_scores(_feed_stops(t), equity.scored_areas(areas, scores))
+    return equity.stop_scores(_feed_stops(t), areas, scores)
 
 
 @query
