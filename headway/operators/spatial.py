@@ -24,6 +24,8 @@ GEOMETRY = ("x", "y", "rings")
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_BYTES = 256
 SIDE_BYTES = 40
+# Cell number of points without a position; no polygon covers it.
+NO_CELL = -(2**63)
 # The grid rule of `grid_size` keeps the cells below this many per polygon.
 CELLS_PER_POLYGON = 9
 
@@ -111,9 +113,19 @@ def _cell(value: Column, size: float) -> Column:
 
 
 def _gridded(polygons: DataFrame, size: float) -> DataFrame:
-    """One row per polygon and cell, with the segments that matter in its band."""
+    """One row per polygon and cell, with the segments that matter in its band.
+
+    Box limits that cannot be missing keep the optimizer from adding a null filter
+    that would work out the box again; a polygon without shape has a NaN box.
+    """
+    limits = F.struct(
+        *[
+            F.coalesce(box("rings")[side], F.lit(float("nan"))).alias(side)
+            for side in ("xmin", "ymin", "xmax", "ymax")
+        ]
+    )
     laid = (
-        polygons.withColumns({"__box": box("rings"), "__sides": edges("rings")})
+        polygons.withColumns({"__box": limits, "__sides": edges("rings")})
         .withColumn(
             "__cx",
             F.explode(
@@ -178,14 +190,19 @@ def spatial_join(
     cells = _gridded(shapes, size)
     if points_first:
         cells = cells.drop("rings")
+    # Columns that cannot be missing, so that no null filter repeats the (possibly
+    # long) coordinate expressions below the join. NaN lies in no box.
+    nowhere = F.lit(float("nan"))
     placed = points.select(
         *[F.col(quoted(c)).alias(point_out[c]) for c in point_out],
         "x",
         "y",
-        _cell(F.col("x"), size).alias("__px"),
-        _cell(F.col("y"), size).alias("__py"),
+        F.coalesce("x", nowhere).alias("__x"),
+        F.coalesce("y", nowhere).alias("__y"),
+        F.coalesce(_cell(F.col("x"), size), F.lit(NO_CELL)).alias("__px"),
+        F.coalesce(_cell(F.col("y"), size), F.lit(NO_CELL)).alias("__py"),
     )
-    x, y, b = F.col("x"), F.col("y"), F.col("__box")
+    x, y, b = F.col("__x"), F.col("__y"), F.col("__box")
     holds = (
         (F.col("__px") == F.col("__cx"))
         & (F.col("__py") == F.col("__cy"))
