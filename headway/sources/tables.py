@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import DataType, StringType, StructType
 
 from headway.functions.missing import quoted
 
@@ -62,7 +62,7 @@ def guess_schema(df: DataFrame) -> StructType:
     for i, name in enumerate(df.columns):
         present = counts[f"{i}:n"]
         fitting = [k for k, _ in GUESSES if present and counts[f"{i}:{k}"] == present]
-        schema = schema.add(name, fitting[0] if fitting else "string")
+        schema = schema.add(name, DataType.fromDDL(fitting[0] if fitting else "string"))
     return schema
 
 
