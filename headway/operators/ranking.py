@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from headway.functions.missing import quoted
 from headway.operators.joins import join
@@ -162,30 +163,40 @@ def _ntile_by_cuts(df, columns, n, keys, tiebreak) -> DataFrame:
         ["__value", *tiebreak],
         starts,
     )
-    start = F.struct(F.col("__value"), *_cols(tiebreak))
+    types = {name: df.schema[name].dataType for name in tiebreak}
+    types["__value"] = DoubleType()
+    ties = ["__value", *tiebreak]
     cuts = {out: [f"__cut_{out}_{b}" for b in range(1, n)] for out in columns}
-    table = found.groupBy(*_cols(keys)).agg(
-        *[
-            F.max(
-                F.when((F.col("__out") == out) & (F.col("__label") == str(b)), start)
-            ).alias(cut)
-            for out in columns
-            for b, cut in enumerate(cuts[out], start=1)
-        ]
-    )
     if keys:
+        start = F.struct(*_cols(ties))
+        table = found.groupBy(*_cols(keys)).agg(
+            *[
+                F.max(
+                    F.when((F.col("__out") == out) & (F.col("__label") == str(b)), start)
+                ).alias(cut)
+                for out in columns
+                for b, cut in enumerate(cuts[out], start=1)
+            ]
+        )
         placed = join(df, table, by=list(keys), how="left")
         cut_of = {cut: F.col(quoted(cut)) for names in cuts.values() for cut in names}
     else:
+        # n - 1 rows per column: small enough to become literals of the last pass.
         placed = df
-        all_cuts = table.select(F.struct(*_cols(table.columns))).scalar()
-        cut_of = {cut: all_cuts[cut] for names in cuts.values() for cut in names}
+        texts = [F.col(quoted(c)).cast("string").alias(c) for c in ties]
+        cut_of = {
+            f"__cut_{row['__out']}_{row['__label']}": F.struct(
+                *[F.lit(row[c]).cast(types[c]).alias(c) for c in ties]
+            )
+            for row in found.select("__out", "__label", *texts).collect()
+        }
     results = {}
     for out, name in columns.items():
         own = F.struct(F.col(quoted(name)).cast("double").alias("__value"), *_cols(tiebreak))
         bucket = F.lit(1)
         for cut in cuts[out]:
-            bucket = bucket + F.when(cut_of[cut] <= own, 1).otherwise(0)
+            if cut in cut_of:
+                bucket = bucket + F.when(cut_of[cut] <= own, 1).otherwise(0)
         results[out] = F.when(_present(df, name), bucket)
     return placed.withColumns(results).select(
         *_cols(df.columns), *_cols([o for o in columns if o not in df.columns])
