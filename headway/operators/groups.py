@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from headway.functions.missing import quoted
 from headway.operators.joins import join
-from headway.operators.ranking import GROUP_LIMIT, largest_group, rows_at_ranks
+from headway.operators.ranking import (
+    GROUP_LIMIT,
+    MAP_SIDE_ROWS,
+    largest_group,
+    rows_at_ranks,
+)
 
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> DataFrame:
@@ -35,15 +40,25 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     return numbered.where(F.col("__row") == 1).drop("__row")
 
 
-def nth_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int
-) -> DataFrame:
-    """The row at position ``n`` (from 1) of every group that has as many rows."""
-    target = lambda total: F.array(
-        F.struct(F.lit("nth").alias("label"), F.lit(n).cast("long").alias("rank"))
-    )
-    found = rows_at_ranks(df.select(*[quoted(c) for c in [*keys, *order]]), keys, order, target)
-    return found.select(*[quoted(k) for k in keys], *[quoted(c) for c in order if c not in keys])
+def nth_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """Keys and order columns of the row at position ``n`` (from 1) of every group
+    that has as many rows."""
+    names = [*keys, *[c for c in order if c not in keys]]
+    rows = df.select(*[F.col(quoted(c)) for c in names])
+    if n <= MAP_SIDE_ROWS:
+        window = Window.partitionBy(*[F.col(quoted(k)) for k in keys]).orderBy(
+            *[F.col(quoted(c)) for c in order]
+        )
+        numbered = rows.withColumn("__row", F.row_number().over(window))
+        first = numbered.where(F.col("__row") <= n)
+        return first.where(F.col("__row") == n).drop("__row")
+
+    def place(total: Column) -> Column:
+        return F.array(
+            F.struct(F.lit("nth").alias("label"), F.lit(n).cast("long").alias("rank"))
+        )
+
+    return rows_at_ranks(rows, keys, order, place).select(*[F.col(quoted(c)) for c in names])
 
 
 def quantiles(

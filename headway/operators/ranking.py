@@ -19,6 +19,9 @@ from headway.session import durable
 
 # Largest group, in rows, that may be sorted inside one task.
 GROUP_LIMIT = 2_000_000
+# Most rows per group a map task may pass on; Spark cuts row numbers before the
+# shuffle below spark.sql.optimizer.windowGroupLimitThreshold (1000).
+MAP_SIDE_ROWS = 500
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
@@ -206,12 +209,14 @@ def _ntile_by_cuts(df, columns, n, keys, tiebreak) -> DataFrame:
 def slice_max(df: DataFrame, value: str, n: int, keys: Sequence[str] = ()) -> DataFrame:
     """The ``n`` largest rows per group, with all rows tied with the last one.
 
-    First the n-th largest value of each group is found (each map task sends at
-    most ``n`` rows per group), then the rows reaching it are kept where they are.
+    First the n-th largest value of each group is found, then the rows reaching
+    it are kept where they are, so ties of any number stay spread out.
     """
     column = F.col(quoted(value))
     present = df.where(_present(df, value))
-    if keys:
+    if n > MAP_SIDE_ROWS:
+        least = _nth_largest(present, value, n, keys)
+    elif keys:
         window = Window.partitionBy(*_cols(keys)).orderBy(column.desc())
         top = (
             present.select(*_cols([*keys, value]))
@@ -219,7 +224,23 @@ def slice_max(df: DataFrame, value: str, n: int, keys: Sequence[str] = ()) -> Da
             .where(F.col("__row") <= n)
         )
         least = top.groupBy(*_cols(keys)).agg(F.min(column).alias("__least"))
-        joined = join(present, least, by=list(keys), how="inner")
-        return joined.where(column >= F.col("__least")).drop("__least")
-    top = present.select(column).orderBy(column.desc()).limit(n)
-    return present.where(column >= top.agg(F.min(column)).scalar())
+    else:
+        top = present.select(column).orderBy(column.desc()).limit(n)
+        least = top.agg(F.min(column).alias("__least"))
+    if not keys:
+        return present.where(column >= least.select("__least").scalar())
+    joined = join(present, least, by=list(keys), how="inner")
+    return joined.where(column >= F.col("__least")).drop("__least")
+
+
+def _nth_largest(present: DataFrame, value: str, n: int, keys: Sequence[str]) -> DataFrame:
+    """The n-th largest value per group (the smallest in groups with fewer rows),
+    from the distinct values with their counts."""
+    counted = present.groupBy(*_cols([*keys, value])).agg(F.count(F.lit(1)).alias("__weight"))
+
+    def place(total: Column) -> Column:
+        rank = F.greatest(total - n + 1, F.lit(1))
+        return F.array(F.struct(F.lit("least").alias("label"), rank.cast("long").alias("rank")))
+
+    found = rows_at_ranks(counted, keys, [value], place, weight="__weight")
+    return found.select(*_cols(keys), F.col(quoted(value)).alias("__least"))

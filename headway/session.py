@@ -17,6 +17,16 @@ RUNTIME_CONF = {
 }
 
 
+# Bytes a shuffle partition should hold before adaptive execution merges small ones.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes: int, cores: int) -> int:
+    """Partitions for ``spark.sql.shuffle.partitions``: enough to keep each near
+    128 MiB and every core busy. Adaptive execution only merges, so start high."""
+    return max(cores, -(-input_bytes // PARTITION_BYTES))
+
+
 def build_session(app: str = "headway", master: str | None = None, **conf: str) -> SparkSession:
     """Session for stand-alone use; on a cluster the submitter sets the master."""
     builder = SparkSession.builder.appName(app)

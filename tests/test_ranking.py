@@ -71,7 +71,7 @@ def test_text_and_date_tiebreaks(spark):
     assert [r["q"] for r in got.orderBy("d").collect()] == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
 
 
-def test_top_rows_keep_ties(skewed):
+def test_top_rows_keep_ties(skewed, monkeypatch):
     got = ranking.slice_max(skewed, "v", 3, ["g"])
     skewed.createOrReplaceTempView("skewed")
     expected = skewed.sparkSession.sql(
@@ -80,6 +80,11 @@ def test_top_rows_keep_ties(skewed):
     )
     assert rows(got) == rows(expected)
     assert rows(ranking.slice_max(skewed, "v", 10_000, ["g"])) == rows(skewed.where("v IS NOT NULL"))
+    monkeypatch.setattr(ranking, "MAP_SIDE_ROWS", 0)
+    assert rows(ranking.slice_max(skewed, "v", 3, ["g"])) == rows(expected)
+    assert rows(ranking.slice_max(skewed, "v", 10_000, ["g"])) == rows(skewed.where("v IS NOT NULL"))
+    assert rows(ranking.slice_max(skewed, "id", 2).select("id")) == [(1001,), (1002,)]
+    monkeypatch.undo()
     alone = ranking.slice_max(skewed, "id", 2)
     assert sorted(r["id"] for r in alone.collect()) == [1001, 1002]
 
@@ -111,7 +116,9 @@ def test_quantiles_match_numpy(skewed, limit):
     assert got == {g: pytest.approx(np.quantile(v, 0.37)) for g, v in values.items()}
 
 
-def test_nth_row(skewed):
+@pytest.mark.parametrize("limit", [0, 500])
+def test_nth_row(skewed, monkeypatch, limit):
+    monkeypatch.setattr(groups, "MAP_SIDE_ROWS", limit)
     got = {r["g"]: r["id"] for r in groups.nth_rows(skewed, ["g"], ["id"], 4).collect()}
     ids = {}
     for r in skewed.orderBy("id").collect():

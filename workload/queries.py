@@ -161,7 +161,7 @@ def profile_trips(t):
 
 @query
 def order_two_keys(t):
-    return t.part.select("p_partkey", "p_brand", "p_size").orderBy("p_brand", "p_size")
+    return t.part.select("p_partkey", "p_brand", "p_size").orderBy("p_brand", "p_size", "p_partkey")
 
 
 @query
