@@ -67,20 +67,23 @@ def quantiles(
     value: str,
     probabilities: Mapping[str, float],
     group_limit: int = GROUP_LIMIT,
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact quantiles per group by linear interpolation between order statistics.
 
-    A group with a missing value has missing quantiles. Groups up to
+    A group with a missing value has missing quantiles. With ``weight`` a row
+    stands for that many equal values. Groups up to
     ``group_limit`` rows are aggregated in place; beyond that the distinct values
     with their counts are spread over a range-partitioned sort.
     """
     key_columns = [F.col(quoted(k)) for k in keys]
     column = F.col(quoted(value)).cast("double")
     whole = F.count_if(column.isNull()) == 0
+    times = F.lit(1) if weight is None else F.col(quoted(weight))
     if largest_group(df, keys) <= group_limit:
         return df.groupBy(*key_columns).agg(
             *[
-                F.when(whole, F.percentile(column, F.lit(p))).alias(name)
+                F.when(whole, F.percentile(column, F.lit(p), times)).alias(name)
                 for name, p in probabilities.items()
             ]
         )
@@ -88,7 +91,7 @@ def quantiles(
     counted = (
         df.where(column.isNotNull())
         .groupBy(*key_columns, column.alias("__value"))
-        .agg(F.count(F.lit(1)).alias("__weight"))
+        .agg(F.sum(times).alias("__weight"))
     )
 
     def wanted(total: Column) -> Column:
@@ -137,16 +140,21 @@ def median_absolute_deviation(
     df: DataFrame, keys: Sequence[str], value: str, name: str = "mad",
     group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
-    """1.4826 times the median distance from the group's median."""
-    centre = quantiles(df, keys, value, {"__centre": 0.5}, group_limit)
-    joined = (
-        join(df.select(*[quoted(c) for c in [*keys, value]]), centre, by=list(keys))
-        if keys
-        else df.withColumn("__centre", centre.scalar())
-    )
+    """1.4826 times the median distance from the group's median.
+
+    Both medians work on the distinct values with their counts, which are far
+    fewer than the rows of a large group.
+    """
+    key_columns = [F.col(quoted(k)) for k in keys]
+    column = F.col(quoted(value)).cast("double").alias("__value")
+    counted = df.groupBy(*key_columns, column).agg(F.count(F.lit(1)).alias("__times"))
+    centre = quantiles(counted, keys, "__value", {"__centre": 0.5}, group_limit, "__times")
+    if keys:
+        joined = join(counted, centre, by=list(keys))
+    else:
+        joined = counted.withColumn("__centre", centre.scalar())
     distances = joined.select(
-        *[F.col(quoted(k)) for k in keys],
-        F.abs(F.col(quoted(value)) - F.col("__centre")).alias("__distance"),
+        *key_columns, F.abs(F.col("__value") - F.col("__centre")).alias("__distance"), "__times"
     )
-    spread = quantiles(distances, keys, "__distance", {name: 0.5}, group_limit)
+    spread = quantiles(distances, keys, "__distance", {name: 0.5}, group_limit, "__times")
     return spread.withColumn(name, F.col(quoted(name)) * F.lit(1.4826))
