@@ -60,9 +60,12 @@ FROM {lineitem}
 
 SCHEDULE = """
 SELECT l_orderkey AS TRIP_ID, cast(l_suppkey AS int) AS SERVICE_RTE_NUM,
-  l_linenumber AS SCHED_DAY_TYPE_CODED_NUM, min(l_linestatus) AS EXPRESS_LOCAL_CD,
+  l_linenumber AS SCHED_DAY_TYPE_CODED_NUM,
+  CASE WHEN min(CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END) = 0 THEN 'F' ELSE 'O' END
+    AS EXPRESS_LOCAL_CD,
   213 AS SERVICE_CHANGE_NUM, 0 AS MINOR_CHANGE_NUM, 'S' AS TRIP_KIND_CD,
-  min(CASE WHEN o_orderstatus = 'P' THEN 'DRAFT' ELSE 'FINAL' END) AS WORKING_LOAD_STATUS
+  CASE WHEN max(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) = 1 THEN 'DRAFT' ELSE 'FINAL' END
+    AS WORKING_LOAD_STATUS
 FROM {lineitem} AS l JOIN {orders} AS o ON l_orderkey = o_orderkey
 GROUP BY l_orderkey, l_suppkey, l_linenumber
 """
@@ -80,12 +83,11 @@ FROM {supplier}
 """
 
 DATES = """
-SELECT DISTINCT cast(l_shipdate AS date) AS FULL_DATE,
-  cast(extract(year FROM l_shipdate) AS int) AS CAL_YEAR_NUM,
-  cast(extract(month FROM l_shipdate) AS int) AS CAL_MONTH_IN_YEAR_NUM,
-  CASE extract(<<isodow>> FROM l_shipdate) WHEN 6 THEN 'SA' WHEN 7 THEN 'SU' ELSE 'WK' END
+SELECT FULL_DATE, cast(extract(year FROM FULL_DATE) AS int) AS CAL_YEAR_NUM,
+  cast(extract(month FROM FULL_DATE) AS int) AS CAL_MONTH_IN_YEAR_NUM,
+  CASE extract(<<isodow>> FROM FULL_DATE) WHEN 6 THEN 'SA' WHEN 7 THEN 'SU' ELSE 'WK' END
     AS SERVICE_DAY_TYPE_CODE
-FROM {lineitem}
+FROM (SELECT DISTINCT cast(l_shipdate AS date) AS FULL_DATE FROM {lineitem}) AS days
 """
 
 PLANNERS = """
@@ -113,29 +115,34 @@ SELECT GEOID, NAME, variable,
   CASE WHEN area % 7 = 0 AND variable <> 'pop' THEN 0
     WHEN area % 11 = 5 AND variable = 'lep2' THEN NULL ELSE total END AS estimate, moe
 FROM (
-  SELECT l_suppkey AS area, cast(l_suppkey AS string) AS GEOID, s_name AS NAME,
+  SELECT s_suppkey AS area, cast(s_suppkey AS string) AS GEOID, s_name AS NAME,
     CASE (l_linenumber - 1) * 2 + CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END
       WHEN 0 THEN 'pop' WHEN 1 THEN 'housing' WHEN 2 THEN 'pov1' WHEN 3 THEN 'pov2'
       WHEN 4 THEN 'foreign_born' WHEN 5 THEN 'people_of_color1' WHEN 6 THEN 'people_of_color2'
       WHEN 7 THEN 'lep1' WHEN 8 THEN 'lep2' WHEN 9 THEN 'lep3' WHEN 10 THEN 'lep4'
       WHEN 11 THEN 'disability1' WHEN 12 THEN 'disability2' END AS variable,
-    sum(l_quantity) AS total,
-    cast(sum(cast(l_discount AS decimal(18, 2))) AS double) AS moe
-  FROM {lineitem} AS l JOIN {supplier} AS s ON l_suppkey = s_suppkey
-  GROUP BY 1, 2, 3, 4
+    total, moe
+  FROM (
+    SELECT l_suppkey, l_linenumber, l_linestatus, sum(l_quantity) AS total,
+      cast(sum(cast(l_discount AS decimal(18, 2))) AS double) AS moe
+    FROM {lineitem} GROUP BY l_suppkey, l_linenumber, l_linestatus
+  ) AS l JOIN {supplier} AS s ON l_suppkey = s_suppkey
 ) AS summed
 WHERE variable IS NOT NULL
 """
 
 # Landed survey files: block-group ids, published codes, two years.
 ACS_FILES = """
-SELECT '53033' || lpad(cast(l_suppkey AS string), 7, '0') AS GEOID, s_name AS NAME,
-  CASE l_linenumber WHEN 1 THEN 'B01001_001' WHEN 2 THEN 'C17002_001' WHEN 3 THEN 'C17002_008'
-    ELSE 'B19013_001' END AS variable,
-  CASE WHEN l_linestatus = 'O' THEN 2019 ELSE 2020 END AS year, 'acs5' AS survey,
-  sum(l_quantity) AS estimate, cast(sum(cast(l_discount AS decimal(18, 2))) AS double) AS moe
-FROM {lineitem} AS l JOIN {supplier} AS s ON l_suppkey = s_suppkey
-GROUP BY 1, 2, 3, 4
+SELECT '53033' || lpad(cast(s_suppkey AS string), 7, '0') AS GEOID, s_name AS NAME,
+  variable, year, 'acs5' AS survey, estimate, moe
+FROM (
+  SELECT l_suppkey,
+    CASE l_linenumber WHEN 1 THEN 'B01001_001' WHEN 2 THEN 'C17002_001' WHEN 3 THEN 'C17002_008'
+      ELSE 'B19013_001' END AS variable,
+    CASE WHEN l_linestatus = 'O' THEN 2019 ELSE 2020 END AS year,
+    sum(l_quantity) AS estimate, cast(sum(cast(l_discount AS decimal(18, 2))) AS double) AS moe
+  FROM {lineitem} GROUP BY 1, 2, 3
+) AS l JOIN {supplier} AS s ON l_suppkey = s_suppkey
 """
 
 FEED = {
