@@ -34,8 +34,3 @@ def assert_all_matched(df: DataFrame, column: str) -> DataFrame:
     if not df.where(F.col(quoted(column)).isNull()).isEmpty():
         raise ValueError(f"rows without {column} after the join")
     return df
-
-
-def parse_problems(df: DataFrame, corrupt: str = "_corrupt_record") -> DataFrame:
-    """Lines a permissive read could not parse."""
-    return df.where(F.col(quoted(corrupt)).isNotNull()).select(quoted(corrupt))

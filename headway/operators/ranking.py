@@ -109,7 +109,7 @@ def ntile(
 ) -> DataFrame:
     """Split each group into ``n`` buckets of almost equal size, 1 the lowest.
 
-    ``columns`` maps result names to numeric columns. Missing values get no
+    ``columns`` maps result names to columns; of several types they compare as doubles. Missing values get no
     bucket and are not counted; the larger buckets come first. ``tiebreak``
     names columns that, with the value, tell the rows of a group apart.
     """
@@ -128,12 +128,14 @@ def _ntile_by_cuts(df, columns, n, keys, tiebreak) -> DataFrame:
     All columns are ranked in one long table of (column, keys, value, tiebreak);
     a row's bucket is the number of bucket starts at or below it.
     """
+    own_types = {df.schema[name].dataType for name in columns.values()}
+    kind = own_types.pop() if len(own_types) == 1 else DoubleType()
     measures = F.explode(
         F.array(
             *[
                 F.struct(
                     F.lit(out).alias("out"),
-                    F.when(_present(df, name), F.col(quoted(name)).cast("double")).alias("value"),
+                    F.when(_present(df, name), F.col(quoted(name)).cast(kind)).alias("value"),
                 )
                 for out, name in columns.items()
             ]
@@ -167,7 +169,7 @@ def _ntile_by_cuts(df, columns, n, keys, tiebreak) -> DataFrame:
         starts,
     )
     types = {name: df.schema[name].dataType for name in tiebreak}
-    types["__value"] = DoubleType()
+    types["__value"] = kind
     ties = ["__value", *tiebreak]
     cuts = {out: [f"__cut_{out}_{b}" for b in range(1, n)] for out in columns}
     if keys:
@@ -195,7 +197,7 @@ def _ntile_by_cuts(df, columns, n, keys, tiebreak) -> DataFrame:
         }
     results = {}
     for out, name in columns.items():
-        own = F.struct(F.col(quoted(name)).cast("double").alias("__value"), *_cols(tiebreak))
+        own = F.struct(F.col(quoted(name)).cast(kind).alias("__value"), *_cols(tiebreak))
         bucket = F.lit(1)
         for cut in cuts[out]:
             if cut in cut_of:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.functions.estimates import moe_at
+from headway.functions.missing import quoted
 from headway.functions.recode import recode
 from headway.operators.joins import join
 from headway.operators.reshape import pivot_wider
@@ -61,7 +62,7 @@ def acs(
 
     ``table`` has GEOID, NAME, variable, estimate, moe and, where it holds
     several, year and survey. State and county are given by their code.
-    ``output="wide"`` makes columns {name}_estimate and {name}_moe; ``polygons``
+    ``output="wide"`` makes columns {name}E (estimate) and {name}M; ``polygons``
     (keyed by GEOID) attaches the boundaries.
     """
     rows = table
@@ -78,7 +79,11 @@ def acs(
         rows = wide.select(
             "GEOID",
             "NAME",
-            *[F.col(f"{v}_{n}").alias(f"{n}_{v}") for n in names for v in ("estimate", "moe")],
+            *[
+                F.col(quoted(f"{value}_{name}")).alias(name + letter)
+                for name in names
+                for value, letter in (("estimate", "E"), ("moe", "M"))
+            ],
         )
     return rows if polygons is None else join(rows, polygons, by="GEOID", how="left")
 

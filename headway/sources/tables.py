@@ -90,6 +90,20 @@ def read_table(
     return typed(texts, schema if schema is not None else guess_schema(texts))
 
 
+def malformed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines whose number of fields differs from the header's, with their text."""
+    names = read_text_table(spark, path).columns
+    schema = StructType()
+    for name in names:
+        schema = schema.add(name, "string")
+    lines = spark.read.schema(schema.add("_line", "string")).csv(
+        path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_line"
+    )
+    # All fields must be asked for, or the parser would not look at them.
+    fields = F.to_json(F.struct(*[quoted(name) for name in names]))
+    return lines.where(F.col("_line").isNotNull() & (F.length(fields) > 0))
+
+
 def cast_problems(df: DataFrame, schema: StructType | str) -> DataFrame:
     """Texts that do not fit their declared type: column, problem count, example."""
     fields = _struct(schema).fields

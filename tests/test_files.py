@@ -59,6 +59,12 @@ def test_null_markers(spark, tmp_path):
     assert rows(tables.cast_problems(text, "Month string, Sales double")) == [("Sales", 3, "N/A")]
 
 
+def test_malformed_lines(spark, tmp_path):
+    path = tmp_path / "lines.csv"
+    path.write_text("a,b\n1,2\n3\n4,5,6\n")
+    assert rows(tables.malformed_lines(spark, str(path)).select("_line")) == [("3",), ("4,5,6",)]
+
+
 def test_sheets(spark, tmp_path):
     (tmp_path / "Routes by planner.csv").write_text("Routes,Lead\nA (671),Kim\n")
     (tmp_path / "Other.csv").write_text("Routes,Lead\n5,Lee\n")
@@ -197,8 +203,8 @@ def test_survey_estimates(spark, tmp_path):
         ("530330001001", "B1", "one", 10.0, 2.0), ("530330001001", "B1", "two", 4.0, 1.0)
     ]
     wide = census.acs(frame, {"one": "C_1"}, year=2019, survey="acs5", moe_level=95, output="wide")
-    assert wide.columns == ["GEOID", "NAME", "one_estimate", "one_moe"]
-    assert wide.where("NAME = 'B1'").first()["one_moe"] == pytest.approx(2 * 1.96 / 1.645)
+    assert wide.columns == ["GEOID", "NAME", "oneE", "oneM"]
+    assert wide.where("NAME = 'B1'").first()["oneM"] == pytest.approx(2 * 1.96 / 1.645)
     shapes = polygon_table(spark, {"53033": [SQUARE]}).withColumnRenamed("area", "GEOID")
     placed = census.acs(frame, ["C_1"], geography="county", polygons=shapes)
     assert placed.select("NAME", F.size("rings")).collect() == [("King", 1)]

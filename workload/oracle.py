@@ -264,9 +264,9 @@ SELECT GEOID, NAME, {NAMED} AS variable, estimate, moe FROM {cte(m.ACS_FILES)}
 WHERE year = 2019 AND {PICKED}"""
 ORACLE["acs_wide"] = f"""
 SELECT GEOID, NAME, {", ".join(
-    f"max({v}) FILTER (variable = '{code}') AS {name}_{v}"
+    f"max({v}) FILTER (variable = '{code}') AS {name}{letter}"
     for name, code in (("pop", "B01001_001"), ("pov1", "C17002_001"), ("pov2", "C17002_008"))
-    for v in ("estimate", "moe"))}
+    for v, letter in (("estimate", "E"), ("moe", "M")))}
 FROM {cte(m.ACS_FILES)} WHERE year = 2019 AND {PICKED} GROUP BY GEOID, NAME"""
 ORACLE["decennial_wide"] = f"""
 SELECT GEOID, NAME, max(estimate) FILTER (variable = 'B01001_001') AS pop,
