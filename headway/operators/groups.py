@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.missing import quoted
-from headway.operators.joins import join
+from headway.operators.joins import BROADCAST_BYTES, attach, join
 from headway.operators.ranking import (
     GROUP_LIMIT,
     MAP_SIDE_ROWS,
@@ -17,7 +17,12 @@ from headway.operators.ranking import (
 )
 
 
-def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> DataFrame:
+def with_group_stats(
+    df: DataFrame,
+    keys: Sequence[str],
+    broadcast_bytes: int = BROADCAST_BYTES,
+    **stats: Column,
+) -> DataFrame:
     """Add aggregates of a row's group to every row.
 
     The groups are aggregated (partially before the shuffle) and joined back, so
@@ -26,7 +31,7 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> Dat
     summary = df.groupBy(*[F.col(quoted(k)) for k in keys]).agg(
         *[value.alias(name) for name, value in stats.items()]
     )
-    return join(df, summary, by=list(keys), how="left")
+    return attach(df, summary, keys, broadcast_bytes=broadcast_bytes)
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

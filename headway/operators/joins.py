@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from headway.functions.missing import quoted
+from headway.session import durable
 
 Keys = str | Sequence[str] | Mapping[str, str] | None
 
@@ -30,6 +31,11 @@ KINDS = {
 }
 RIGHT_KEY = "__right_key_{}"
 
+# Largest measured size, in bytes, of a summary that is broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
+# Overhead of a row in a broadcast table.
+ROW_BYTES = 64
+
 
 def key_pairs(left: DataFrame, right: DataFrame, by: Keys) -> list[tuple[str, str]]:
     """Pairs of key names; without ``by`` all names both tables have."""
@@ -136,3 +142,27 @@ def join(
             [F.col(quoted(source.get(c, c))).alias(c) for c in outputs]
         )
     return joined.select([F.col(quoted(c)) for c in outputs])
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a table as text plus row overhead, a generous bound for its rows."""
+    text = F.length(F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns])))
+    return df.agg(F.coalesce(F.sum(text + ROW_BYTES), F.lit(0))).first()[0]
+
+
+def attach(
+    df: DataFrame,
+    summary: DataFrame,
+    by: Sequence[str],
+    how: str = "left",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Join a summary of ``df`` back to its rows.
+
+    Spark cannot foresee how small an aggregate is and would shuffle the wide
+    table for it. The summary is written once and measured: below the limit it is
+    broadcast and the wide rows stay where they are, above it both are shuffled.
+    """
+    kept = durable(summary)
+    small = measured_bytes(kept) <= broadcast_bytes
+    return join(df, F.broadcast(kept) if small else kept, by=list(by), how=how)

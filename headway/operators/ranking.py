@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from headway.functions.missing import quoted
-from headway.operators.joins import join
+from headway.operators.joins import attach
 from headway.session import durable
 
 # Largest group, in rows, that may be sorted inside one task.
@@ -73,7 +73,7 @@ def rows_at_ranks(
         .groupBy(*_cols(keys), "__slot", "__before", "__total")
         .agg(F.collect_list("__target").alias("__targets"))
     )
-    inside = join(ranged, wanted, by=[*keys, "__slot"], how="inner")
+    inside = attach(ranged, wanted, [*keys, "__slot"], how="inner")
     running = Window.partitionBy(*_cols(keys), "__slot").orderBy(*_cols(order))
     reached = inside.withColumn(
         "__rank",
@@ -183,7 +183,7 @@ def _ntile_by_cuts(df, columns, n, keys, tiebreak) -> DataFrame:
                 for b, cut in enumerate(cuts[out], start=1)
             ]
         )
-        placed = join(df, table, by=list(keys), how="left")
+        placed = attach(df, table, keys)
         cut_of = {cut: F.col(quoted(cut)) for names in cuts.values() for cut in names}
     else:
         # n - 1 rows per column: small enough to become literals of the last pass.
@@ -231,7 +231,7 @@ def slice_max(df: DataFrame, value: str, n: int, keys: Sequence[str] = ()) -> Da
         least = top.agg(F.min(column).alias("__least"))
     if not keys:
         return present.where(column >= least.select("__least").scalar())
-    joined = join(present, least, by=list(keys), how="inner")
+    joined = attach(present, least, keys, how="inner")
     return joined.where(column >= F.col("__least")).drop("__least")
 
 

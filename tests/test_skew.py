@@ -59,6 +59,13 @@ def test_joins_split_the_hot_key(facts, names, small_partitions, how):
 
 
 def test_group_statistics_split_the_hot_key(facts, small_partitions):
-    counted = with_group_stats(facts, ["k"], n=row_count())
+    counted = with_group_stats(facts, ["k"], broadcast_bytes=0, n=row_count())
     assert "skew=true" in final_plan(counted)
     assert counted.where("k = 7").select(F.min("n"), F.count("*")).first()[0] > 30_000
+
+
+def test_small_statistics_leave_the_wide_rows_in_place(facts):
+    counted = with_group_stats(facts, ["k"], n=row_count())
+    text = counted._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    assert counted.count() == 90_000
