@@ -45,10 +45,16 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in text
 
 
-def test_top_rows_are_limited_before_the_shuffle(spark):
-    for name in ("slice_max_ties", "distinct_keep_first"):
-        before_shuffle = plan(QUERIES[name](spark, FOLDER)).split("Exchange hashpartitioning")[-1]
-        assert "WindowGroupLimit" in before_shuffle
+def test_first_rows_are_limited_before_the_shuffle(spark):
+    before_shuffle = plan(QUERIES["distinct_keep_first"](spark, FOLDER)).split(
+        "Exchange hashpartitioning"
+    )[-1]
+    assert "WindowGroupLimit" in before_shuffle
+
+
+def test_top_rows_stay_where_they_are(spark):
+    text = plan(QUERIES["slice_max_ties"](spark, FOLDER))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
 def test_large_layers_are_not_broadcast(spark):
