@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from headway.llm.common import ROW, packed, slices, stored, unpacked
 
 HASHES, BAND_ROWS, LOW_BITS = 240, 6, 4
+# Minima of the longer signature that sets in unsettled buckets get for a closer estimate.
+FINE_HASHES = 2048
 # Standard deviations of the estimate by which a candidate may fall short of the wanted
 # similarity before it is given up without looking at the full sets.
 MARGIN = 4.5
@@ -30,8 +32,8 @@ BLOCK_SETS = 256
 RESULTS = ["n_shingles", "component_id", "kept"]
 
 _RANDOM = np.random.default_rng(20240229)
-_FACTORS = _RANDOM.integers(0, 2**64, HASHES, np.uint64) | np.uint64(1)
-_TERMS = _RANDOM.integers(0, 2**64, HASHES, np.uint64)
+_FACTORS = _RANDOM.integers(0, 2**64, FINE_HASHES, np.uint64) | np.uint64(1)
+_TERMS = _RANDOM.integers(0, 2**64, FINE_HASHES, np.uint64)
 
 
 def mixed_bits(x: np.ndarray) -> np.ndarray:
@@ -73,29 +75,41 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     return sets
 
 
+def minima(shingles: np.ndarray, hashes: int) -> np.ndarray:
+    least = np.full(hashes, np.uint64(2**64 - 1))
+    step = max(1, (1 << 19) // hashes)
+    for at in range(0, len(shingles), step):
+        some = shingles[at : at + step]
+        least = np.minimum(least, (some[None, :] * _FACTORS[:hashes, None] + _TERMS[:hashes, None]).min(1))
+    return least
+
+
+def packed_bits(least: np.ndarray) -> bytes:
+    low = (least & np.uint64(2**LOW_BITS - 1)).astype(np.uint8)
+    return ((low[0::2] << 4) | low[1::2]).tobytes()
+
+
 def signature(shingles: np.ndarray) -> tuple[bytes, np.ndarray]:
     """(packed low bits of the minima, band hashes) of a set that isn't empty."""
-    least = np.full(HASHES, np.uint64(2**64 - 1))
-    for at in range(0, len(shingles), 2048):
-        some = shingles[at : at + 2048]
-        least = np.minimum(least, (some[None, :] * _FACTORS[:, None] + _TERMS[:, None]).min(1))
-    low = (least & np.uint64(2**LOW_BITS - 1)).astype(np.uint8)
+    least = minima(shingles, HASHES)
     table = least.reshape(-1, BAND_ROWS)
     bands = _folded([np.arange(len(table), dtype=np.uint64), *table.T])
-    return ((low[0::2] << 4) | low[1::2]).tobytes(), bands.view(np.int64)
+    return packed_bits(least), bands.view(np.int64)
 
 
 def estimates(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Similarity from packed signatures (rows of bytes): the share of equal values less
     what agrees by chance."""
     differ = left ^ right
-    equal = ((differ & 0xF0) == 0).sum(-1, dtype=np.int64) + ((differ & 0x0F) == 0).sum(-1, dtype=np.int64)
+    equal = ((differ & 0xF0) == 0).sum(-1, dtype=np.int32) + ((differ & 0x0F) == 0).sum(-1, dtype=np.int32)
     chance = 2.0**-LOW_BITS
-    return (equal / HASHES - chance) / (1 - chance)
+    return (equal / (2 * differ.shape[-1]) - chance) / (1 - chance)
 
 
-def least_estimate(similarity: float) -> float:
-    return similarity - MARGIN * np.sqrt(similarity * (1 - similarity) / HASHES)
+def least_estimate(similarity: float, hashes: int) -> float:
+    chance = 2.0**-LOW_BITS
+    agree = similarity + (1 - similarity) * chance
+    return float(similarity - MARGIN * np.sqrt(agree * (1 - agree) / hashes) / (1 - chance))
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -137,7 +151,7 @@ def described(rows: DataFrame, width: int) -> DataFrame:
 
 def likely(pairs: DataFrame, low_bits: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of sets whose estimate leaves the similarity possible."""
-    bound = float(least_estimate(similarity))
+    bound = least_estimate(similarity, HASHES)
 
     def keep(batches):
         for batch in batches:
@@ -149,8 +163,9 @@ def likely(pairs: DataFrame, low_bits: DataFrame, similarity: float) -> DataFram
     return sides.select("a", "b", "a_bits", "b_bits").mapInArrow(keep, "a binary, b binary")
 
 
-def full_sets(needed: DataFrame, about: DataFrame, rows: DataFrame, width: int) -> DataFrame:
-    """(set_id, shingles) of the needed set ids, made from one text of each again."""
+def full_sets(needed: DataFrame, about: DataFrame, rows: DataFrame, width: int, fine: bool = False) -> DataFrame:
+    """(set_id, shingles, low_bits) of the needed set ids, made from one text of each
+    again; ``low_bits`` is the longer signature if ``fine``, else null."""
     prints = about.join(needed, "set_id", "left_semi").groupBy("set_id").agg(F.min("print").alias("print")).select("print")
 
     def make(batches):
@@ -163,12 +178,13 @@ def full_sets(needed: DataFrame, about: DataFrame, rows: DataFrame, width: int)
                     [
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                         pa.array([s.tobytes() for s in sets], pa.binary()),
+                        pa.array([packed_bits(minima(s, FINE_HASHES)) if fine else None for s in sets], pa.binary()),
                     ],
-                    ["set_id", "shingles"],
+                    ["set_id", "shingles", "low_bits"],
                 )
 
     texts = rows.join(prints.distinct(), "print", "left_semi").select("text")
-    return texts.mapInArrow(make, "set_id binary, shingles binary").dropDuplicates(["set_id"])
+    return texts.mapInArrow(make, "set_id binary, shingles binary, low_bits binary").dropDuplicates(["set_id"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -215,13 +231,14 @@ def labelled(table: DataFrame, labels: DataFrame, name: str) -> DataFrame:
     return table.join(found, name, "left").withColumn(f"{name}_label", F.coalesce("_label", name)).drop("_label")
 
 
-def across(members: DataFrame, labels: DataFrame, bits: DataFrame, similarity: float) -> DataFrame:
-    """Likely pairs (a, b) of different groups among ``members`` of the same bucket.
+def across(members: DataFrame, labels: DataFrame, bits: DataFrame, similarity: float, best: bool) -> DataFrame:
+    """Likely pairs (a, b) of different groups among ``members`` of the same bucket; with
+    ``best``, of a member's pairs with one group in a block only those of the best estimate.
 
     Members outside a bucket's largest group meet all its members, block by block: a task
-    holds two blocks of about ``BLOCK_SETS`` packed signatures at a time.
+    holds two blocks of about ``BLOCK_SETS`` long signatures at a time.
     """
-    bound = float(least_estimate(similarity))
+    bound = least_estimate(similarity, FINE_HASHES)
     marked = labelled(members.select("band", "set_id"), labels, "set_id")
     shares = marked.groupBy("band", "set_id_label").agg(F.count("*").alias("n"))
     open_ = (
@@ -245,10 +262,18 @@ def across(members: DataFrame, labels: DataFrame, bits: DataFrame, similarity: f
 
     def compare(names, groups, low, odd):
         left, right = np.flatnonzero(odd), np.flatnonzero(~odd)
-        for at in range(0, len(left), 32):
-            some = left[at : at + 32]
-            fine = estimates(low[some][:, None, :], low[right][None, :, :]) >= bound
-            fine &= groups[some][:, None] != groups[right][None, :]
+        if not len(left) or not len(right):
+            return
+        right = right[np.argsort(groups[right], kind="stable")]
+        new = np.r_[True, groups[right][1:] != groups[right][:-1]]
+        firsts, group_of = np.flatnonzero(new), np.cumsum(new) - 1
+        for at in range(0, len(left), 8):
+            some = left[at : at + 8]
+            near = estimates(low[some][:, None, :], low[right][None, :, :])
+            near[groups[some][:, None] == groups[right][None, :]] = -1
+            fine = near >= bound
+            if best:
+                fine &= near == np.maximum.reduceat(near, firsts, 1)[:, group_of]
             x, y = np.nonzero(fine)
             yield names[some[x]], names[right[y]]
 
@@ -271,7 +296,7 @@ def across(members: DataFrame, labels: DataFrame, bits: DataFrame, similarity: f
                 part = held.slice(0, upto)
                 names = np.array(part.column("set_id").to_pylist(), object)
                 groups = np.array(part.column("set_id_label").to_pylist(), object)
-                low = np.frombuffer(b"".join(part.column("low_bits").to_pylist()), np.uint8).reshape(-1, HASHES // 2)
+                low = np.frombuffer(b"".join(part.column("low_bits").to_pylist()), np.uint8).reshape(-1, FINE_HASHES // 2)
                 odd = part.column("odd").to_numpy()
                 for a, b in zip(starts[:done], stops[:done]):
                     for x, y in compare(names[a:b], groups[a:b], low[a:b], odd[a:b]):
@@ -303,10 +328,24 @@ def linked_sets(about: DataFrame, rows: DataFrame, width: int, percent: int) ->
     links = stored(confirmed(first, full_sets(_ends(first), about, rows, width), percent), "links")
     labels = groups_of(links)
 
-    # What is left: pairs of different groups in one bucket, those tried above excepted.
-    second = stored(across(members, labels, bits, similarity).join(first, ["a", "b"], "left_anti"), "likely")
-    more = stored(confirmed(second, full_sets(_ends(second), about, rows, width), percent), "links")
-    return groups_of(links.unionByName(more))
+    # What is left: pairs of different groups in one bucket, those tried above excepted;
+    # the best of them first, as they may leave few pairs that still part two groups.
+    now = labelled(members.select("band", "set_id"), labels, "set_id")
+    unsettled = now.groupBy("band").agg(F.min("set_id_label").alias("x"), F.max("set_id_label").alias("y")).where("x <> y")
+    members = stored(members.join(unsettled, "band", "left_semi").select("band", "set_id"), "members")
+    sets = stored(full_sets(members.select("set_id").distinct(), about, rows, width, fine=True), "full")
+    tried = first
+    for best in (True, False):
+        new = stored(across(members, labels, sets.select("set_id", "low_bits"), similarity, best).join(tried, ["a", "b"], "left_anti"), "likely")
+        more = stored(confirmed(new, sets, percent), "links")
+        tried = tried.unionByName(new)
+        # A label stands for its group: linking labels is linking their sets.
+        joined = more.join(labels.select(F.col("set_id").alias("a"), F.col("label").alias("a_label")), "a", "left")
+        joined = joined.join(labels.select(F.col("set_id").alias("b"), F.col("label").alias("b_label")), "b", "left")
+        joined = joined.select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))
+        stars = labels.select(F.col("set_id").alias("a"), F.col("label").alias("b"))
+        labels = groups_of(joined.unionByName(stars))
+    return labels
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
