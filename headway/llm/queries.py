@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm.common import stored
+from headway.llm.chat_tree import conversations_of, tree
 from headway.llm.exact_copies import exact_copies
+from headway.llm.html_region import extract
 from headway.llm.language import fit, predicted
+from headway.llm.line_rules import CLOSING, LOWER, MAX_LOST_PERCENT, OPEN_WORDS, PHRASES, SYMBOLS, UPPER, clean_lines
 from headway.llm.mixing import OFFSET, mix
 from headway.llm.near_copies import near_copies
 from headway.llm.packing import pack
+from headway.llm.resampling import resample
 from headway.llm.token_blocks import read_documents, token_segments
 
 
@@ -20,6 +24,12 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -39,6 +49,11 @@ def op3_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
     return made.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = clean_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.drop("text", "clean_text")
+
+
 def held_out(id_col: str = "doc_id"):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2
 
@@ -50,6 +65,12 @@ def op5_subword_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score", "found.rejected")
 
 
+def op6_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    good = table(spark, folder, "labels").where("quality = 1 AND toxic = 0").select("doc_id").distinct()
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return resample(docs, docs.join(good, "doc_id", "left_semi"), fraction=0.8).drop("text")
+
+
 def op7_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -59,6 +80,18 @@ def op8_quotient_filter(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_prefix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", odd), (-1, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
+    nodes, members = tree(turns.unionByName(extra), byte_vocabulary())
+    return conversations_of(nodes, members, byte_vocabulary())
+
+
+def op10_scored_region(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(table(spark, folder, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 MIX_SQL = rf"""
 WITH sized AS (
   SELECT doc_id, source, size, substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 3) AS shard,
@@ -119,12 +152,52 @@ SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r.y) AS component_
 FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id JOIN reached r ON r.x = d.doc_id GROUP BY d.doc_id
 """
 
+_CLOSING = CLOSING.replace("'", "''")
+LINES_SQL = rf"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+read AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+         length(t) - length(translate(t, '{SYMBOLS}', '')) AS n_symbols FROM docs),
+lines AS (
+  SELECT doc_id, l, row_number() OVER (PARTITION BY doc_id, l ORDER BY k) > 1 AS again,
+         len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n,
+         length(l) - length(translate(l, '|', '')) AS bars,
+         length(l) - length(translate(l, '{SYMBOLS}', '')) AS symbols,
+         length(l) - length(translate(l, '{UPPER}', '')) AS upper_,
+         length(l) - length(translate(l, '{LOWER}', '')) AS lower_
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) AS k FROM docs)),
+judged AS (
+  SELECT doc_id, sum(CASE WHEN again THEN 1 ELSE 0 END)::BIGINT AS n_dup_lines,
+         sum(CASE WHEN again OR (bars >= 3 AND 5 * bars >= n) OR 2 * symbols > n OR upper_ > lower_
+                       OR (n < {OPEN_WORDS} AND NOT regexp_matches(rtrim(l, ' '), '{_CLOSING}')) OR regexp_matches(lower(l), '{PHRASES}')
+                  THEN n ELSE 0 END)::BIGINT AS lost_words
+  FROM lines WHERE n > 0 GROUP BY doc_id),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS c
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 1)::BIGINT)) AS i FROM read)),
+repeats AS (
+  SELECT doc_id, count(DISTINCT i + j)::BIGINT AS n_repeat_words
+  FROM windows, (SELECT unnest([0, 1, 2]) AS j) WHERE c > 1 GROUP BY doc_id),
+joined AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         n_symbols::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(lost_words, 0) AS lost_words
+  FROM read LEFT JOIN judged USING (doc_id) LEFT JOIN repeats USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * lost_words <= {MAX_LOST_PERCENT} * n_words AS kept
+FROM joined
+"""
+
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
     "op2_bbit_minhash": op2_bbit_minhash,
     "op3_cutting_stock": op3_cutting_stock,
+    "op4_line_rules": op4_line_rules,
     "op5_subword_language": op5_subword_language,
+    "op6_importance_resampling": op6_importance_resampling,
     "op7_systematic_mix": op7_systematic_mix,
     "op8_quotient_filter": op8_quotient_filter,
+    "op9_prefix_tree": op9_prefix_tree,
+    "op10_scored_region": op10_scored_region,
 }
-ORACLE = {"op2_bbit_minhash": NEAR_SQL, "op7_systematic_mix": MIX_SQL, "op8_quotient_filter": COPIES_SQL}
+ORACLE = {"op2_bbit_minhash": NEAR_SQL, "op4_line_rules": LINES_SQL, "op7_systematic_mix": MIX_SQL, "op8_quotient_filter": COPIES_SQL}
