@@ -67,45 +67,69 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(text, "\t\n\x0b\x0c\r", "     "), " "), "")
 
 
+# Letters of one word that stay letters, one for one, in any normal form and case, and
+# marks that make a word of their own behind them.
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"\-.,!?;:|%&#*$@()/=+_~^"
+
+
 class Encoder:
     """Token ids of texts by a tokenizers file.
 
-    For a vocabulary with end-of-word marks, white space only separates words and the
-    ids of a text are those of its words in order. Then each distinct word of a batch
-    is encoded once, and remembered up to ``memory`` words. Other vocabularies get
-    the whole texts.
+    For a lower-case byte-level vocabulary with end-of-word marks, white space only
+    separates words and the ids of a text are those of its words in order. Then the
+    distinct words of a batch are encoded: letters with or without marks behind, nearly
+    all, go through the vocabulary's model in one go, the rest one by one through the whole
+    tokenizer. Other vocabularies get the whole texts.
     """
 
-    def __init__(self, path: str, memory: int = 300_000):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memory = memory
-        self.known: dict[str, bytes] = {}
-        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        config = json.loads(self.tokenizer.to_str())
+        suffix = config["model"].get("end_of_word_suffix")
+        steps = json.dumps([config["normalizer"], config["pre_tokenizer"]])
         self.ends = None
-        if suffix:
+        if suffix and '"Lowercase"' in steps and '"ByteLevel"' in steps:
             self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
             self.ends[[i for w, i in self.tokenizer.get_vocab().items() if w.endswith(suffix)]] = True
+            self.model = Tokenizer(self.tokenizer.model)
+            self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            # Each letter as the two characters that stand for its bytes, none of them a letter
+            # replaced here.
+            letters = [chr(c) for c in range(0xDF, 0x100)]
+            self.bytes = [(c, level.pre_tokenize_str(c)[0][0]) for c in letters]
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32) for e in found]
 
-    def _learn(self, new: pa.Array) -> None:
-        # Letters that stay single letters in any normal form and case: one word, one end mark.
-        plain = pc.match_substring_regex(new, "^[A-Za-zÀ-ÖØ-öø-ÿ]+$")
-        simple = new.filter(plain).to_pylist()
-        if simple:
-            ids = self._ids([" ".join(simple)])[0]
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(simple):
-                raw, starts = ids.tobytes(), np.r_[0, stops[:-1]] * 4
-                self.known.update(zip(simple, map(lambda a, b: raw[a:b], starts.tolist(), (stops * 4).tolist())))
-            else:
-                self.known.update(zip(simple, [x.tobytes() for x in self._ids(simple)]))
-        other = new.filter(pc.invert(plain)).to_pylist()
-        self.known.update(zip(other, [x.tobytes() for x in self._ids(other)] if other else []))
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first id, number of ids) of each word in the pool of ids, and the pool."""
+        usual = pc.match_substring_regex(words, f"^[{LETTERS}]+[{MARKS}]*$")
+        some = words.filter(usual)
+        spaced = pc.replace_substring_regex(some, f"([{MARKS}]+)$", r" \1")
+        line = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), spaced), " ")[0].as_py()
+        line = line.lower()
+        if not line.isascii():
+            for letter, two in self.bytes:
+                line = line.replace(letter, two)
+        pool = np.array(self.model.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32)
+        parts = 1 + np.asarray(pc.match_substring_regex(some, f"[{MARKS}]$"), np.int64)
+        ends = np.flatnonzero(self.ends[pool]) + 1
+        if len(ends) != parts.sum():
+            raise ValueError("the vocabulary ends words elsewhere than expected")
+        stops = ends[np.cumsum(parts) - 1]
+        other = self._ids(words.filter(pc.invert(usual)).to_pylist()) if len(some) < len(words) else []
+        mask = np.asarray(usual, bool)
+        sizes = np.empty(len(words), np.int64)
+        sizes[mask] = np.diff(stops, prepend=0)
+        sizes[~mask] = [len(x) for x in other]
+        firsts = np.empty(len(words), np.int64)
+        firsts[mask] = np.r_[0, stops[:-1]] if len(stops) else stops
+        firsts[~mask] = len(pool) + np.cumsum(sizes[~mask]) - sizes[~mask]
+        return firsts, sizes, np.concatenate([pool, *other])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids per text, all ids in order); a null text has none."""
@@ -115,23 +139,15 @@ class Encoder:
             return np.array([len(x) for x in found], np.int64), np.concatenate([*found, np.zeros(0, np.uint32)])
         lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
-        if len(self.known) > self.memory:
-            self.known = {}
-        distinct = coded.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.known]
-        if new:
-            self._learn(pa.array(new, pa.string()))
-        pieces = [self.known[w] for w in distinct]
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-        pool = np.frombuffer(b"".join(pieces), np.uint32)
-        firsts = np.cumsum(sizes) - sizes
+        firsts, sizes, pool = self._words(coded.dictionary)
         index = coded.indices.to_numpy(zero_copy_only=False)
         each = sizes[index]
         ends = np.cumsum(each)
         total = int(ends[-1]) if len(ends) else 0
-        ids = pool[np.repeat(firsts[index] - (ends - each), each) + np.arange(total)]
+        at = np.repeat(firsts[index] - (ends - each), each)
+        at += np.arange(total)
         bounds = np.r_[0, ends][lists.offsets.to_numpy()]
-        return np.diff(bounds), ids
+        return np.diff(bounds), pool[at]
 
 
 @lru_cache(maxsize=2)
@@ -140,7 +156,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def slices(batch: pa.RecordBatch, rows: int = 2000):
+def slices(batch: pa.RecordBatch, rows: int = 2500):
     """Parts of a batch, so that what a task holds at once stays small."""
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)

@@ -155,10 +155,10 @@ def read_documents(segments: DataFrame) -> DataFrame:
                 )
 
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (  # one row per shard
+    offsets = (  # one row per partition that wrote: few enough to send to every task
         segments.groupBy("shard")
         .agg(F.sum("n_ids").alias("n"))
         .select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     )
     docs = segments.mapInArrow(unpack, "shard int, doc_id long, local long, n_tokens long, ids binary")
-    return docs.join(offsets, "shard").select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids")
+    return docs.join(F.broadcast(offsets), "shard").select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids")
