@@ -1,7 +1,7 @@
 """Main text of web pages by a maximum-scoring subsequence.
 
-A page is a row of tokens: words score by the elements they stand in, tags cost. One scan
-finds the contiguous region of the largest total; in it, words inside elements that
+A page is a row of tokens: words score by the elements they stand in, tags cost (next to
+nothing inside an element that is declared the page's article). One scan finds the contiguous region of the largest total; in it, words inside elements that
 labelled pages show to be never content (menus, adverts, forms, comments, ...) are left
 out. All scores are log odds counted on the labelled pages below.
 """
@@ -148,7 +148,8 @@ def main_text(page: str | None) -> str:
         if kind == "tag":
             if value not in INLINE:
                 block += value != "br"
-            row.append((costs.get(value, -0.1), " " if value == "br" else "", block))
+            inside = any(name in ("article", "main") for name, _ in stack)
+            row.append((BRIDGE if inside else costs.get(value, -0.1), " " if value == "br" else "", block))
         elif kind == "text":
             plain = html.unescape(value)
             n = len(plain.split())

@@ -4,7 +4,8 @@ Every document of a source expects the same number of copies, target / size of t
 source. Laid end to end, the expected copies of a source's documents make a line; one
 offset is added and a document is emitted once for each whole number its stretch
 crosses. Within a source documents lie by size class, so each class is thinned or
-repeated evenly and the words taken come near the target.
+repeated evenly. A few long documents can still carry a small source off its target: of
+the random offset and its shifts by 32nds, each source gets the one that comes nearest.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from headway.llm.common import ROW, packed, text_of, unpacked, words
 
 RESULTS = ["size", "source_size", "target", "copies", "taken"]
 OFFSET = 0.3819660112501051
+SHIFTS = 32
 # Hex digits of a shard: size classes are split so that none, however full, is one group.
 SHARD_DIGITS = 3
 
@@ -47,7 +49,8 @@ def source_targets(sizes: DataFrame, weights: list[float], repeat: float) -> Dat
     limited = ranked.withColumn("level", level).withColumn(
         "limited", F.col("source_size") * repeat <= F.col("level") * F.col("weight")
     )
-    share = F.min(F.when(~F.col("limited"), F.col("level"))).over(every)
+    # Past the first unlimited source the level only falls: the largest is the one that holds.
+    share = F.max(F.when(~F.col("limited"), F.col("level"))).over(every)
     return limited.select(
         "source",
         "source_size",
@@ -107,8 +110,16 @@ def mix(
     )
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     at = F.col("before") + F.col("rank")
-    crossed = F.floor(offset + rate * at) - F.floor(offset + rate * (at - 1))
-    result = placed.select(f"r.{ROW}", "size", "source_size", "target", crossed.cast("long").alias("copies"))
+    placed = placed.select(F.col("r.source").alias("source"), ROW, "size", "source_size", "target", rate.alias("rate"), at.alias("at"))
+
+    def crossed(start) -> Column:
+        return (F.floor(start + F.col("rate") * F.col("at")) - F.floor(start + F.col("rate") * (F.col("at") - 1))).cast("long")
+
+    starts = [(offset + k / SHIFTS) % 1.0 for k in range(SHIFTS)]
+    sums = placed.groupBy("source", "target").agg(*[F.sum(F.col("size") * crossed(F.lit(u))).alias(f"t{k}") for k, u in enumerate(starts)])
+    miss = F.array(*[F.struct(F.abs(F.col(f"t{k}") - F.col("target")), F.lit(k), F.lit(u).alias("start")) for k, u in enumerate(starts)])
+    best = sums.select(F.col("source").alias("chosen"), F.array_min(miss)["start"].alias("start"))
+    result = placed.join(best, F.col("source").eqNullSafe(F.col("chosen"))).withColumn("copies", crossed(F.col("start")))
     return unpacked(result.withColumn("taken", F.col("copies") * F.col("size")), docs.columns, RESULTS)
 
 

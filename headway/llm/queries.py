@@ -11,7 +11,7 @@ from headway.llm.exact_copies import exact_copies
 from headway.llm.html_region import extract
 from headway.llm.language import fit, predicted
 from headway.llm.line_rules import CLOSING, LOWER, MAX_LOST_PERCENT, OPEN_WORDS, PHRASES, SYMBOLS, UPPER, clean_lines
-from headway.llm.mixing import OFFSET, mix
+from headway.llm.mixing import OFFSET, SHIFTS, mix
 from headway.llm.near_copies import near_copies
 from headway.llm.packing import pack
 from headway.llm.resampling import resample
@@ -110,16 +110,22 @@ levels AS (
 targets AS (
   SELECT source, source_size,
          CASE WHEN source_size * 3.0::DOUBLE <= level * weight THEN source_size * 3.0::DOUBLE
-              ELSE weight * min(CASE WHEN source_size * 3.0::DOUBLE > level * weight THEN level END) OVER () END AS target
+              ELSE weight * max(CASE WHEN source_size * 3.0::DOUBLE > level * weight THEN level END) OVER () END AS target
   FROM levels),
 ranked AS (
   SELECT doc_id, size, source,
          row_number() OVER (PARTITION BY source ORDER BY class, shard, size, doc_id NULLS FIRST) AS k
-  FROM sized)
-SELECT doc_id, size, source_size, target,
-       size * (floor({OFFSET!r}::DOUBLE + coalesce(target / nullif(source_size, 0), 0) * k)
-             - floor({OFFSET!r}::DOUBLE + coalesce(target / nullif(source_size, 0), 0) * (k - 1)))::BIGINT AS taken
-FROM ranked r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source
+  FROM sized),
+rated AS (
+  SELECT doc_id, size, t.*, k, coalesce(target / nullif(source_size, 0), 0) AS rate
+  FROM ranked r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source),
+starts AS (SELECT unnest([{", ".join(f"{(OFFSET + k / SHIFTS) % 1.0!r}::DOUBLE" for k in range(SHIFTS))}]) AS u, unnest(range({SHIFTS})) AS j),
+sums AS (
+  SELECT source, target, j, u, sum(size * (floor(u + rate * k) - floor(u + rate * (k - 1)))::BIGINT)::BIGINT AS t
+  FROM rated, starts GROUP BY source, target, j, u),
+best AS (SELECT source, u, row_number() OVER (PARTITION BY source ORDER BY abs(t - target), j) AS place FROM sums)
+SELECT doc_id, size, source_size, target, size * (floor(u + rate * k) - floor(u + rate * (k - 1)))::BIGINT AS taken
+FROM rated r JOIN best b ON r.source IS NOT DISTINCT FROM b.source WHERE place = 1
 """
 
 COPIES_SQL = r"""
