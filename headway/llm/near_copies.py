@@ -255,22 +255,25 @@ def across(members: DataFrame, labels: DataFrame, bits: DataFrame, similarity: f
     )
     own = F.xxhash64("set_id")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    base = rows.select("band", F.pmod(own, "i_blocks").alias("i"), each("j_blocks").alias("j"), F.lit(False).alias("odd"), "set_id", "set_id_label", "low_bits")
-    odd = rows.where("odd").select("band", each("i_blocks").alias("i"), F.pmod(own, "j_blocks").alias("j"), "odd", "set_id", "set_id_label", "low_bits")
+    base = rows.select("band", F.pmod(own, "i_blocks").alias("i"), each("j_blocks").alias("j"), F.lit(False).alias("odd"), "set_id", "set_id_label", "low_bits", "bands")
+    odd = rows.where("odd").select("band", each("i_blocks").alias("i"), F.pmod(own, "j_blocks").alias("j"), "odd", "set_id", "set_id_label", "low_bits", "bands")
     dealt = base.withColumn("i", F.col("i").cast("int")).unionByName(odd.withColumn("j", F.col("j").cast("int")).select(base.columns))
     dealt = dealt.withColumn("j", F.col("j").cast("int")).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "odd")
 
-    def compare(names, groups, low, odd):
+    def compare(band, names, groups, low, bands, odd):
         left, right = np.flatnonzero(odd), np.flatnonzero(~odd)
         if not len(left) or not len(right):
             return
         right = right[np.argsort(groups[right], kind="stable")]
         new = np.r_[True, groups[right][1:] != groups[right][:-1]]
         firsts, group_of = np.flatnonzero(new), np.cumsum(new) - 1
+        earlier = bands[:, : int(np.flatnonzero(bands[0] == band)[0])]
         for at in range(0, len(left), 8):
             some = left[at : at + 8]
             near = estimates(low[some][:, None, :], low[right][None, :, :])
             near[groups[some][:, None] == groups[right][None, :]] = -1
+            # Of the buckets that hold both, all of them unsettled, the first counts.
+            near[(earlier[some][:, None, :] == earlier[right][None, :, :]).any(-1)] = -1
             fine = near >= bound
             if best:
                 fine &= near == np.maximum.reduceat(near, firsts, 1)[:, group_of]
@@ -298,8 +301,9 @@ def across(members: DataFrame, labels: DataFrame, bits: DataFrame, similarity: f
                 groups = np.array(part.column("set_id_label").to_pylist(), object)
                 low = np.frombuffer(b"".join(part.column("low_bits").to_pylist()), np.uint8).reshape(-1, FINE_HASHES // 2)
                 odd = part.column("odd").to_numpy()
+                bands = part.column("bands").combine_chunks().flatten().to_numpy().reshape(len(odd), -1)
                 for a, b in zip(starts[:done], stops[:done]):
-                    for x, y in compare(names[a:b], groups[a:b], low[a:b], odd[a:b]):
+                    for x, y in compare(keys[a, 0], names[a:b], groups[a:b], low[a:b], bands[a:b], odd[a:b]):
                         if len(x):
                             yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.binary()), pa.array(y.tolist(), pa.binary())], ["a", "b"])
                 held = held.slice(upto)
@@ -334,9 +338,10 @@ def linked_sets(about: DataFrame, rows: DataFrame, width: int, percent: int) ->
     unsettled = now.groupBy("band").agg(F.min("set_id_label").alias("x"), F.max("set_id_label").alias("y")).where("x <> y")
     members = stored(members.join(unsettled, "band", "left_semi").select("band", "set_id"), "members")
     sets = stored(full_sets(members.select("set_id").distinct(), about, rows, width, fine=True), "full")
+    fine = sets.select("set_id", "low_bits").join(distinct_sets.select("set_id", "bands"), "set_id")
     tried = first
     for best in (True, False):
-        new = stored(across(members, labels, sets.select("set_id", "low_bits"), similarity, best).join(tried, ["a", "b"], "left_anti"), "likely")
+        new = stored(across(members, labels, fine, similarity, best).join(tried, ["a", "b"], "left_anti"), "likely")
         more = stored(confirmed(new, sets, percent), "links")
         tried = tried.unionByName(new)
         # A label stands for its group: linking labels is linking their sets.
