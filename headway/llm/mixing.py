@@ -88,38 +88,32 @@ def mix(
         )
         .withColumn("class", size_class(F.col("size")))
     )
-    group = ["source", "class", "shard"]
-    counts = sized.groupBy(*group).agg(F.count("*").alias("rows"), F.sum("size").alias("words"))
+    # Keys without nulls: the join below then keeps the partitioning of the ranking.
+    group = ["none", "key", "class", "shard"]
+    sized = sized.withColumn("none", F.col("source").isNull()).withColumn("key", F.coalesce("source", F.lit("")))
+    counts = sized.groupBy(*group).agg(F.first("source").alias("source"), F.count("*").alias("rows"), F.sum("size").alias("words"))
     targets = source_targets(
         counts.groupBy("source").agg(F.sum("words").alias("source_size")), list(weights), float(repeat)
     )
-    line = Window.partitionBy("source").orderBy("class", "shard").rowsBetween(Window.unboundedPreceding, -1)
+    targets = targets.withColumn("none", F.col("source").isNull()).withColumn("key", F.coalesce("source", F.lit(""))).drop("source")
+    line = Window.partitionBy("none", "key").orderBy("class", "shard").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select(*group, F.coalesce(F.sum("rows").over(line), F.lit(0)).alias("before"))
-    starts = (
-        firsts.alias("f")
-        .join(targets.alias("t"), F.col("f.source").eqNullSafe(F.col("t.source")))
-        .select(F.col("f.source").alias("source"), "class", "shard", "before", "source_size", "target")
-    )
-    inside = Window.partitionBy(*group).orderBy("size", F.col("id").asc_nulls_first(), "tie")
-    ranked = sized.withColumn("rank", F.row_number().over(inside))
-    placed = ranked.alias("r").join(
-        starts.alias("s"),
-        F.col("r.source").eqNullSafe(F.col("s.source"))
-        & (F.col("r.class") == F.col("s.class"))
-        & (F.col("r.shard") == F.col("s.shard")),
-    )
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    at = F.col("before") + F.col("rank")
-    placed = placed.select(F.col("r.source").alias("source"), ROW, "size", "source_size", "target", rate.alias("rate"), at.alias("at"))
+    starts = firsts.join(targets, ["none", "key"]).withColumn("rate", rate)
+    inside = Window.partitionBy(*group).orderBy("size", F.col("id").asc_nulls_first(), "tie")
+    ranked = sized.withColumn("rank", F.row_number().over(inside)).drop("source")
 
     def crossed(start) -> Column:
-        return (F.floor(start + F.col("rate") * F.col("at")) - F.floor(start + F.col("rate") * (F.col("at") - 1))).cast("long")
-
-    starts = [(offset + k / SHIFTS) % 1.0 for k in range(SHIFTS)]
-    sums = placed.groupBy("source", "target").agg(*[F.sum(F.col("size") * crossed(F.lit(u))).alias(f"t{k}") for k, u in enumerate(starts)])
-    miss = F.array(*[F.struct(F.abs(F.col(f"t{k}") - F.col("target")), F.lit(k), F.lit(u).alias("start")) for k, u in enumerate(starts)])
-    best = sums.select(F.col("source").alias("chosen"), F.array_min(miss)["start"].alias("start"))
-    result = placed.join(best, F.col("source").eqNullSafe(F.col("chosen"))).withColumn("copies", crossed(F.col("start")))
+        at = F.col("before") + F.col("rank")
+        return (F.floor(start + F.col("rate") * at) - F.floor(start + F.col("rate") * (at - 1))).cast("long")
+
+    # The best shift of each source, from sizes alone; rows are moved once, for the ranking.
+    shifts = [(offset + k / SHIFTS) % 1.0 for k in range(SHIFTS)]
+    light = ranked.select(*group, "size", "rank").join(starts, group)
+    sums = light.groupBy("none", "key", "target").agg(*[F.sum(F.col("size") * crossed(F.lit(u))).alias(f"t{k}") for k, u in enumerate(shifts)])
+    miss = F.array(*[F.struct(F.abs(F.col(f"t{k}") - F.col("target")), F.lit(k), F.lit(u).alias("start")) for k, u in enumerate(shifts)])
+    best = sums.select("none", "key", F.array_min(miss)["start"].alias("start"))
+    result = ranked.join(starts.join(best, ["none", "key"]), group).withColumn("copies", crossed(F.col("start")))
     return unpacked(result.withColumn("taken", F.col("copies") * F.col("size")), docs.columns, RESULTS)
 
 
