@@ -63,15 +63,15 @@ def profile(df: DataFrame, day: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: Column | str, start: float, width: float) -> DataFrame:
-    """Counts per right-closed bin; the first bin also holds its lower limit.
+    """Counts per right-closed bin; bin 1 also holds ``start``, values below it are in
+    bins 0, -1 and so on.
 
     Bins without rows are not listed and missing values are not counted.
     """
     column = F.col(quoted(value)) if isinstance(value, str) else value
-    place = F.greatest(F.ceil((column - F.lit(start)) / F.lit(width)), F.lit(1))
-    binned = df.where(column.isNotNull() & (column >= start)).select(
-        place.cast("int").alias("bin")
-    )
+    place = F.ceil((column - F.lit(start)) / F.lit(width))
+    place = F.when(column == F.lit(start), F.lit(1)).otherwise(place)
+    binned = df.where(column.isNotNull()).select(place.cast("int").alias("bin"))
     return (
         binned.groupBy("bin")
         .agg(F.count(F.lit(1)).alias("count"))

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from headway.functions.missing import quoted
 
-# Most distinct names a pivot may turn into columns when no list is given.
-MAX_NAMES = 10_000
+# Column of the rows whose name is missing.
+NO_NAME = "NA"
 
 
 def pivot_wider(
@@ -20,29 +20,34 @@ def pivot_wider(
     values_from: Sequence[str],
     names: Sequence[str] | None = None,
     extra: Mapping[str, Column] | None = None,
+    leave_out: bool = False,
 ) -> DataFrame:
     """One row per ``ids`` with a column per name (and value).
 
     Several value columns give ``{value}_{name}``, a single one plain ``{name}``;
     absent cells are missing. A repeated (ids, name) pair fails the query: it has
     no single cell value. The result is one aggregation by ``ids``, so nothing is
-    shuffled a second time. Give ``names`` for a schema that is fixed ahead;
-    ``extra`` adds further aggregates of the same groups.
+    shuffled a second time. A missing name becomes the column "NA". Give ``names`` for a
+    schema that is fixed ahead; another name in the data then fails the query unless
+    ``leave_out`` is set. ``extra`` adds further aggregates of the same groups.
     """
-    name = F.col(quoted(names_from))
+    text = F.col(quoted(names_from)).cast("string")
+    name = F.coalesce(text, F.lit(NO_NAME))
     if names is None:
-        found = df.select(name).distinct().orderBy(name).limit(MAX_NAMES + 1).collect()
-        if len(found) > MAX_NAMES:
-            raise ValueError(f"more than {MAX_NAMES} names in {names_from}")
-        names = [row[0] for row in found if row[0] is not None]
+        found = df.select(F.col(quoted(names_from)).alias("name")).distinct().orderBy(F.col("name").asc_nulls_last())
+        names = [NO_NAME if row[0] is None else row[0] for row in found.select(F.col("name").cast("string")).collect()]
+    labels = [str(label) for label in names]
+    other = F.count_if(~name.isin(labels)) if labels else F.count(F.lit(1))
+    unlisted = F.lit(False) if leave_out else other > 0
     cells = []
     for value in values_from:
-        for label in names:
+        for label in labels:
             here = name == F.lit(label)
-            out = f"{value}_{label}" if len(values_from) > 1 else str(label)
+            out = f"{value}_{label}" if len(values_from) > 1 else label
             repeated = F.raise_error(F.lit(f"several rows for one cell {names_from}={label}"))
             cells.append(
-                F.when(F.count_if(here) > 1, repeated)
+                F.when(unlisted, F.raise_error(F.lit(f"names of {names_from} that are not listed")))
+                .when(F.count_if(here) > 1, repeated)
                 .otherwise(F.max(F.when(here, F.col(quoted(value)))))
                 .alias(out)
             )

@@ -62,7 +62,7 @@ def final_trips(all_trips: DataFrame, service_change: int) -> DataFrame:
     )
 
 
-def active_routes(routes: DataFrame, agency: str = "KCM") -> DataFrame:
+def active_routes(routes: DataFrame, agency: str) -> DataFrame:
     """Routes in use, owned and run by the agency, without on-demand service."""
     return routes.where(
         (F.col("IS_ACTIVE_FLAG") == 1)

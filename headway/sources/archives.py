@@ -97,8 +97,10 @@ def read_gtfs(
     tables = {}
     for name, schema in FEED_TABLES.items():
         rows = read_zipped_csv(spark, path, schema, member=f"{name}.txt")
+        # A file name that does not fit stands for itself, so that feeds stay apart.
+        change = F.regexp_extract("archive", feed_pattern, 1)
         rows = rows.withColumn(
-            "service_change_num", F.regexp_extract("archive", feed_pattern, 1)
+            "service_change_num", F.when(change != "", change).otherwise(F.col("archive"))
         ).drop("archive")
         if name == "calendar":
             rows = rows.withColumn("start_date", F.try_to_date("start_date", "yyyyMMdd"))

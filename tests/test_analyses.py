@@ -68,8 +68,8 @@ def test_pass_up_rates(spark):
         {"SERVICE_RTE_NUM": F.lit(7), "SERVICE_CHANGE_NUM": F.lit(213)}
     )
     routes = spark.sql(
-        """SELECT * FROM VALUES (7, 'L', 1, 0, 5, 1, 'KCM', 'KCM', 'BUS'), (671, CAST(NULL AS string), 0, 1, 4, 1, 'KCM', 'KCM', 'BUS'),
-        (8, 'L', 1, 0, 5, 0, 'KCM', 'KCM', 'BUS')
+        """SELECT * FROM VALUES (7, 'L', 1, 0, 5, 1, 'CITY', 'CITY', 'BUS'), (671, CAST(NULL AS string), 0, 1, 4, 1, 'CITY', 'CITY', 'BUS'),
+        (8, 'L', 1, 0, 5, 0, 'CITY', 'CITY', 'BUS')
         AS t(SERVICE_RTE_NUM, EXPRESS_LOCAL_CD, LOW_INCOME_FLAG, MINORITY_FLAG, OPPORTUNITY_SCORE,
              IS_ACTIVE_FLAG, OWNER_AGENCY_CD, OPERATOR_AGENCY_CD, SERVICE_TYPE_CD)"""
     )
@@ -82,7 +82,7 @@ def test_pass_up_rates(spark):
     )
     wide = passups.with_metadata(
         passups.passups_between(events, "2021-10-02", "2022-01-01"),
-        passups.final_trips(trips, 213), passups.active_routes(routes), dates, planners,
+        passups.final_trips(trips, 213), passups.active_routes(routes, "CITY"), dates, planners,
     )
     rates = passups.passup_rates(wide)
     got = rates.select("SERVICE_RTE_NUM", "Lead", "LOW_INCOME_FLAG", "DAYS_IN_MONTH", "sum_monthly_passups",

@@ -183,3 +183,9 @@ def test_profile(spark):
     assert tuple(columns.profile(frame, "d").first()) == (
         2, 1, datetime.date(2020, 1, 2), datetime.date(2021, 1, 2)
     )
+
+
+def test_histogram_counts_values_below_the_start(spark):
+    frame = spark.createDataFrame([(-5.0,), (0.0,), (1.0,), (12.0,), (None,)], "v double")
+    found = {r["bin"]: (r["lower"], r["count"]) for r in columns.histogram(frame, "v", 0, 10).collect()}
+    assert found == {0: (-10.0, 1), 1: (0.0, 2), 2: (10.0, 1)}

@@ -18,3 +18,11 @@ def test_repeated_cells_fail(spark):
     long = spark.createDataFrame([("a", "x", 1), ("a", "x", 2)], "id string, n string, e int")
     with pytest.raises(Exception, match="several rows for one cell"):
         pivot_wider(long, ["id"], "n", ["e"], ["x"]).collect()
+
+
+def test_missing_and_unlisted_names(spark):
+    long = spark.createDataFrame([("a", "x", 1), ("a", None, 2), ("b", "z", 3)], "id string, n string, e int")
+    assert rows(pivot_wider(long, ["id"], "n", ["e"])) == [("a", 1, None, 2), ("b", None, 3, None)]
+    with pytest.raises(Exception, match="not listed"):
+        pivot_wider(long, ["id"], "n", ["e"], ["x"]).collect()
+    assert rows(pivot_wider(long, ["id"], "n", ["e"], ["x"], leave_out=True)) == [("a", 1), ("b", None)]

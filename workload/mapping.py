@@ -77,7 +77,7 @@ SELECT cast(s_suppkey AS int) AS SERVICE_RTE_NUM,
   CASE WHEN s_nationkey % 3 = 0 THEN 1 ELSE 0 END AS MINORITY_FLAG,
   s_nationkey % 5 + 1 AS OPPORTUNITY_SCORE,
   CASE WHEN s_acctbal > 0 THEN 1 ELSE 0 END AS IS_ACTIVE_FLAG,
-  'KCM' AS OWNER_AGENCY_CD, 'KCM' AS OPERATOR_AGENCY_CD,
+  'CITY' AS OWNER_AGENCY_CD, 'CITY' AS OPERATOR_AGENCY_CD,
   CASE WHEN s_suppkey % 10 = 9 THEN 'DART' ELSE 'BUS' END AS SERVICE_TYPE_CD
 FROM {supplier}
 """

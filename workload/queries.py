@@ -121,7 +121,7 @@ def drop_na_rows(t):
 
 @query
 def active_routes(t):
-    return passups.active_routes(t.view(m.ROUTES))
+    return passups.active_routes(t.view(m.ROUTES), "CITY")
 
 
 @query
@@ -633,7 +633,7 @@ def passup_rate(t):
     joined = passups.with_metadata(
         _events(t),
         passups.final_trips(t.view(m.SCHEDULE), 213),
-        passups.active_routes(t.view(m.ROUTES)),
+        passups.active_routes(t.view(m.ROUTES), "CITY"),
         t.view(m.DATES),
         t.view(m.PLANNERS),
         m.LETTERED,
