@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.aggregates import rows, sum_skip, sum_strict
@@ -13,6 +13,19 @@ from headway.sources.warehouse import sql
 
 # Service days per year of weekday, Saturday and Sunday schedules.
 SERVICE_DAYS = {0: 255, 1: 52, 2: 58}
+# The columns that describe a scheduled trip.
+TRIP_COLUMNS = (
+    "BUS_BASE_ID",
+    "BUS_TYPE_NUM",
+    "DAY_PART_CD",
+    "EXPRESS_LOCAL_CD",
+    "INBD_OUTBD_CD",
+    "SCHED_DAY_TYPE_CODED_NUM",
+    "SERVICE_RTE_NUM",
+    "TRIP_ID",
+    "end_time_mnts_after_midnt",
+    "start_time_mnts_after_midnt",
+)
 
 
 def trip_summary(table: DataFrame, service_change: int, routes: Sequence[int]) -> DataFrame:
@@ -54,40 +67,30 @@ def route_totals(
 def annual_platform_hours(all_trips: DataFrame, service_change: int) -> DataFrame:
     """Hours per year of each scheduled trip; other day types have none.
 
-    Rows come by route and day type; the trip behind them in the order lets the
-    sort split a route that holds very many rows.
+    The trip's minutes cover all its rows, of service or not. One aggregation reads the
+    schedule once; only its short result is spread over a trip's descriptions. Rows come by
+    route and day type; the trip behind them in the order lets the sort split a route that
+    holds very many rows.
     """
-    cases = "\n".join(
-        f"WHEN t01.SCHED_DAY_TYPE_CODED_NUM = {day} THEN (t02.trip_minutes / 60D) * {days}"
-        for day, days in SERVICE_DAYS.items()
+    final = all_trips.where(
+        (F.col("SERVICE_CHANGE_NUM") == service_change)
+        & (F.col("MINOR_CHANGE_NUM") == 0)
+        & (F.col("WORKING_LOAD_STATUS") == "FINAL")
+        & F.col("TRIP_ID").isNotNull()
     )
-    final = f"SERVICE_CHANGE_NUM = {int(service_change)} AND WORKING_LOAD_STATUS = 'FINAL' AND MINOR_CHANGE_NUM = 0"
-    trip = (
-        "TRIP_ID, SERVICE_RTE_NUM, EXPRESS_LOCAL_CD, SCHED_DAY_TYPE_CODED_NUM, DAY_PART_CD,"
-        " INBD_OUTBD_CD, BUS_BASE_ID, BUS_TYPE_NUM,"
-        " start_time_mnts_after_midnt, end_time_mnts_after_midnt"
+    described = final.groupBy("SERVICE_CHANGE_NUM", *TRIP_COLUMNS).agg(
+        F.sum("TRIP_DURATION_MNTS").alias("minutes"),
+        F.count_if(F.col("TRIP_KIND_CD") == "S").alias("in_service"),
+    )
+    minutes = F.sum("minutes").over(Window.partitionBy("TRIP_ID"))
+    day = F.col("SCHED_DAY_TYPE_CODED_NUM")
+    days = F.coalesce(*[F.when(day == kind, F.lit(n)) for kind, n in SERVICE_DAYS.items()])
+    return (
+        described.withColumn("annual_platform_hours", minutes / F.lit(60.0) * days)
+        .where("in_service > 0")
+        .drop("minutes", "in_service")
+        .orderBy("SERVICE_RTE_NUM", "SCHED_DAY_TYPE_CODED_NUM", "TRIP_ID")
     )
-    return sql(
-        all_trips.sparkSession,
-        f"""
-        WITH t01 AS (
-          SELECT {trip}, count(1) AS revenue_trips
-          FROM {{all_trips}}
-          WHERE {final} AND TRIP_KIND_CD = 'S'
-          GROUP BY {trip}
-        ), t02 AS (
-          SELECT TRIP_ID, SERVICE_CHANGE_NUM, sum(TRIP_DURATION_MNTS) AS trip_minutes
-          FROM {{all_trips}}
-          WHERE {final}
-          GROUP BY SERVICE_CHANGE_NUM, TRIP_ID
-        )
-        SELECT t02.SERVICE_CHANGE_NUM, t01.*, CASE {cases} END AS annual_platform_hours
-        FROM t01, t02
-        WHERE t01.TRIP_ID = t02.TRIP_ID
-        ORDER BY SERVICE_RTE_NUM, SCHED_DAY_TYPE_CODED_NUM, TRIP_ID
-        """,
-        all_trips=all_trips,
-    ).drop("revenue_trips")
 
 
 def boarding_quintiles(
