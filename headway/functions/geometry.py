@@ -88,14 +88,53 @@ def signed_ring_area(ring: Column) -> Column:
     )
 
 
+def closed_rings(rings: Column | str) -> Column:
+    """The rings that enclose something: fewer than four points do not."""
+    return F.filter(as_column(rings), lambda ring: F.size(ring) >= 4)
+
+
+def _turned(ring: Column, outer: Column) -> Column:
+    sign = F.when(outer, F.lit(1)).otherwise(F.lit(-1))
+    return F.when(sign * signed_ring_area(ring) < 0, F.reverse(ring)).otherwise(ring)
+
+
 def orient(rings: Column | str) -> Column:
-    """Turn the first ring counter-clockwise and the others (holes) clockwise."""
-    return F.transform(
-        as_column(rings),
-        lambda ring, i: F.when(
-            F.when(i == 0, F.lit(1)).otherwise(F.lit(-1)) * signed_ring_area(ring) < 0,
-            F.reverse(ring),
-        ).otherwise(ring),
+    """Turn the first ring counter-clockwise and the others (holes) clockwise; rings of
+    fewer than four points are left out."""
+    return F.transform(closed_rings(rings), lambda ring, i: _turned(ring, i == 0))
+
+
+def orient_nested(rings: Column | str) -> Column:
+    """Turn rings of any order and turn by their nesting: counter-clockwise outside all
+    others or inside an even number of them, else clockwise (holes).
+
+    A ring lies in another one if a corner or the middle of a side does, off its sides; of
+    rings with the same corners the later lies in the earlier. Rings of fewer than four
+    points are left out.
+    """
+    closed = closed_rings(rings)
+
+    def inside(ring: Column, other: Column) -> Column:
+        sides = _ring_edges(other)
+        return F.exists(
+            _ring_edges(ring),
+            lambda s: strictly_inside(s["x1"], s["y1"], sides)
+            | strictly_inside((s["x1"] + s["x2"]) / 2, (s["y1"] + s["y2"]) / 2, sides),
+        )
+
+    def corners(ring: Column) -> Column:
+        return F.array_sort(F.array_distinct(ring))
+
+    def turned(ring: Column, i: Column) -> Column:
+        around = F.filter(
+            closed,
+            lambda other, j: (i != j)
+            & (inside(ring, other) | ((j < i) & (corners(other) == corners(ring)))),
+        )
+        return _turned(ring, F.size(around) % 2 == 0)
+
+    return F.when(F.size(closed) == 1, F.transform(closed, lambda r: _turned(r, F.lit(True)))).otherwise(
+        F.transform(closed, turned)
     )
 
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.geometry import box, edges, edges_in_band, strictly_inside
+from headway.functions.geometry import box, edges, edges_in_band, orient_nested, strictly_inside
 from headway.functions.missing import quoted
 from headway.functions.projection import convert
 from headway.operators.joins import join
@@ -58,9 +58,12 @@ def as_points(df: DataFrame, x: str, y: str, epsg: int) -> DataFrame:
     )
 
 
-def as_polygons(df: DataFrame, rings: str, epsg: int) -> DataFrame:
+def as_polygons(df: DataFrame, rings: str, epsg: int, oriented: bool = False) -> DataFrame:
+    """Turn a column of rings into a polygon table. Rings are turned by their nesting, so
+    that holes subtract from areas, unless they are known to be ``oriented``."""
     rest = [F.col(quoted(c)) for c in df.columns if c != rings]
-    return df.select(*rest, _tagged(F.col(quoted(rings)), "rings", epsg))
+    shape = F.col(quoted(rings)) if oriented else orient_nested(F.col(quoted(rings)))
+    return df.select(*rest, _tagged(shape, "rings", epsg))
 
 
 def drop_geometry(df: DataFrame) -> DataFrame:

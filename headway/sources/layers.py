@@ -61,7 +61,7 @@ def read_polygons(
         *[F.col(f"properties.{quoted(f.name)}").alias(f.name) for f in kept.fields],
         rings.alias("rings"),
     )
-    return as_polygons(table, "rings", epsg)
+    return as_polygons(table, "rings", epsg, oriented=True)
 
 
 def read_points(

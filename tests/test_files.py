@@ -159,6 +159,15 @@ def test_map_layers(spark):
     assert rows(both.select("layer", "value")) == [("one", 3), ("two", 3)]
 
 
+def test_map_layers_of_areas_and_points(spark):
+    shapes = polygon_table(spark, {"a": [SQUARE]}).withColumn("score", F.lit(3))
+    points = as_points(spark.createDataFrame([(5, 1.0, 2.0)], "score int, px double, py double"), "px", "py", 2926)
+    found = [json.loads(r.value) for r in files.as_features(files.map_layer({"areas": shapes, "stops": points}, "score")).collect()]
+    assert sorted((f["properties"]["layer"], f["geometry"]["type"]) for f in found) == [("areas", "MultiPolygon"), ("stops", "Point")]
+    with pytest.raises(ValueError, match="one reference system"):
+        files.map_layer({"areas": shapes, "stops": as_points(points, "x", "y", 4326)}, "score")
+
+
 def test_csv_and_table_sets(spark, tmp_path):
     frame = spark.createDataFrame([(1, None), (2, "x,y")], "id int, note string")
     out = str(tmp_path / "csv")

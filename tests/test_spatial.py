@@ -163,6 +163,15 @@ def test_areas(spark):
     assert loose.select(polygon_area(orient("rings"))).first()[0] == 12.0
 
 
+def test_rings_of_any_turn_and_empty_rings(spark):
+    island = [(1.5, 1.5), (2.5, 1.5), (2.5, 2.5), (1.5, 2.5), (1.5, 1.5)]
+    frame = polygon_table(
+        spark, {"e": [SQUARE, []], "h": [SQUARE, HOLE[::-1]], "i": [island, HOLE, SQUARE[::-1]], "n": [[]]}
+    )
+    got = frame.select("area", polygon_area("rings"), F.size(parts("rings")))
+    assert rows(got) == [("e", 16.0, 1), ("h", 12.0, 1), ("i", 13.0, 2), ("n", 0.0, 0)]
+
+
 def test_inside_needs_no_join(spark):
     frame = polygon_table(spark, {"a": [SQUARE]})
     inside = strictly_inside(F.lit(1.0), F.lit(1.0), edges("rings"))

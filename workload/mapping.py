@@ -82,6 +82,13 @@ SELECT cast(s_suppkey AS int) AS SERVICE_RTE_NUM,
 FROM {supplier}
 """
 
+# Routes of no pass-up among them.
+ALL_ROUTES = f"""{ROUTES}UNION ALL
+SELECT cast(1000000000 + n_nationkey AS int), CAST(NULL AS string), n_name, n_nationkey % 2,
+  CASE WHEN n_nationkey % 3 = 0 THEN 1 ELSE 0 END, n_nationkey % 5 + 1, 1, 'CITY', 'CITY', 'BUS'
+FROM {{nation}}
+"""
+
 DATES = """
 SELECT FULL_DATE, cast(extract(year FROM FULL_DATE) AS int) AS CAL_YEAR_NUM,
   cast(extract(month FROM FULL_DATE) AS int) AS CAL_MONTH_IN_YEAR_NUM,

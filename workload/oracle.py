@@ -428,8 +428,7 @@ SELECT {RATE_KEYS}, count(*) AS sum_monthly_passups, count(*) / DAYS_IN_MONTH AS
   count(*) / (daily_trips * DAYS_IN_MONTH) AS pct_trips_with_passup
 FROM joined GROUP BY {RATE_KEYS}"""
 ORACLE["routes_without_passups"] = f"""
-SELECT * FROM {cte(m.ROUTES)} WHERE SERVICE_RTE_NUM NOT IN (SELECT SERVICE_RTE_NUM FROM {EVENTS}
-  WHERE MESSAGE_TEXT = 'Full bus' AND FULL_DATE < date '1996-02-01')"""
+SELECT * FROM {cte(m.ALL_ROUTES)} WHERE SERVICE_RTE_NUM NOT IN (SELECT SERVICE_RTE_NUM FROM {EVENTS})"""
 ORACLE["passups_by_stop"] = f"""
 SELECT STOP_ID, MESSAGE_TEXT, CAL_MONTH_IN_YEAR_NUM, CAL_YEAR_NUM, DAYS_IN_MONTH,
   SCHED_DAY_TYPE_CODED_NUM, XCOORD_OFFSET, YCOORD_OFFSET, count(*) AS sum_monthly_passups_by_stop

@@ -643,8 +643,7 @@ def passup_rate(t):
 
 @query
 def routes_without_passups(t):
-    full = _events(t).where(F.col("MESSAGE_TEXT") == "Full bus").where(F.col("FULL_DATE") < "1996-02-01")
-    return passups.routes_without_passups(t.view(m.ROUTES), full)
+    return passups.routes_without_passups(t.view(m.ALL_ROUTES), _events(t))
 
 
 @query
