@@ -156,7 +156,15 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def slices(batch: pa.RecordBatch, rows: int = 2500):
-    """Parts of a batch, so that what a task holds at once stays small."""
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+def slices(batch: pa.RecordBatch, rows: int = 2500, size: int = 1 << 24):
+    """Parts of at most ``rows`` rows and about ``size`` bytes of text, however long one text
+    is, so that what a task holds at once stays small."""
+    if not batch.num_rows:
+        return
+    weight = np.full(batch.num_rows, -(-size // rows), np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            weight += np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64)
+    cuts = np.flatnonzero(np.diff(np.cumsum(weight) // size)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+        yield batch.slice(a, b - a)

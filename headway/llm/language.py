@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from headway.llm.common import slices
+
 BUCKETS = 1 << 15
 GRAMS = (2, 3, 4, 5)
 UNKNOWN = "und"
@@ -132,24 +134,31 @@ def train(texts: list[str], labels: list[str], seed: int = 7, size: int = 16, ep
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", limit: int = SAMPLE_TEXTS) -> LanguageModel | None:
     """Model of rows whose text and language are given; None if there is none.
 
-    The sample takes the rows of smallest hashed id, evenly by language, at most
-    ``limit`` in all, a window of ``SAMPLE_WORDS`` words of each.
+    The sample takes the rows of smallest hashed id (of the text where the id is missing),
+    evenly by language, at most ``limit`` in all, a window of ``SAMPLE_WORDS`` words of each.
     """
-    known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    kinds = known.select(lang_col).distinct().count()
-    if not kinds:
+    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).cast("string").alias("id"))
+    known = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
         return None
-    by = Window.partitionBy(lang_col).orderBy("draw", F.xxhash64(text_col))
-    words = F.split(F.trim(F.col(text_col)), r"\s+")
+    quota = max(1, limit // len(sizes))
+    # A frequent language sends about twice its quota of rows to the ranking, the smallest
+    # draws, whatever its size: fewer than the quota is out of reach (20 deviations).
+    cuts = [x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(2**63 - 1, int(2**63 * (2 * quota + 64) / n))))]
+    drawn = known.withColumn("draw", F.abs(F.xxhash64(F.coalesce("id", "text")))).where(F.col("draw") <= F.create_map(*cuts)[F.col("lang")])
+    words = F.split(F.trim(F.col("text")), r"\s+")
     # Windows of 1 to SAMPLE_WORDS words, so that short texts are learned too.
     span = (F.lit(2) ** (F.pmod("draw", F.lit(997)) / 996.0 * np.log2(SAMPLE_WORDS))).cast("int")
     first = F.pmod(F.col("draw"), F.greatest(F.size("words") - span + 1, F.lit(1))).cast("int") + 1
+    window = F.array_join(F.slice("words", first, span), " ").alias("text")
+    by = Window.partitionBy("lang").orderBy("draw", "tie", "text")
     sample = (
-        known.withColumn("draw", F.abs(F.xxhash64(F.col(id_col).cast("string"))))
+        drawn.select("lang", "draw", F.xxhash64("text").alias("tie"), words.alias("words"))
+        .select("lang", "draw", "tie", window)
         .withColumn("place", F.row_number().over(by))
-        .where(F.col("place") <= max(1, limit // kinds))
-        .withColumn("words", words)
-        .select(F.array_join(F.slice("words", first, span), " ").alias("text"), F.col(lang_col).alias("lang"), "draw")
+        .where(F.col("place") <= quota)
+        .select("text", "lang", "draw")
         .toPandas()
         .sort_values(["draw", "lang", "text"])
     )
@@ -164,8 +173,8 @@ def predicted(text: Column, model: LanguageModel | None) -> Column:
 
     def predict(texts: pa.Array) -> pa.Array:
         parts = []
-        for at in range(0, len(texts), 2000):
-            part = texts.slice(at, 2000)
+        for some in slices(pa.RecordBatch.from_arrays([texts], ["text"]), 1000, 1 << 21):
+            part = some.column(0)
             letters = pc.fill_null(pc.match_substring_regex(part, r"\p{L}"), False).to_numpy(zero_copy_only=False)
             lang, score = np.full(len(part), UNKNOWN, object), np.zeros(len(part))
             if model is not None and letters.any():
