@@ -15,7 +15,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.common import encoder, slices, stored
@@ -120,8 +120,25 @@ def plan(histogram: dict[int, int], room: int) -> list[tuple[int, int, int, int,
     return dealt
 
 
-def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, length: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each document's ids and ``end_id``, cut at multiples of ``length``."""
+def id_bytes(tokenizer: str, end_id: int) -> int:
+    """Bytes that hold every id while pieces move: two if they do, else four."""
+    largest = max(end_id, *encoder(tokenizer).tokenizer.get_vocab().values())
+    return 2 if largest < 1 << 16 else 4
+
+
+def widened(ids: Column) -> Column:
+    """Ids of two bytes as ids of four."""
+
+    def widen(packed: pa.Array) -> pa.Array:
+        return pa.array([np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in packed.to_pylist()], pa.binary())
+
+    return F.arrow_udf(widen, "binary")(ids)
+
+
+def pieces_of(
+    docs: DataFrame, tokenizer: str, end_id: int, length: int, id_col: str = "doc_id", text_col: str = "text", width: int = 4
+) -> DataFrame:
+    """Each document's ids (``width`` bytes each) and ``end_id``, cut at multiples of ``length``."""
 
     def cut(batches):
         encode = encoder(tokenizer)
@@ -131,7 +148,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, length: int, id_col:
                 ends = np.cumsum(counts)
                 rows = [[], [], [], [], []]
                 for owner, a, b in zip(part.column(0).to_pylist(), (ends - counts).tolist(), ends.tolist()):
-                    ids = np.append(flat[a:b], np.uint32(end_id)).astype("<u4")
+                    ids = np.append(flat[a:b], np.uint32(end_id)).astype(f"<u{width}")
                     for at in range(0, len(ids), length):
                         piece = ids[at : at + length]
                         for column, v in zip(rows, (owner, at, len(piece), len(ids), piece.tobytes())):
@@ -153,7 +170,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048, id_co
     have no gaps.
     """
     spark = docs.sparkSession
-    made = stored(pieces_of(docs, tokenizer, end_id, length, id_col, text_col), "pieces")
+    width = id_bytes(tokenizer, end_id)
+    made = stored(pieces_of(docs, tokenizer, end_id, length, id_col, text_col, width), "pieces")
     units = F.ceil(F.col("length") / GRAIN).cast("int")
     histogram = {r["units"]: r["n"] for r in made.groupBy(units.alias("units")).agg(F.count("*").alias("n")).collect()}
 
@@ -187,15 +205,17 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048, id_co
     tail = F.struct(
         (F.col("start") + F.col("mine.head")).alias("start"),
         (F.col("length") - F.col("mine.head")).alias("length"),
-        F.expr("substring(ids, 4 * mine.head + 1)").alias("ids"),
+        F.expr(f"substring(ids, {width} * mine.head + 1)").alias("ids"),
         (F.col("sequence_id") + 1).alias("sequence_id"),
     )
     head = F.struct(
-        "start", F.col("mine.head").cast("long").alias("length"), F.expr("substring(ids, 1, 4 * mine.head)").alias("ids"), "sequence_id"
+        "start", F.col("mine.head").cast("long").alias("length"), F.expr(f"substring(ids, 1, {width} * mine.head)").alias("ids"), "sequence_id"
     )
     whole = F.struct("start", "length", "ids", "sequence_id")
     parts = F.when(F.col("mine.head") == 0, F.array(whole)).otherwise(F.array(head, tail))
     cut = placed.select("doc_id", "doc_tokens", F.explode(parts).alias("part")).select("doc_id", "doc_tokens", "part.*")
     within = Window.partitionBy("sequence_id").orderBy(F.col("length").desc(), "doc_id", "start")
     before = F.coalesce(F.sum("length").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return cut.select("doc_id", "start", "length", "doc_tokens", "ids", "sequence_id", before.alias("offset"))
+    ids = F.col("ids") if width == 4 else widened(F.col("ids"))
+    placed = cut.select("doc_id", "start", "length", "doc_tokens", "ids", "sequence_id", before.alias("offset"))
+    return placed.withColumn("ids", ids)
