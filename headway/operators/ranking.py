@@ -1,22 +1,25 @@
 """Positions, equal-sized buckets and top rows per group.
 
-A group may be larger than one task should hold. The group sizes are measured
-first; small groups use a plain window, larger ones a range-partitioned sort in
-which a group spreads over many partitions and only per-partition counts meet.
+A group may be larger than one task should hold. Ranks are found in two levels: a row's
+place is computed from cut points, a group spreads over many places and only the counts
+of places meet; then rows are numbered inside their place.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import BooleanType, DataType, DateType, MapType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from headway.functions.missing import quoted
-from headway.operators.joins import attach
-from headway.session import durable
+from headway.operators.joins import attach, join
 
+# Bytes of a text that decide on its place.
+KEY_BYTES = 7
 # Largest group, in rows, that may be sorted inside one task.
 GROUP_LIMIT = 2_000_000
 # Most rows per group a map task may pass on; Spark cuts row numbers before the
@@ -46,19 +49,15 @@ def rows_at_ranks(
     ``targets`` maps the group's total to an array of (label, rank) structs. With
     ``weight`` a row stands for that many rows. Returns the keys, the order
     columns, ``__label`` and ``__total``. ``order`` should tell rows apart, since
-    equal rows share a partition.
+    equal rows share a place.
 
-    Every partition of the range sort learns how many rows of the group come
-    before it; only partitions holding a wanted rank are then looked into.
+    Every place of the order learns how many rows of the group come before it; only
+    places holding a wanted rank are then looked into.
     """
     unit = F.lit(1).cast("long") if weight is None else F.col(quoted(weight)).cast("long")
     rows = df.select(*_cols(keys), *_cols([o for o in order if o not in keys]), unit.alias("__w"))
-    ranged = durable(
-        rows.repartitionByRange(*_cols([*keys, *order])).withColumn(
-            "__slot", F.spark_partition_id()
-        )
-    )
-    # At most one row per key and partition.
+    ranged = rows.withColumn("__slot", Places(rows, order[:1], order[1:]).of(order[0]))
+    # At most one row per key and place.
     slots = ranged.groupBy(*_cols(keys), "__slot").agg(F.sum("__w").alias("__n"))
     upto = Window.partitionBy(*_cols(keys)).orderBy("__slot")
     everything = Window.partitionBy(*_cols(keys))
@@ -99,113 +98,137 @@ def _present(df: DataFrame, name: str) -> Column:
     return column.isNotNull()
 
 
+def _order_key(column: Column, kind: DataType) -> Column:
+    """A column that rises with ``column`` and has approximate percentiles; of a text the
+    number of its first bytes, of types without an order a constant."""
+    if isinstance(kind, StringType):
+        digits = F.rpad(F.hex(F.substring(F.encode(column, "utf-8"), 1, KEY_BYTES)), 2 * KEY_BYTES, "0")
+        return F.conv(digits, 16, 10).cast("long")
+    if isinstance(kind, BooleanType):
+        return column.cast("int")
+    if isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        return column
+    return F.when(column.isNotNull(), 0)
+
+
+class Places:
+    """Where a row stands in an order, as a number computed from the row alone.
+
+    Cut points of each column, approximate percentiles of all its rows, are read once and
+    become literals, so a lost task finds the same places again and nothing is stored. A
+    value so frequent that several cut points fall on it is divided further: by the cut
+    points of the first tiebreak, or without one by the hash of the row. Only the balance
+    depends on the cut points, never a result.
+    """
+
+    def __init__(self, df: DataFrame, columns: Sequence[str], tiebreak: Sequence[str]):
+        self.df, self.tiebreak = df, list(tiebreak)
+        self.slots = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        names = list(dict.fromkeys([*columns, *self.tiebreak[:1]]))
+        keys = [F.when(_present(df, c), self._key(c)) for c in names]
+        types = [field.dataType for field in df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)]).schema]
+        shares = [k / self.slots for k in range(1, self.slots)]
+        found = df.select(
+            *[F.percentile_approx(k, shares, 10 * self.slots).cast("array<string>").alias(f"k{i}") for i, k in enumerate(keys)]
+        ).first()
+        self.cuts = {c: ([*map(str, texts)] if texts else [], kind) for c, texts, kind in zip(names, found, types)}
+
+    def _key(self, name: str) -> Column:
+        return _order_key(F.col(quoted(name)), self.df.schema[name].dataType)
+
+    def _slot(self, name: str) -> Column:
+        """Number of different cut points at or below the row's value."""
+        texts, kind = self.cuts[name]
+        cuts = list(dict.fromkeys(texts))
+        if not cuts:
+            return F.lit(0)
+        key, width = self._key(name), math.isqrt(len(cuts)) + 1
+        runs = [F.array(*[F.lit(t).cast(kind) for t in cuts[at : at + width]]) for at in range(0, len(cuts), width)]
+        below = lambda values: F.size(F.filter(values, lambda cut: cut <= key))
+        run = below(F.array(*[F.lit(t).cast(kind) for t in cuts[::width]]))
+        inside = (run - 1) * width + below(F.get(F.array(*runs), run - 1))
+        return F.when(key.isNull(), 0).when(run > 0, inside).otherwise(0)
+
+    def of(self, name: str) -> Column:
+        """Place of a row by ``name`` and the tiebreak; missing values stand first."""
+        texts, kind = self.cuts[name]
+        hot = [text for text, times in Counter(texts).items() if times > 1]
+        divided = F.lit(self.slots)
+        if hot and not isinstance(self.df.schema[name].dataType, StringType):
+            if self.tiebreak:
+                part = self._slot(self.tiebreak[0])
+            else:
+                part = F.pmod(self._hash(), F.lit(self.slots))
+            divided = F.when(self._key(name).isin(*[F.lit(t).cast(kind) for t in hot]), part).otherwise(self.slots)
+        place = 1 + self._slot(name).cast("long") * 2 * self.slots + divided
+        return F.when(F.col(quoted(name)).isNotNull(), place).otherwise(0)
+
+    def aside(self) -> Column:
+        """Place below 0 for rows that are not ranked, dealt evenly."""
+        return -1 - F.pmod(self._hash(), F.lit(self.slots))
+
+    def _hash(self) -> Column:
+        plain = [f.name for f in self.df.schema if not isinstance(f.dataType, MapType)]
+        return F.xxhash64(*_cols(plain))
+
+
 def ntile(
     df: DataFrame,
     columns: Mapping[str, str],
     n: int,
     keys: Sequence[str] = (),
     tiebreak: Sequence[str] = (),
-    group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Split each group into ``n`` buckets of almost equal size, 1 the lowest.
 
-    ``columns`` maps result names to columns; of several types they compare as doubles. Missing values get no
-    bucket and are not counted; the larger buckets come first. ``tiebreak``
-    names columns that, with the value, tell the rows of a group apart.
-    """
-    if keys and largest_group(df, keys) <= group_limit:
-        for out, name in columns.items():
-            present = _present(df, name)
-            window = Window.partitionBy(*_cols(keys), present).orderBy(*_cols([name, *tiebreak]))
-            df = df.withColumn(out, F.when(present, F.ntile(n).over(window)))
-        return df
-    return _ntile_by_cuts(df, columns, n, keys, tiebreak)
-
+    ``columns`` maps result names to columns, each compared in its own type. Missing
+    values get no bucket and are not counted; the larger buckets come first. Rows that
+    tie in the value and ``tiebreak`` are divided arbitrarily, so bucket sizes always
+    differ by at most one.
 
-def _ntile_by_cuts(df, columns, n, keys, tiebreak) -> DataFrame:
-    """Buckets from the first row of each, so wide rows are never sorted.
-
-    All columns are ranked in one long table of (column, keys, value, tiebreak);
-    a row's bucket is the number of bucket starts at or below it.
+    A group of any size is ranked in places: the rows of each are counted, the counts
+    added up, and a row's rank is what lies before its place plus its number inside.
     """
-    own_types = {df.schema[name].dataType for name in columns.values()}
-    kind = own_types.pop() if len(own_types) == 1 else DoubleType()
-    measures = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(out).alias("out"),
-                    F.when(_present(df, name), F.col(quoted(name)).cast(kind)).alias("value"),
-                )
-                for out, name in columns.items()
-            ]
-        )
+    places = Places(df, list(columns.values()), tiebreak)
+    at = {out: f"__place_{out}" for out in columns}
+    marked = df.withColumns(
+        {at[out]: F.when(_present(df, name), places.of(name)).otherwise(places.aside()) for out, name in columns.items()}
     )
-    long = df.select(*_cols(keys), *_cols(tiebreak), measures.alias("__m")).select(
-        F.col("__m.out").alias("__out"),
+    each = F.explode(F.array(*[F.struct(F.lit(o).alias("out"), F.col(quoted(p)).alias("place")) for o, p in at.items()]))
+    counts = (
+        marked.select(*_cols(keys), each.alias("__at"))
+        .where("__at.place >= 0")
+        .groupBy(*_cols(keys), F.col("__at.out").alias("__out"), F.col("__at.place").alias("__place"))
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
+    group = Window.partitionBy(*_cols(keys), "__out")
+    starts = counts.select(
         *_cols(keys),
-        F.col("__m.value").alias("__value"),
-        *_cols(tiebreak),
+        "__out",
+        "__place",
+        (F.sum("__n").over(group.orderBy("__place")) - F.col("__n")).alias("__before"),
+        F.sum("__n").over(group).alias("__total"),
     )
-
-    def starts(total: Column) -> Column:
+    if not keys:
+        # At most 2 * slots rows for each column, slots more for each hot value.
+        starts = df.sparkSession.createDataFrame(starts.collect(), starts.schema)
+    ranked = marked
+    for out, name in columns.items():
+        mine = starts.where(F.col("__out") == out).drop("__out").withColumnRenamed("__place", at[out])
+        inside = Window.partitionBy(*_cols([*keys, at[out]])).orderBy(*_cols([name, *tiebreak]))
+        numbered = ranked.withColumn("__row", F.row_number().over(inside))
+        joined = join(numbered, mine, by=[*keys, at[out]], how="left")
+        rank, total = F.col("__before") + F.col("__row"), F.col("__total")
         even, extra = F.floor(total / n), total % n
-        return F.array(
-            *[
-                F.struct(
-                    F.lit(str(b)).alias("label"),
-                    F.when(
-                        total > b, even * b + F.least(extra, F.lit(b)) + 1
-                    ).cast("long").alias("rank"),
-                )
-                for b in range(1, n)
-            ]
-        )
-
-    found = rows_at_ranks(
-        long.where(F.col("__value").isNotNull()),
-        ["__out", *keys],
-        ["__value", *tiebreak],
-        starts,
-    )
-    types = {name: df.schema[name].dataType for name in tiebreak}
-    types["__value"] = kind
-    ties = ["__value", *tiebreak]
-    cuts = {out: [f"__cut_{out}_{b}" for b in range(1, n)] for out in columns}
-    if keys:
-        start = F.struct(*_cols(ties))
-        table = found.groupBy(*_cols(keys)).agg(
-            *[
-                F.max(
-                    F.when((F.col("__out") == out) & (F.col("__label") == str(b)), start)
-                ).alias(cut)
-                for out in columns
-                for b, cut in enumerate(cuts[out], start=1)
-            ]
+        large = (even + 1) * extra
+        bucket = F.when(rank <= large, F.floor((rank - 1) / (even + 1)) + 1).otherwise(
+            extra + F.floor((rank - large - 1) / F.greatest(even, F.lit(1))) + 1
         )
-        placed = attach(df, table, keys)
-        cut_of = {cut: F.col(quoted(cut)) for names in cuts.values() for cut in names}
-    else:
-        # n - 1 rows per column: small enough to become literals of the last pass.
-        placed = df
-        texts = [F.col(quoted(c)).cast("string").alias(c) for c in ties]
-        cut_of = {
-            f"__cut_{row['__out']}_{row['__label']}": F.struct(
-                *[F.lit(row[c]).cast(types[c]).alias(c) for c in ties]
-            )
-            for row in found.select("__out", "__label", *texts).collect()
-        }
-    results = {}
-    for out, name in columns.items():
-        own = F.struct(F.col(quoted(name)).cast(kind).alias("__value"), *_cols(tiebreak))
-        bucket = F.lit(1)
-        for cut in cuts[out]:
-            if cut in cut_of:
-                bucket = bucket + F.when(cut_of[cut] <= own, 1).otherwise(0)
-        results[out] = F.when(_present(df, name), bucket)
-    return placed.withColumns(results).select(
-        *_cols(df.columns), *_cols([o for o in columns if o not in df.columns])
-    )
+        ranked = joined.withColumn(f"__bucket_{out}", bucket.cast("int")).drop("__row", "__before", "__total")
+    results = [F.col(quoted(f"__bucket_{out}")).alias(out) for out in columns]
+    kept = [c for c in df.columns if c not in columns]
+    done = ranked.select(*_cols(kept), *results)
+    return done.select(*_cols(df.columns), *_cols([o for o in columns if o not in df.columns]))
 
 
 def slice_max(df: DataFrame, value: str, n: int, keys: Sequence[str] = ()) -> DataFrame:

@@ -33,7 +33,7 @@ def skewed(spark):
 
 @pytest.mark.parametrize("keys", [["g"], []])
 def test_spread_out_buckets_equal_window_buckets(skewed, keys):
-    got = ranking.ntile(skewed, {"q": "v", "p": "id"}, 5, keys, ["id"], group_limit=0)
+    got = ranking.ntile(skewed, {"q": "v", "p": "id"}, 5, keys, ["id"])
     part = ", ".join([*keys, "v IS NULL"])
     skewed.createOrReplaceTempView("skewed")
     expected = skewed.sparkSession.sql(
@@ -43,10 +43,19 @@ def test_spread_out_buckets_equal_window_buckets(skewed, keys):
     assert rows(got) == rows(expected)
 
 
-def test_both_bucket_paths_agree(skewed):
-    small = ranking.ntile(skewed, {"q": "v"}, 4, ["g"], ["id"])
-    large = ranking.ntile(skewed, {"q": "v"}, 4, ["g"], ["id"], group_limit=10)
-    assert rows(small) == rows(large)
+@pytest.mark.parametrize("keys", [["g"], []])
+def test_all_tied_rows_are_divided_evenly(spark, keys):
+    frame = spark.createDataFrame([("a" if i % 3 else "b", 1.0) for i in range(31)], "g string, v double")
+    got = ranking.ntile(frame, {"q": "v"}, 5, keys).groupBy(*keys, "q").count().collect()
+    for g in {r["g"] for r in got} if keys else {None}:
+        sizes = [r["count"] for r in got if not keys or r["g"] == g]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+
+
+def test_columns_compare_in_their_own_type(spark):
+    frame = spark.createDataFrame([(2**53 + i, float(-i), "abcdefgh" + "dcba"[i]) for i in range(4)], "a long, b double, c string")
+    got = ranking.ntile(frame, {"qa": "a", "qb": "b", "qc": "c"}, 4).orderBy("a").collect()
+    assert [(r["qa"], r["qb"], r["qc"]) for r in got] == [(1, 4, 4), (2, 3, 3), (3, 2, 2), (4, 1, 1)]
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -127,11 +136,10 @@ def test_nth_row(skewed, monkeypatch, limit):
     assert groups.nth_rows(skewed, ["g"], ["id"], 5000).isEmpty()
 
 
-def test_hot_group_is_spread_over_partitions(spark):
-    """Ranking one hot group never needs a task holding all of it."""
-    frame = spark.range(0, 80_000, numPartitions=8).select(
-        F.lit("hot").alias("g"), F.col("id").cast("double").alias("v")
-    )
-    ranged = frame.repartitionByRange("g", "v").withColumn("slot", F.spark_partition_id())
-    sizes = [r["count"] for r in ranged.groupBy("slot").count().collect()]
-    assert len(sizes) > 4 and max(sizes) < 40_000
+@pytest.mark.parametrize("tiebreak", [["id"], []])
+def test_frequent_value_is_spread_over_places(spark, tiebreak):
+    """A value on nine tenths of the rows never has to sit in one place."""
+    frame = spark.range(0, 40_000, numPartitions=8).select(F.when(F.col("id") % 10 > 0, 5.0).otherwise(F.col("id").cast("double")).alias("v"), "id")
+    place = ranking.Places(frame, ["v"], tiebreak).of("v")
+    sizes = [r["count"] for r in frame.groupBy(place.alias("p")).count().collect()]
+    assert len(sizes) > 7 and max(sizes) < 8_000
