@@ -179,6 +179,19 @@ ORACLE["ntile_grouped"] = f"SELECT * FROM {RANKED}"
 ORACLE["quintile_counts"] = f"""
 SELECT SERVICE_RTE_NUM, quintile_rank, count(*) AS trips FROM {RANKED}
 WHERE SERVICE_RTE_NUM IN (3, 4) GROUP BY ALL"""
+ORACLE["ntile_ties"] = """
+SELECT l_returnflag, bucket, l_linenumber, count(*) AS trips FROM (
+  SELECT l_returnflag, l_linenumber,
+    cast(ntile(5) OVER (PARTITION BY l_returnflag ORDER BY l_linenumber) AS int) AS bucket
+  FROM lineitem) AS ranked
+GROUP BY l_returnflag, bucket, l_linenumber
+"""
+ORACLE["ntile_mixed_types"] = """
+SELECT o_orderkey, o_orderkey + 9007199254740992 AS big, o_totalprice,
+  cast(ntile(4) OVER (ORDER BY o_orderkey) AS int) AS big_quartile,
+  cast(ntile(4) OVER (ORDER BY o_totalprice, o_orderkey) AS int) AS price_quartile
+FROM orders
+"""
 ORACLE["ntile_global"] = """
 SELECT p_partkey, p_size, nullif(p_size, 17) AS size, p_retailprice,
   CASE WHEN p_size <> 17 THEN cast(ntile(5) OVER (PARTITION BY p_size = 17

@@ -381,6 +381,22 @@ def ntile_global(t):
     )
 
 
+@query
+def ntile_ties(t):
+    """Rows per bucket and value: which of the tied rows a bucket gets is open, how many is not."""
+    lines = t.lineitem.select("l_returnflag", "l_linenumber")
+    ranked = ranking.ntile(lines, {"bucket": "l_linenumber"}, 5, ["l_returnflag"])
+    return ranked.groupBy("l_returnflag", "bucket", "l_linenumber").agg(agg.rows().alias("trips"))
+
+
+@query
+def ntile_mixed_types(t):
+    prices = t.orders.select("o_orderkey", (F.col("o_orderkey") + F.lit(2**53)).alias("big"), "o_totalprice")
+    return ranking.ntile(
+        prices, {"big_quartile": "big", "price_quartile": "o_totalprice"}, 4, tiebreak=["o_orderkey"]
+    )
+
+
 @query
 def slice_max_ties(t):
     return ridership.busiest_trips(t.view(m.SPARSE_TRIPS), "boardings", 10)
