@@ -31,21 +31,27 @@ TOKEN = re.compile(
 HINT = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 # Labelled pages: what stands between <!--+--> and <!----> marks is content.
 LABELLED = [
-    """<html><body><header class="site-header masthead"><a href="/">w w</a></header><nav class="menu navbar"><ul><li><a>w</a></li>
+    """<html><body><header class="header masthead"><a href="/">w w w</a> w w w w</header><nav class="menu navbar"><ul><li><a>w</a></li>
     <li><a>w w</a></li><li><a>w</a></li></ul></nav><main><article><!--+--><h1>w w w w</h1><p>w w w w w w w w w w w w <b>w w</b> w</p><p>w w w w
     w w w w <a>w w</a> w w w w</p><ul><li>w w w w</li><li>w w w w w</li></ul><p>w w w w w w w w w w w</p><!----><aside class="related">
     <h3>w w</h3><p>w w w w w w</p><ul><li><a>w w</a></li></ul></aside></article></main><footer class="footer"><p>w w w w w</p></footer></body></html>""",
-    """<body><div class="cookie notice consent banner">w w w w w w w <button>w</button></div><div id="nav" role="navigation"><ul><li><a>w</a></li></ul></div>
+    """<body><div class="cookie notice consent banner">w w w w w w w <button>w</button></div><div id="nav" role="navigation" class="nav navigation"><ul><li><a>w w w w w w</a></li></ul></div>
     <div class="ad ads advert advertisement">w w w w w w w</div><div class="content post"><!--+--><h1>w w w</h1><p>w w w w w w w w w w w w w w w</p><!---->
     <div class="ad sponsor promo">w w w w w w</div><!--+--><p>w w w w w w w w w w w</p><blockquote>w w w w w w</blockquote><pre>w w w</pre><!----></div>
-    <div class="share social"><a>w</a><a>w</a></div><div class="sidebar widget"><p>w w w w w w</p><ul><li><a>w w</a></li></ul></div>
+    <div class="share social"><a>w w w</a><a>w w w</a></div><div class="sidebar widget"><p>w w w w w w</p><ul><li><a>w w</a></li></ul></div>
     <section id="comments" class="comments comment-list"><div class="comment"><p>w w w w w w w</p></div><div class="comment reply"><p>w w w w w</p></div>
     <form class="respond"><label>w</label><p>w w</p></form></section><div id="footer">w w w w <a>w</a></div></body>""",
-    """<body><div role="banner" id="header">w w w</div><ol class="breadcrumb breadcrumbs"><li><a>w</a></li><li><a>w</a></li></ol><article><!--+--><h1>w w w w w</h1>
+    """<body><div role="banner" id="header">w w w</div><ol class="breadcrumb breadcrumbs"><li><a>w w w</a></li><li><a>w w w</a></li></ol><article><!--+--><h1>w w w w w</h1>
     <h2>w w</h2><p>w w w w w w w w w w w w w w</p><figure><figcaption>w w w w</figcaption></figure><table><tr><td>w w</td><td>w w</td></tr></table>
     <p>w w w w w w w w w w w w</p><!----></article><form class="newsletter subscribe signup"><p>w w w w w w</p></form><div class="popup modal alert">w w w w</div>
-    <aside role="complementary" class="aside"><p>w w w w w w w</p></aside><dialog>w w w</dialog><footer role="contentinfo"><p>w w w w w w w</p></footer></body>""",
+    <aside role="complementary" class="aside"><p>w w w w w w w</p></aside><dialog role="dialog">w w w w w w w</dialog><footer role="contentinfo"><p>w w w w w w w</p></footer></body>""",
 ]
+# Elements whose class speaks of the whole page, and the start of classes that say what a
+# page is about or has, as in "category-social" and "has-sidebar".
+WHOLE = ("html", "body", "main")
+ABOUT = ("category-", "tag-", "has-", "no-")
+# Elements, and words of a class, whose header holds a title.
+TITLED = {"article", "main", "section", ".post", ".entry", ".article", ".section"}
 # Odds below which an element is never content; words in it cost next to nothing, so that a
 # region reaches over it.
 NEVER = -2.0
@@ -56,8 +62,12 @@ def hints(name: str, rest: str) -> tuple[str, ...]:
     """What an element says of its words: its name and the words of class, id and role."""
     kind = "h" if re.fullmatch(r"h[1-6]", name) else name
     found = [kind]
+    if name in WHOLE:
+        return (kind,)
     for value in HINT.findall(rest):
-        found += ["." + w for w in re.split(r"[^a-z]+", value.lower()) if w]
+        for word in value.lower().strip("\"'").split():
+            if not word.startswith(ABOUT):
+                found += ["." + w for w in re.split(r"[^a-z]+", word) if w]
     return tuple(found)
 
 
@@ -124,13 +134,13 @@ NEUTRAL = ("html", "body", "div", "section", "a", "li", "ul", "ol", "span", "mai
 def scored(stack: list[tuple[str, tuple[str, ...]]]) -> float:
     """Score of one word in the open elements."""
     known, _ = weights()
-    total, article = 1.0, False
+    total, titled = 1.0, False
     for name, found in stack:
-        article |= name in ("article", "main")
+        titled |= not TITLED.isdisjoint(found)
         if name in UNREAD:
             return BRIDGE
         for h in found:
-            if h in NEUTRAL or article and h == "header":  # the header of an article holds its title
+            if h in NEUTRAL or titled and h in ("header", ".header"):  # the header of an article holds its title
                 continue
             if known.get(h, 0.0) < NEVER:
                 return BRIDGE

@@ -267,3 +267,24 @@ def test_pages(spark):
     rows = spark.createDataFrame([(1, "u", page, "old"), (2, None, None, None)], "page_id long, url string, html string, text string")
     assert {r.page_id: r.text for r in extract(rows).collect()} == {1: want, 2: ""}
     assert extract(rows.where("page_id > 5")).count() == 0
+
+
+@pytest.mark.parametrize("frame", [
+    "<header><h1>Frame words</h1></header>", "<div class='site-header'>Frame words</div>", "<div role=navigation><a>Frame</a> words</div>", "<div class='nav'>Frame words</div>",
+    "<div class='share'><a>Frame</a> words</div>", "<p class='social'>Frame words</p>", "<ul class='breadcrumb'><li>Frame<li>words</ul>", "<ol class='breadcrumbs'><li>Frame<li>words</ol>", "<dialog>Frame words</dialog>",
+])
+def test_page_frames_are_left_out(frame):
+    article = "<article><h1>Title</h1><p>" + "body " * 30 + "</p>"
+    want = "Title\n\n" + "body " * 29 + "body"
+    assert main_text(f"{frame}{article}</article>") == main_text(f"{article}</article>{frame}") == want
+    if "header" not in frame:
+        assert main_text(f"{article}{frame}<p>last {'word ' * 9}</p></article>") == want + "\n\nlast" + " word" * 9
+
+
+@pytest.mark.parametrize("page", [
+    "<body class='has-sidebar menu'><article class='category-social tag-share'>{}</article>", "<article><div class='post-header'><h1>Title</h1></div>{}</article>",
+    "<div class='post'><header class='post-header'><h1>Title</h1></header>{}</div>", "<section><header><h1>Title</h1></header>{}</section>", "<article><ol><li>Title</li></ol>{}</article>",
+])
+def test_titles_and_whole_pages_stay(page):
+    text = main_text(page.format("<p>" + "body " * 30 + "</p>"))
+    assert text.endswith("body " * 29 + "body") and text.startswith("Title") == ("Title" in page)
