@@ -85,7 +85,9 @@ def minima(shingles: np.ndarray, hashes: int) -> np.ndarray:
 
 
 def packed_bits(least: np.ndarray) -> bytes:
-    low = (least & np.uint64(2**LOW_BITS - 1)).astype(np.uint8)
+    """The low bits of the mixed minima: those of the minima themselves depend on the low
+    bits of the shingle alone, and two shingles would agree in all hashes or in none."""
+    low = (mixed_bits(least) & np.uint64(2**LOW_BITS - 1)).astype(np.uint8)
     return ((low[0::2] << 4) | low[1::2]).tobytes()
 
 

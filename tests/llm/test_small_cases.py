@@ -18,7 +18,7 @@ from headway.llm.html_region import extract, main_text
 from headway.llm.language import fit, predicted
 from headway.llm.line_rules import clean_lines
 from headway.llm.mixing import mix, mixed
-from headway.llm.near_copies import near_copies, signature
+from headway.llm.near_copies import FINE_HASHES, estimates, least_estimate, minima, near_copies, packed_bits, signature
 from headway.llm.packing import pack, plan
 from headway.llm.resampling import resample
 from headway.llm.token_blocks import pack_blocks, read_documents, token_segments, unpack_block
@@ -125,6 +125,19 @@ def test_signature_estimates():
     assert signature(a)[0] == signature(a[::-1])[0] and len(signature(a)[0]) == 120 and len(signature(a)[1]) == 40
 
 
+def test_unequal_minima_agree_by_chance_alone():
+    rng = np.random.default_rng(3)
+    low = lambda x: np.frombuffer(packed_bits(minima(np.array(x, np.uint64), FINE_HASHES)), np.uint8)
+    # One shingle each, nothing in common: near 0 whether or not their own low bits agree.
+    for a, b in rng.integers(0, 2**59, (200, 2)).tolist():
+        for other in (b * 16 + a % 16, b * 16 + (a + 1) % 16):
+            assert abs(float(estimates(low([a * 16 + a % 16])[None], low([other])[None])[0])) < 0.04
+    for k in (5, 10):  # pairs at exactly 0.8 stay
+        sets = rng.integers(0, 2**64, (3000, k), np.uint64)
+        found = [float(estimates(low(s)[None], low(s[: k * 4 // 5])[None])[0]) for s in sets]
+        assert min(found) >= least_estimate(0.8, FINE_HASHES)
+
+
 def test_packing(docs, none):
     rows = pack(docs, vocabulary(), 1, 64).collect()
     tokenizer = Encoder(vocabulary()).tokenizer
