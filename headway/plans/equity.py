@@ -76,13 +76,15 @@ def with_moe_of_measure(acs: DataFrame) -> DataFrame:
 
 
 def area_measures(acs: DataFrame) -> DataFrame:
-    """The five measures of each area with their margins, in one aggregation."""
+    """The five measures of each area with their margins, in one aggregation; variables of
+    none of them are left out."""
     margins = {
         f"{column}_moe": moe_of_sum("moe", "estimate", within=F.col("mf_variable") == group)
         for column, _, group in MEASURES
     }
     wide = pivot_wider(
-        with_measure(acs), ["geoid", "name"], "variable", ["estimate"], list(VARIABLES), margins
+        with_measure(acs), ["geoid", "name"], "variable", ["estimate"], list(VARIABLES), margins,
+        leave_out=True,
     )
     c = F.col
     return wide.select(

@@ -70,3 +70,21 @@ def test_large_layers_are_not_broadcast(spark):
     large = plan(spatial.spatial_join(_stops(tables), areas, broadcast_bytes=0))
     assert "BroadcastHashJoin" in small
     assert "SortMergeJoin" in large and "Broadcast" not in large
+
+
+def test_every_measure_of_the_survey_is_kept(spark):
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
+    groups = lines.select("l_suppkey", "l_linenumber", "l_linestatus").distinct().count()
+    for name in ("moe_sum", "moe_interval"):
+        found = QUERIES[name](spark, FOLDER)
+        assert found.count() == groups and found.where("variable = 'vacant'").count() > 0
+    assert QUERIES["moe_sum"](spark, FOLDER).where("variable = 'vacant' AND mf_variable IS NULL").count() > 0
+
+
+def test_measures_pass_over_other_variables(spark):
+    from headway.plans import equity
+    from workload import mapping as m
+
+    survey = m.view(spark, FOLDER, m.ACS)
+    listed = equity.area_measures(survey.where("variable <> 'vacant'")).orderBy("geoid").collect()
+    assert equity.area_measures(survey).orderBy("geoid").collect() == listed

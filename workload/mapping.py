@@ -116,7 +116,7 @@ SELECT p_partkey AS STOP_ID,
 FROM {part}
 """
 
-# Long survey table. Zero estimates on every seventh area, a missing one on some.
+# Long survey table, one of its names outside the patterns and the listed measures. Zero estimates on every seventh area, a missing one on some.
 ACS = """
 SELECT GEOID, NAME, variable,
   CASE WHEN area % 7 = 0 AND variable <> 'pop' THEN 0
@@ -127,7 +127,7 @@ FROM (
       WHEN 0 THEN 'pop' WHEN 1 THEN 'housing' WHEN 2 THEN 'pov1' WHEN 3 THEN 'pov2'
       WHEN 4 THEN 'foreign_born' WHEN 5 THEN 'people_of_color1' WHEN 6 THEN 'people_of_color2'
       WHEN 7 THEN 'lep1' WHEN 8 THEN 'lep2' WHEN 9 THEN 'lep3' WHEN 10 THEN 'lep4'
-      WHEN 11 THEN 'disability1' WHEN 12 THEN 'disability2' END AS variable,
+      WHEN 11 THEN 'disability1' WHEN 12 THEN 'disability2' ELSE 'vacant' END AS variable,
     total, moe
   FROM (
     SELECT l_suppkey, l_linenumber, l_linestatus, sum(l_quantity) AS total,
@@ -135,7 +135,6 @@ FROM (
     FROM {lineitem} GROUP BY l_suppkey, l_linenumber, l_linestatus
   ) AS l JOIN {supplier} AS s ON l_suppkey = s_suppkey
 ) AS summed
-WHERE variable IS NOT NULL
 """
 
 # Landed survey files: block-group ids, published codes, two years.

@@ -450,7 +450,7 @@ def bind_rows_fill(t):
 def pivot_two_values(t):
     long = equity.with_moe_of_measure(t.view(m.ACS)).withColumn("sum_moe", F.round("sum_moe", 6))
     names = list(equity.VARIABLES)
-    return pivot_wider(long, ["geoid", "name"], "variable", ["estimate", "sum_moe"], names)
+    return pivot_wider(long, ["geoid", "name"], "variable", ["estimate", "sum_moe"], names, leave_out=True)
 
 
 # Column functions
