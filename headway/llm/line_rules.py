@@ -22,6 +22,9 @@ PHRASES = (
     "all rights reserved|terms of (use|service)|privacy policy|cookie policy|accept cookies|"
     "click here|sign (in|up)|log in|enable javascript|share this|skip to content"
 )
+# A line with more capitals than small letters has a capital that no small letter follows
+# before the next capital or the end.
+SHOUTED = f"[{UPPER}][^{LOWER}]*([{UPPER}]|$)"
 # A shorter line without closing punctuation is a heading or a menu entry.
 OPEN_WORDS = 20
 MAX_LOST_PERCENT = 40
@@ -61,31 +64,54 @@ def covered(prints: Column) -> Column:
     return F.get(F.transform(spots, total), F.lit(0))
 
 
-def judged(lines: Column) -> Column:
-    """Per line in order: line, its words, whether it fails."""
+def repeats(lines: Column) -> Column:
+    """Per line in order, whether an earlier line equals it."""
     in_order = F.sort_array(F.transform(lines, lambda l, k: F.struct(l.alias("l"), k.alias("k"))))
     marked = F.transform(
         F.array(in_order),
         lambda s: F.transform(
-            s, lambda x, j: F.struct(x["k"].alias("k"), x["l"].alias("l"), ((j > 0) & (x["l"] == F.get(s, F.greatest(j - 1, F.lit(0)))["l"])).alias("again"))
+            s, lambda x, j: F.struct(x["k"].alias("k"), ((j > 0) & (x["l"] == F.get(s, F.greatest(j - 1, F.lit(0)))["l"])).alias("again"))
         ),
     )
+    return F.transform(F.sort_array(F.get(marked, F.lit(0))), lambda x: x["again"])
+
+
+def judged(lines: Column, again: Column, symbols: Column, phrases: Column) -> Column:
+    """Per line in order: line, its words, whether it fails.
+
+    ``again`` says of each line whether it repeats one (null: none does), ``symbols`` and
+    ``phrases`` whether the text holds any symbol or phrase at all; only then are they
+    looked for in its lines. What a rule needs of a line is a field, so that it is computed
+    once: functions inside ``transform`` are evaluated wherever they are written.
+    """
+    def facts(text: Column) -> Column:
+        return F.transform(
+            lines,
+            lambda line, k: F.struct(
+                line.alias("line"),
+                F.size(words(line)).alias("n"),
+                F.coalesce(F.get(text["again"], k), F.lit(False)).alias("again"),
+                F.when(text["symbols"], occurrences(line, "|")).otherwise(0).alias("bars"),
+                F.when(text["symbols"], occurrences(line, SYMBOLS)).otherwise(0).alias("symbols"),
+                text["phrases"].alias("phrases"),
+            ),
+        )
 
     def verdict(x: Column) -> Column:
-        line = x["l"]
-        n = F.size(words(line))
-        bars = occurrences(line, "|")
+        line, n, bars = x["line"], x["n"], x["bars"]
         fails = (
             x["again"]
             | ((bars >= 3) & (5 * bars >= n))
-            | (2 * occurrences(line, SYMBOLS) > n)
-            | (occurrences(line, UPPER) > occurrences(line, LOWER))
+            | (2 * x["symbols"] > n)
             | ((n < OPEN_WORDS) & ~F.rtrim(line).rlike(CLOSING))
-            | F.lower(line).rlike(PHRASES)
+            | (line.rlike(SHOUTED) & (occurrences(line, UPPER) > occurrences(line, LOWER)))
+            | (x["phrases"] & F.lower(line).rlike(PHRASES))
         )
         return F.struct(line.alias("line"), n.alias("n"), ((n > 0) & fails).alias("fails"))
 
-    return F.transform(F.sort_array(F.get(marked, F.lit(0))), verdict)
+    # A one-element array names what is known of the whole text.
+    whole = F.array(F.struct(again.alias("again"), symbols.alias("symbols"), phrases.alias("phrases")))
+    return F.transform(F.get(F.transform(whole, facts), F.lit(0)), verdict)
 
 
 def clean_lines(docs: DataFrame, text_col: str = "text", max_lost_percent: int = MAX_LOST_PERCENT) -> DataFrame:
@@ -103,14 +129,19 @@ def clean_lines(docs: DataFrame, text_col: str = "text", max_lost_percent: int =
         "*", repeated_words(F.col("w")).alias("prints"), F.filter("lines", lambda l: F.translate(l, " \t\n\x0b\x0c\r", "") != "").alias("full")
     )
     some = F.size(F.array_distinct("prints")) < F.size("prints")
+    read = read.withColumn("n_symbols", occurrences(F.col("t"), SYMBOLS).cast("long"))
+    read = read.withColumn("n_dup_lines", (F.size("full") - F.size(F.array_distinct("full"))).cast("long"))
+    read = read.withColumn("phrases", F.lower("t").rlike(PHRASES))
     found = read.select(
         ROW,
         F.size("w").cast("long").alias("n_words"),
         F.char_length(F.translate("t", " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-        occurrences(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
-        (F.size("full") - F.size(F.array_distinct("full"))).cast("long").alias("n_dup_lines"),
+        "n_symbols",
+        "n_dup_lines",
         F.when(some, covered(F.col("prints"))).otherwise(0).cast("long").alias("n_repeat_words"),
-        judged(F.col("lines")).alias("judged"),
+        judged(
+            F.col("lines"), F.when(F.col("n_dup_lines") > 0, repeats(F.col("lines"))), F.col("n_symbols") > 0, F.col("phrases")
+        ).alias("judged"),
     )
     bad = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     lost = F.aggregate("judged", F.lit(0).cast("long"), lambda a, x: a + F.when(x["fails"], x["n"]).otherwise(0))
