@@ -68,7 +68,7 @@ def op5_subword_language(spark: SparkSession, folder: str) -> DataFrame:
 def op6_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     good = table(spark, folder, "labels").where("quality = 1 AND toxic = 0").select("doc_id").distinct()
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return resample(docs, docs.join(good, "doc_id", "left_semi"), fraction=0.8).drop("text")
+    return resample(docs, good, fraction=0.8).drop("text")
 
 
 def op7_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Word unigrams and bigrams hash into buckets; target and raw text each have a generative
 model over the buckets, counted over all their documents. A document's weight is the mean
-log ratio of the two models over its n-grams, times a fixed number of n-grams, so that long
-texts weigh no more than short ones. Adding Gumbel noise and keeping the largest sums
+log ratio of the two models over its n-grams, times a fixed number of n-grams (STRENGTH),
+so that long texts weigh no more than short ones; the ratio of the models of the whole
+document, the sum, would let its length alone decide. Adding Gumbel noise and keeping the largest sums
 samples documents without replacement in proportion to their weights.
 """
 
@@ -20,6 +21,8 @@ from headway.llm.near_copies import mixed_bits
 
 BUCKETS = 1 << 14
 STRENGTH = 20.0
+# Most ids of target documents that the target model is fitted on.
+TARGET_ROWS = 200_000
 RESULTS = ["log_weight", "draw", "kept"]
 
 
@@ -40,30 +43,50 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buckets.astype(np.int64), np.concatenate([owner, owner[:-1][inside]])
 
 
-def bucket_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """(bucket, n) over all texts; each task adds up its own first."""
+def bucket_counts(texts: DataFrame) -> DataFrame:
+    """(bucket, n, aimed): n-grams of all texts and of the aimed ones, in one pass; each task
+    adds up its own first."""
 
     def count(batches):
-        total = np.zeros(BUCKETS, np.int64)
+        total = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
             for part in slices(batch):
-                total += np.bincount(grams(part.column(0))[0], minlength=BUCKETS)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array(used, pa.int64()), "n": pa.array(total[used], pa.int64())})
+                buckets, owner = grams(part.column(0))
+                aimed = np.asarray(part.column(1), bool)
+                total[0] += np.bincount(buckets, minlength=BUCKETS)
+                total[1] += np.bincount(buckets[aimed[owner]], minlength=BUCKETS)
+        used = np.flatnonzero(total[0])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (used, total[0][used], total[1][used])], ["bucket", "n", "aimed"])
 
-    return docs.select(text_col).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    made = texts.select("text", "aimed").mapInArrow(count, "bucket long, n long, aimed long")
+    return made.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("aimed").alias("aimed"))
 
 
-def model_of(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Log probability of each bucket, one added to each count; BUCKETS numbers."""
-    counts = np.ones(BUCKETS)
-    for row in bucket_counts(docs, text_col).collect():  # one row per bucket
-        counts[row["bucket"]] += row["n"]
-    return np.log(counts / counts.sum())
+def log_ratios(texts: DataFrame) -> np.ndarray:
+    """Log ratio of the two models for each bucket, one added to each count; BUCKETS numbers."""
+    counts = np.ones((2, BUCKETS))
+    for row in bucket_counts(texts).collect():  # one row per bucket
+        counts[:, row["bucket"]] += row["n"], row["aimed"]
+    raw, aimed = np.log(counts / counts.sum(1, keepdims=True))
+    return aimed - raw
+
+
+def marked(docs: DataFrame, target: DataFrame, id_col: str, text_col: str, most: int = TARGET_ROWS) -> DataFrame:
+    """``text`` and ``aimed`` of each row: whether its id is among those of ``target``.
+
+    The target model is fitted on at most ``most`` ids, those of smallest hash; this bounds
+    what is broadcast (16 bytes an id) at every size, so the texts never move. A null id is
+    in no target; repeated ids count once.
+    """
+    ids = target.select(F.col(id_col).alias("id")).where("id is not null").distinct()
+    few = ids.orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(most).withColumn("found", F.lit(True))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return texts.join(F.broadcast(few), "id", "left").select("text", F.coalesce("found", F.lit(False)).alias("aimed"))
 
 
 def resample(docs: DataFrame, target: DataFrame, fraction: float, seed: int = 11, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` with ``log_weight``, ``draw`` (weight plus noise) and ``kept``.
+    """Every row of ``docs`` with ``log_weight``, ``draw`` (weight plus noise) and ``kept``;
+    the rows whose id is in ``target`` are the target (see ``marked``).
 
     ``kept`` marks the ``floor(fraction * rows)`` rows of largest draw. Null and wordless texts
     have no n-gram; they get the smallest weight and are never kept. The noise is a function of
@@ -71,7 +94,7 @@ def resample(docs: DataFrame, target: DataFrame, fraction: float, seed: int = 11
     and text) are kept too. An empty target equals the raw model smoothed: all
     weights come from counts alone. Input columns named like a result are replaced by it.
     """
-    ratio = model_of(target, text_col) - model_of(docs, text_col)
+    ratio = log_ratios(marked(docs, target, id_col, text_col))
 
     def weigh(texts: pa.Array) -> pa.Array:
         parts = []
