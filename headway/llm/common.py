@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -34,14 +35,14 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[context.applicationId]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it from there.
 
     Cuts the lineage, so a lost executor costs no more than the step at hand, and
     later readers fetch only the columns they use.
     """
     path = f"{shared_folder(df.sparkSession)}/headway-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -72,8 +73,48 @@ def words(text: Column) -> Column:
 LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"\-.,!?;:|%&#*$@()/=+_~^"
 
 
+# White space besides space, tab and line ends, and bytes that no usual text holds.
+RARE = "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+
+
+# Bytes that are ASCII letters.
+LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
+
+
+def units(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(units before each text and after the last, all units) of texts without null: a word
+    with the space before it, marks behind letters, or what else of white space stands between. A byte-level
+    vocabulary never joins over their bounds."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    first, last = int(offsets[0]), int(offsets[-1])
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[first:last]
+    if not len(data):
+        return np.zeros(len(texts) + 1, np.int64), pa.array([], pa.string())
+    bounds = offsets.astype(np.int64) - first
+    blank = (data == 32) | (data == 9) | (data == 10) | (data == 13)
+    opens = np.zeros(len(data) + 1, bool)
+    opens[bounds] = True
+    follows = ~opens[:-1]  # has a byte of its text before it
+    after = np.r_[False, blank[:-1]]
+    word_next = np.r_[~blank[1:], False] & ~opens[1:]
+    spaced = np.r_[False, data[:-1] == 32]
+    letter = LETTER[data]
+    mark = ~(letter | blank) & (data > 32) & (data < 127) & ~((data >= 48) & (data <= 57))
+    marked = mark & np.r_[False, letter[:-1]]
+    opens[:-1] |= follows & ((blank & (~after | word_next)) | (~blank & after & ~spaced) | marked)
+    starts = np.flatnonzero(opens)
+    before = np.searchsorted(starts, bounds)
+    found = pa.StringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data)))
+    return before, found
+
+
 class Encoder:
-    """Token ids of texts by a tokenizers file.
+    """Token ids of texts by a tokenizers file; with ``plain``, the strings of special tokens
+    are ordinary text.
+
+    For a plain byte-level vocabulary the distinct units (see ``units``) of a batch are
+    encoded, those with a space in one go; texts with rare white space, control characters or
+    special tokens go whole.
 
     For a lower-case byte-level vocabulary with end-of-word marks, white space only
     separates words and the ids of a text are those of its words in order. Then the
@@ -82,14 +123,21 @@ class Encoder:
     tokenizer. Other vocabularies get the whole texts.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
         config = json.loads(self.tokenizer.to_str())
         suffix = config["model"].get("end_of_word_suffix")
         steps = json.dumps([config["normalizer"], config["pre_tokenizer"]])
-        self.ends = None
+        self.ends = self.spaced = None
+        before = config["pre_tokenizer"] or {}
+        if config["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]:
+            self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.spaced[[i for w, i in self.tokenizer.get_vocab().items() if w.startswith("Ġ")]] = True
+            names = [] if plain else [re.escape(t["content"]) for t in config["added_tokens"]]
+            self.whole = "|".join([RARE, *names])
         if suffix and '"Lowercase"' in steps and '"ByteLevel"' in steps:
             self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
             self.ends[[i for w, i in self.tokenizer.get_vocab().items() if w.endswith(suffix)]] = True
@@ -131,29 +179,65 @@ class Encoder:
         firsts[~mask] = len(pool) + np.cumsum(sizes[~mask]) - sizes[~mask]
         return firsts, sizes, np.concatenate([pool, *other])
 
+    def _units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first id, number of ids) of each distinct unit in the pool of ids, and the pool."""
+        mask = np.asarray(pc.match_substring_regex(units, "^ [^ \\t\\r\\n]"), bool)
+        line = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, int(mask.sum())], pa.int32()), units.filter(pa.array(mask))), "")[0].as_py()
+        pool = self._ids([line])[0]
+        starts = np.flatnonzero(self.spaced[pool])
+        if len(starts) != mask.sum():
+            raise ValueError("the vocabulary begins words elsewhere than expected")
+        other = self._ids(units.filter(pa.array(~mask)).to_pylist())
+        sizes = np.empty(len(units), np.int64)
+        sizes[mask] = np.diff(starts, append=len(pool))
+        sizes[~mask] = [len(x) for x in other]
+        firsts = np.empty(len(units), np.int64)
+        firsts[mask] = starts
+        firsts[~mask] = len(pool) + np.cumsum(sizes[~mask]) - sizes[~mask]
+        return firsts, sizes, np.concatenate([pool, *other])
+
+    def _gathered(self, coded: pa.DictionaryArray, before: np.ndarray, known) -> tuple[np.ndarray, np.ndarray]:
+        """Ids per text and all ids, of texts as runs of distinct parts."""
+        firsts, sizes, pool = known(coded.dictionary)
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        each = sizes[index]
+        ends = np.cumsum(each)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.repeat(firsts[index] - (ends - each), each)
+        at += np.arange(total)
+        return np.diff(np.r_[0, ends][before]), pool[at]
+
+    def _by_units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        whole = np.asarray(pc.match_substring_regex(texts, self.whole), bool)
+        if not whole.any():
+            before, found = units(texts)
+            return self._gathered(found.dictionary_encode(), before, self._units)
+        counts = np.zeros(len(texts), np.int64)
+        counts[~whole], most = self._by_units(texts.filter(pa.array(~whole)))
+        rest = self._ids(texts.filter(pa.array(whole)).to_pylist())
+        counts[whole] = [len(x) for x in rest]
+        ids = np.empty(counts.sum(), np.uint32)
+        mine = np.repeat(whole, counts)
+        ids[~mine], ids[mine] = most, np.concatenate([*rest, np.zeros(0, np.uint32)])
+        return counts, ids
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids per text, all ids in order); a null text has none."""
         texts = pc.fill_null(texts, "")
+        if self.spaced is not None:
+            return self._by_units(texts)
         if self.ends is None:
             found = self._ids(texts.to_pylist())
             return np.array([len(x) for x in found], np.int64), np.concatenate([*found, np.zeros(0, np.uint32)])
         lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
-        firsts, sizes, pool = self._words(coded.dictionary)
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        each = sizes[index]
-        ends = np.cumsum(each)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.repeat(firsts[index] - (ends - each), each)
-        at += np.arange(total)
-        bounds = np.r_[0, ends][lists.offsets.to_numpy()]
-        return np.diff(bounds), pool[at]
+        return self._gathered(coded, lists.offsets.to_numpy(), self._words)
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """One encoder for each file in each Python worker, kept from task to task."""
-    return Encoder(path)
+    return Encoder(path, plain)
 
 
 def slices(batch: pa.RecordBatch, rows: int = 2500, size: int = 1 << 24):

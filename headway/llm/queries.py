@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm.common import stored
+from headway.llm.alignment import align
+from headway.llm.best_fit import pack_whole
 from headway.llm.chat_tree import conversations_of, tree
 from headway.llm.exact_copies import exact_copies
 from headway.llm.html_region import extract
@@ -30,6 +32,12 @@ def byte_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -92,6 +100,19 @@ def op10_scored_region(spark: SparkSession, folder: str) -> DataFrame:
     return extract(table(spark, folder, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op12_certified_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    made = pack_whole(table(spark, folder, "documents"), byte_vocabulary(), end_id=2)
+    return made.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op13_galloping_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    def digest(groups):
+        return F.when(groups == "", "").otherwise(F.sha2(groups, 256))
+
+    found = align(table(spark, folder, "documents"), byte_vocabulary(), piece_vocabulary(), shown=digest)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 MIX_SQL = rf"""
 WITH sized AS (
   SELECT doc_id, source, size, substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 3) AS shard,
@@ -205,5 +226,7 @@ QUERIES = {
     "op8_quotient_filter": op8_quotient_filter,
     "op9_prefix_tree": op9_prefix_tree,
     "op10_scored_region": op10_scored_region,
+    "op12_certified_best_fit": op12_certified_best_fit,
+    "op13_galloping_alignment": op13_galloping_alignment,
 }
 ORACLE = {"op2_bbit_minhash": NEAR_SQL, "op4_line_rules": LINES_SQL, "op7_systematic_mix": MIX_SQL, "op8_quotient_filter": COPIES_SQL}
