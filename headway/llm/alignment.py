@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import encoder, slices, stored
+from headway.llm.common import encoder, least_frequent, raw, slices, stored
 
 # Most id pairs whose counts are sent to every task, 17 bytes each.
 FREQUENT_PAIRS = 1 << 20
@@ -145,9 +145,8 @@ def tokens_of(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col:
 
 def ids_of(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids of each row, all ids in order) of a binary column."""
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-    return np.diff(offsets) // width, data.view(f"<u{width}").astype(np.int64)
+    bounds, data = raw(column)
+    return np.diff(bounds) // width, data.view(f"<u{width}").astype(np.int64)
 
 
 class Links:
@@ -221,20 +220,6 @@ def pair_counts(tokens: DataFrame, a_path: str, b_path: str, width: int) -> Data
     return made.join(F.broadcast(most), "b_id").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
 
 
-def least_frequent(pairs: DataFrame, most: int) -> int:
-    """A count that no more than ``most`` pairs reach, the smallest among the bounds of
-    classes (four leading bits); only class sizes reach the driver."""
-    bound = F.expr("shiftleft(shiftright(n, greatest(length(bin(n)) - 4, 0)), greatest(length(bin(n)) - 4, 0))")
-    classes = pairs.groupBy(bound.alias("bound")).agg(F.count("*").alias("n")).collect()
-    least, total = max((c["bound"] for c in classes), default=0) * 2 + 1, 0
-    for c in sorted(classes, reverse=True):
-        total += c["n"]
-        if total > most:
-            break
-        least = c["bound"]
-    return least
-
-
 def align(
     docs: DataFrame,
     a_path: str,

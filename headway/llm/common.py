@@ -68,6 +68,20 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(text, "\t\n\x0b\x0c\r", "     "), " "), "")
 
 
+def least_frequent(counts: DataFrame, most: int) -> int:
+    """A value of ``n`` that no more than ``most`` rows reach, the smallest among the bounds
+    of classes (four leading bits); only class sizes reach the driver."""
+    bound = F.expr("shiftleft(shiftright(n, greatest(length(bin(n)) - 4, 0)), greatest(length(bin(n)) - 4, 0))")
+    classes = counts.groupBy(bound.alias("bound")).agg(F.count("*").alias("rows")).collect()
+    least, total = max((c["bound"] for c in classes), default=0) * 2 + 1, 0
+    for c in sorted(classes, reverse=True):
+        total += c["rows"]
+        if total > most:
+            break
+        least = c["bound"]
+    return least
+
+
 # Letters of one word that stay letters, one for one, in any normal form and case, and
 # marks that make a word of their own behind them.
 LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"\-.,!?;:|%&#*$@()/=+_~^"
@@ -81,16 +95,25 @@ RARE = "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\
 LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
 
 
+def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(where each text begins and the last ends, bytes of all) of texts without null."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return offsets - offsets[0], data
+
+
+def cut_at(starts: np.ndarray, data: np.ndarray) -> pa.Array:
+    """Strings between consecutive ``starts`` (the last one is the end)."""
+    return pa.StringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data)))
+
+
 def units(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """(units before each text and after the last, all units) of texts without null: a word
     with the space before it, marks behind letters, or what else of white space stands between. A byte-level
     vocabulary never joins over their bounds."""
-    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
-    first, last = int(offsets[0]), int(offsets[-1])
-    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[first:last]
+    bounds, data = raw(texts)
     if not len(data):
         return np.zeros(len(texts) + 1, np.int64), pa.array([], pa.string())
-    bounds = offsets.astype(np.int64) - first
     blank = (data == 32) | (data == 9) | (data == 10) | (data == 13)
     opens = np.zeros(len(data) + 1, bool)
     opens[bounds] = True
@@ -103,9 +126,7 @@ def units(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     marked = mark & np.r_[False, letter[:-1]]
     opens[:-1] |= follows & ((blank & (~after | word_next)) | (~blank & after & ~spaced) | marked)
     starts = np.flatnonzero(opens)
-    before = np.searchsorted(starts, bounds)
-    found = pa.StringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data)))
-    return before, found
+    return np.searchsorted(starts, bounds), cut_at(starts, data)
 
 
 class Encoder:

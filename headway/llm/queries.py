@@ -16,6 +16,7 @@ from headway.llm.line_rules import CLOSING, LOWER, MAX_LOST_PERCENT, OPEN_WORDS,
 from headway.llm.mixing import OFFSET, SHIFTS, mix
 from headway.llm.near_copies import near_copies
 from headway.llm.packing import pack
+from headway.llm.phrases import collocations
 from headway.llm.resampling import resample
 from headway.llm.token_blocks import read_documents, token_segments
 
@@ -100,6 +101,10 @@ def op10_scored_region(spark: SparkSession, folder: str) -> DataFrame:
     return extract(table(spark, folder, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_hat_trie_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
 def op12_certified_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     made = pack_whole(table(spark, folder, "documents"), byte_vocabulary(), end_id=2)
     return made.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
@@ -215,6 +220,37 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM joined
 """
 
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)),
+counted AS (
+  SELECT lang, m, phrase, count(*) AS f
+  FROM (SELECT lang, m, unnest(list_transform(range(1, greatest(len(w) - m + 2, 1)::BIGINT),
+                                              lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+        FROM pieces, (SELECT unnest(range(1, 6)) AS m))
+  GROUP BY lang, m, phrase),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE m = 1 GROUP BY lang),
+often AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f FROM counted WHERE f >= 100),
+inner_ AS (
+  SELECT lang, f, array_to_string(w[i:i + s - 1], ' ') AS phrase
+  FROM often, (SELECT unnest(range(2, 5)) AS s), (SELECT unnest(range(1, 5)) AS i) WHERE s < m AND i + s - 1 <= m),
+covered AS (SELECT DISTINCT lang, phrase FROM often o JOIN inner_ l USING (lang, phrase) WHERE 100 * l.f >= 100 * o.f),
+cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS first_, array_to_string(w[k + 1:], ' ') AS rest
+  FROM often ANTI JOIN covered USING (lang, phrase), (SELECT unnest(range(1, 5)) AS k) WHERE m >= 2 AND k < m),
+scored AS (
+  SELECT c.*, x.f AS l, y.f AS r, n, (1000::HUGEINT * a * n // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = c.first_
+  JOIN counted y ON y.lang = c.lang AND y.phrase = c.rest JOIN totals t ON t.lang = c.lang),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM lowest WHERE place = 1)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
     "op2_bbit_minhash": op2_bbit_minhash,
@@ -226,7 +262,8 @@ QUERIES = {
     "op8_quotient_filter": op8_quotient_filter,
     "op9_prefix_tree": op9_prefix_tree,
     "op10_scored_region": op10_scored_region,
+    "op11_hat_trie_phrases": op11_hat_trie_phrases,
     "op12_certified_best_fit": op12_certified_best_fit,
     "op13_galloping_alignment": op13_galloping_alignment,
 }
-ORACLE = {"op2_bbit_minhash": NEAR_SQL, "op4_line_rules": LINES_SQL, "op7_systematic_mix": MIX_SQL, "op8_quotient_filter": COPIES_SQL}
+ORACLE = {"op2_bbit_minhash": NEAR_SQL, "op4_line_rules": LINES_SQL, "op7_systematic_mix": MIX_SQL, "op8_quotient_filter": COPIES_SQL, "op11_hat_trie_phrases": PHRASES_SQL}
