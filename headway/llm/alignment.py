@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import encoder, least_frequent, raw, slices, stored
+from headway.llm.common import cut_at, encoder, gathered, least_frequent, raw, slices, stored
 
 # Most id pairs whose counts are sent to every task, 17 bytes each.
 FREQUENT_PAIRS = 1 << 20
@@ -90,29 +90,75 @@ def aligned(
     return *cuts, first, before - first + 1
 
 
+class Vocabularies:
+    """Bytes of the ids of both tokenizers, and B's ids of texts."""
+
+    def __init__(self, a_path: str, b_path: str):
+        import sentencepiece
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        vocabulary = Tokenizer.from_file(a_path).get_vocab()
+        # The character that stands for each byte, read off characters that hold all bytes of UTF-8.
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        byte_of = {}
+        for c in map(chr, [*range(0x800), *range(0x800, 0xD800, 0x800), 0xE000, 0xF000, *range(0x10000, 0x110000, 0x10000)]):
+            for shown, byte in zip(level.pre_tokenize_str(c)[0][0], c.encode()):
+                byte_of[shown] = byte
+        a = [b""] * (max(vocabulary.values()) + 1)
+        for token, k in vocabulary.items():
+            a[k] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+        self.processor = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        pieces = [self.processor.id_to_piece(k) for k in range(self.processor.get_piece_size())]
+        b = [bytes([int(p[3:5], 16)]) if self.processor.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
+        self.a, self.b = pa.array(a, pa.binary()), pa.array(b, pa.binary())
+        self.a_size, self.b_size = np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)
+        # No piece holds a space behind anything else: then none reaches over a word's end.
+        self.by_words = not any("▁" in p.lstrip("▁") for p in pieces) and self.processor.encode("a b") == self.processor.encode("a") + self.processor.encode("b")
+
+    def b_ids(self, spaced: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids per text, all ids) of B for texts with a space put before them; the distinct
+        words with the spaces before them are encoded. U+2581 stands for a space here; a text that
+        holds it is not given back in either case."""
+        bounds, data = raw(spaced)
+        if not self.by_words:
+            found = [np.array(x, np.uint32) for x in self.processor.encode([t[1:] for t in spaced.to_pylist()], num_threads=1)]
+            return np.array([len(x) for x in found], np.int64), np.concatenate([*found, np.zeros(0, np.uint32)])
+        blank = data == 32
+        opens = np.r_[blank & ~np.r_[False, blank[:-1]], True]
+        opens[bounds] = True  # each text begins with its space
+        starts = np.flatnonzero(opens)
+        coded = cut_at(starts, data).dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        known = self.processor.encode([w[1:] for w in names], num_threads=1)
+        known = [x if w != " " else [self.processor.piece_to_id("▁")] for x, w in zip(known, names)]
+        sizes = np.array([len(x) for x in known], np.int64)
+        pool = np.fromiter((i for x in known for i in x), np.uint32, int(sizes.sum()))
+        return gathered(coded.indices.to_numpy(zero_copy_only=False), np.searchsorted(starts, bounds), np.cumsum(sizes) - sizes, sizes, pool)
+
+
 @lru_cache(maxsize=2)
-def vocabularies(a_path: str, b_path: str) -> tuple[list[bytes], np.ndarray, object, list[bytes], np.ndarray]:
-    """Bytes of each id of A and their lengths, the processor of B, and the same of B."""
-    import sentencepiece
-    from tokenizers import Tokenizer
-    from tokenizers.pre_tokenizers import ByteLevel
-
-    vocabulary = Tokenizer.from_file(a_path).get_vocab()
-    # The character that stands for each byte, read off characters that hold all bytes of UTF-8.
-    level = ByteLevel(add_prefix_space=False, use_regex=False)
-    byte_of = {}
-    for c in map(chr, [*range(0x800), *range(0x800, 0xD800, 0x800), 0xE000, 0xF000, *range(0x10000, 0x110000, 0x10000)]):
-        for shown, byte in zip(level.pre_tokenize_str(c)[0][0], c.encode()):
-            byte_of[shown] = byte
-    a = [b""] * (max(vocabulary.values()) + 1)
-    for token, k in vocabulary.items():
-        a[k] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
-    processor = sentencepiece.SentencePieceProcessor(model_file=b_path)
-    b = []
-    for k in range(processor.get_piece_size()):
-        piece = processor.id_to_piece(k)
-        b.append(bytes([int(piece[3:5], 16)]) if processor.is_byte(k) else piece.replace("▁", " ").encode())
-    return a, np.array([len(x) for x in a], np.int64), processor, b, np.array([len(x) for x in b], np.int64)
+def vocabularies(a_path: str, b_path: str) -> Vocabularies:
+    """One of each in each Python worker, kept from task to task."""
+    return Vocabularies(a_path, b_path)
+
+
+def gives_back(ids: np.ndarray, counts: np.ndarray, names: pa.Array, texts: pa.Array) -> np.ndarray:
+    """Whether the bytes of each text's ids are the text."""
+    bounds, data = raw(texts)
+    offsets, joined = raw(names.take(pa.array(ids)))
+    ends = offsets[np.cumsum(counts)]
+    if len(joined) == len(data) and (ends == bounds[1:]).all() and (joined == data).all():
+        return np.ones(len(texts), bool)
+    joined, data = joined.tobytes(), data.tobytes()
+    return np.array([joined[a:b] == data[c:d] for a, b, c, d in zip(np.r_[0, ends].tolist(), ends.tolist(), bounds.tolist(), bounds[1:].tolist())], bool)
+
+
+def packed_ids(ids: np.ndarray, counts: np.ndarray, kept: np.ndarray, width: int) -> pa.Array:
+    """Each text's ids as bytes, none where the text is not kept."""
+    offsets = np.r_[0, np.cumsum(np.where(kept, counts, 0))].astype(np.int32) * width
+    data = ids[np.repeat(kept, counts)].astype(f"<u{width}").tobytes()
+    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
 def tokens_of(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -120,25 +166,17 @@ def tokens_of(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col:
     where either does not give back the bytes of a space and the text."""
 
     def encode(batches):
-        a_of = encoder(a_path, True)
-        a_bytes, _, processor, b_bytes, _ = vocabularies(a_path, b_path)
+        a_of, both = encoder(a_path, True), vocabularies(a_path, b_path)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for part in slices(batch):
-                texts = pc.fill_null(part.column(1), "")
-                counts, flat = a_of(pc.binary_join_element_wise(" ", texts, ""))
-                ends = np.cumsum(counts).tolist()
-                a_ids, b_ids = [], []
-                for text, stop, n in zip(texts.to_pylist(), ends, counts.tolist()):
-                    a, b = flat[stop - n : stop], processor.encode(text) if text else []
-                    whole = b" " + text.encode()
-                    same = text and b"".join(map(a_bytes.__getitem__, a.tolist())) == whole and b"".join(map(b_bytes.__getitem__, b)) == whole
-                    a_ids.append(a.astype(f"<u{width}").tobytes() if same else b"")
-                    b_ids.append(np.array(b, f"<u{width}").tobytes() if same else b"")
-                n = part.num_rows
-                columns = [pa.array(row + np.arange(n), pa.int64()), part.column(0), pa.array(a_ids, pa.binary()), pa.array(b_ids, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "a", "b"])
-                row += n
+                texts = pc.binary_join_element_wise(" ", pc.fill_null(part.column(1), ""), "")
+                a_counts, a = a_of(texts)
+                b_counts, b = both.b_ids(texts)
+                same = gives_back(a, a_counts, both.a, texts) & gives_back(b, b_counts, both.b, texts) & (np.diff(raw(texts)[0]) > 1)
+                ids = [packed_ids(x, n, same, width) for x, n in ((a, a_counts), (b, b_counts))]
+                yield pa.RecordBatch.from_arrays([pa.array(row + np.arange(len(same)), pa.int64()), part.column(0), *ids], ["row", "doc_id", "a", "b"])
+                row += len(same)
 
     return docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("t")).mapInArrow(encode, TOKENS)
 
@@ -155,7 +193,7 @@ class Links:
     each group's end."""
 
     def __init__(self, a_column: pa.Array, b_column: pa.Array, width: int, a_path: str, b_path: str):
-        _, a_size, _, _, b_size = vocabularies(a_path, b_path)
+        a_size, b_size = vocabularies(a_path, b_path).a_size, vocabularies(a_path, b_path).b_size
         self.a_counts, self.a = ids_of(a_column, width)
         self.b_counts, self.b = ids_of(b_column, width)
         self.a_cut, self.b_cut, first, many = aligned(np.cumsum(a_size[self.a]), np.cumsum(b_size[self.b]), self.a_counts, self.b_counts)
@@ -171,24 +209,24 @@ class Links:
         """Sums of ``values`` over runs of ``counts``, in whole numbers."""
         return np.diff(np.r_[0, np.cumsum(values, dtype=np.int64)][np.r_[0, np.cumsum(counts)]])
 
-    def texts(self) -> list[str]:
+    def texts(self) -> pa.Array:
         """``a1,a2|b1;a3|b2,b3`` for each row: the ids of each group."""
-        digits = digits_upto(int(max(self.a.max(initial=0), self.b.max(initial=0))).bit_length())
-        a_end, b_end = np.zeros(len(self.a), bool), np.zeros(len(self.b), bool)
-        a_end[self.a_cut - 1], b_end[self.b_cut - 1] = True, True
+        bits = int(max(self.a.max(initial=0), self.b.max(initial=0))).bit_length()
+        a_mark, b_mark = np.zeros(len(self.a), np.int64), np.zeros(len(self.b), np.int64)
+        a_mark[self.a_cut - 1], b_mark[self.b_cut - 1] = 1, 2
+        b_mark[np.cumsum(self.b_counts)[self.b_counts > 0] - 1] = 3
         a_each, b_each = np.diff(self.a_cut, prepend=0), np.diff(self.b_cut, prepend=0)
-        out = np.empty(len(self.a) + len(self.b), object)
-        out[np.arange(len(self.a)) + np.repeat(self.b_cut - b_each, a_each)] = np.where(a_end, digits["|"][self.a], digits[","][self.a])
-        out[np.arange(len(self.b)) + np.repeat(self.a_cut, b_each)] = np.where(b_end, digits[";"][self.b], digits[","][self.b])
-        stops = np.r_[0, np.cumsum(self.a_counts + self.b_counts)].tolist()
-        return ["".join(out[a:b].tolist())[:-1] for a, b in zip(stops, stops[1:])]
+        out = np.empty(len(self.a) + len(self.b), np.int64)
+        out[np.arange(len(self.a)) + np.repeat(self.b_cut - b_each, a_each)] = a_mark << bits | self.a
+        out[np.arange(len(self.b)) + np.repeat(self.a_cut, b_each)] = b_mark << bits | self.b
+        offsets, data = raw(decimal_names(bits).take(pa.array(out)))
+        return cut_at(offsets[np.r_[0, np.cumsum(self.a_counts + self.b_counts)]], data)
 
 
 @lru_cache(maxsize=1)
-def digits_upto(bits: int) -> dict[str, np.ndarray]:
-    """Ids below 2^bits in decimal, before each mark."""
-    digits = np.array([str(k) for k in range(1 << bits)], object)
-    return {mark: digits + mark for mark in ",|;"}
+def decimal_names(bits: int) -> pa.Array:
+    """Ids below 2^bits in decimal, before a comma, a bar, a semicolon and alone."""
+    return pa.array([f"{k}{mark}" for mark in (",", "|", ";", "") for k in range(1 << bits)], pa.string())
 
 
 def pair_counts(tokens: DataFrame, a_path: str, b_path: str, width: int) -> DataFrame:
@@ -239,7 +277,7 @@ def align(
     each; an empty table gives no row. Other columns are left out, whatever their names.
     """
     spark = docs.sparkSession
-    width = 2 if max(len(x) for x in vocabularies(a_path, b_path)[1::3]) <= 1 << 16 else 4
+    width = 2 if max(len(vocabularies(a_path, b_path).a), len(vocabularies(a_path, b_path).b)) <= 1 << 16 else 4
     tokens = stored(tokens_of(docs, a_path, b_path, id_col, text_col, width), "aligned-tokens", "zstd")
     pairs = stored(pair_counts(tokens, a_path, b_path, width), "pair-counts")
     least = least_frequent(pairs, frequent_pairs)
@@ -265,7 +303,7 @@ def align(
                     pa.array(np.searchsorted(owner, np.arange(part.num_rows + 1)), pa.int32()), pa.array(found.pairs[where], pa.int64())
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *(pa.array(x, pa.int64()) for x in numbers), pa.array(found.texts(), pa.string()), rest],
+                    [part.column(0), part.column(1), *(pa.array(x, pa.int64()) for x in numbers), found.texts(), rest],
                     ["row", "doc_id", *NUMBERS, "groups", "rare"],
                 )
 

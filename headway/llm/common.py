@@ -129,6 +129,16 @@ def units(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.searchsorted(starts, bounds), cut_at(starts, data)
 
 
+def gathered(index: np.ndarray, bounds: np.ndarray, firsts: np.ndarray, sizes: np.ndarray, pool: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids per text, all ids) of texts made of parts ``index[bounds[k]:bounds[k + 1]]``, part p
+    having ``sizes[p]`` ids in the pool from ``firsts[p]`` on."""
+    each = sizes[index]
+    ends = np.cumsum(each)
+    at = np.repeat(firsts[index] - (ends - each), each)
+    at += np.arange(len(at))
+    return np.diff(np.r_[0, ends][bounds]), pool[at]
+
+
 class Encoder:
     """Token ids of texts by a tokenizers file; with ``plain``, the strings of special tokens
     are ordinary text.
@@ -217,22 +227,12 @@ class Encoder:
         firsts[~mask] = len(pool) + np.cumsum(sizes[~mask]) - sizes[~mask]
         return firsts, sizes, np.concatenate([pool, *other])
 
-    def _gathered(self, coded: pa.DictionaryArray, before: np.ndarray, known) -> tuple[np.ndarray, np.ndarray]:
-        """Ids per text and all ids, of texts as runs of distinct parts."""
-        firsts, sizes, pool = known(coded.dictionary)
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        each = sizes[index]
-        ends = np.cumsum(each)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.repeat(firsts[index] - (ends - each), each)
-        at += np.arange(total)
-        return np.diff(np.r_[0, ends][before]), pool[at]
-
     def _by_units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         whole = np.asarray(pc.match_substring_regex(texts, self.whole), bool)
         if not whole.any():
             before, found = units(texts)
-            return self._gathered(found.dictionary_encode(), before, self._units)
+            coded = found.dictionary_encode()
+            return gathered(coded.indices.to_numpy(zero_copy_only=False), before, *self._units(coded.dictionary))
         counts = np.zeros(len(texts), np.int64)
         counts[~whole], most = self._by_units(texts.filter(pa.array(~whole)))
         rest = self._ids(texts.filter(pa.array(whole)).to_pylist())
@@ -252,7 +252,7 @@ class Encoder:
             return np.array([len(x) for x in found], np.int64), np.concatenate([*found, np.zeros(0, np.uint32)])
         lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
-        return self._gathered(coded, lists.offsets.to_numpy(), self._words)
+        return gathered(coded.indices.to_numpy(zero_copy_only=False), lists.offsets.to_numpy(), *self._words(coded.dictionary))
 
 
 @lru_cache(maxsize=2)

@@ -4,13 +4,14 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from headway.llm import queries
-from headway.llm.alignment import align, aligned, searched
+from headway.llm.alignment import align, aligned, searched, vocabularies
 
 TEXTS = [
     (1, "One  two\nthree"), (2, None), (3, ""), (4, " \t\n"), (5, "Straße, 東京 🙂 naïve é don't"), (6, "the the the the cat"),
@@ -123,3 +124,17 @@ def test_groups_and_overlaps(texts):
     for i in range(len(flat[0])):
         meets = [j for j in range(len(flat[1])) if starts[1][j] < flat[0][i] and flat[1][j] > starts[0][i]]
         assert meets == list(range(first[i], first[i] + many[i]))
+
+
+MIXED = st.lists(st.sampled_from([*" \n\t\rab1.,'é東\xa0　\x00\u200bﬁ½", "<s>", "</s>", "<unk>", "  ", "   ", "the", "<0x0A>"]), max_size=25).map("".join)
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.lists(MIXED, max_size=5))
+def test_words_give_the_ids_of_whole_texts(texts):
+    both = vocabularies(queries.byte_vocabulary(), queries.piece_vocabulary())
+    counts, ids = both.b_ids(pa.array([" " + t for t in texts], pa.string()))
+    want = both.processor.encode(texts)
+    kept = [bool(t) for t in texts]  # an empty text has no tokens whatever its space gives
+    assert both.by_words and [c for c, k in zip(counts.tolist(), kept) if k] == [len(w) for w, k in zip(want, kept) if k]
+    assert ids[np.repeat(kept, counts).astype(bool)].tolist() == sum((w for w, k in zip(want, kept) if k), [])
