@@ -38,10 +38,12 @@ DICTIONARY_WORDS = 1 << 20
 # Bits of the map of frequent sequences, 8 MiB.
 MAP_BITS = 1 << 26
 # Sequences a trie holds before it spills, and a container before it bursts.
-TRIE_SEQUENCES = 1 << 20
+TRIE_SEQUENCES = 1 << 19
 CONTAINER_SEQUENCES = 1 << 13
 # Words of the prefix that runs meet by.
 PREFIX_WORDS = 3
+# Bytes of text that a task works on at once.
+SLICE_BYTES = 1 << 22
 # Parts in which the best of a language are found before they meet.
 TOP_PARTS = 64
 # From this code on, a word stands in the task's own list and not in the dictionary.
@@ -64,14 +66,14 @@ def words_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     starts = np.flatnonzero(opens)
     is_word = inside[starts[:-1]]
     firsts = starts[:-1][is_word]
-    piece = np.cumsum(kind == 2)[firsts] + np.searchsorted(bounds, firsts, "right")
+    piece = np.cumsum(kind == 2, dtype=np.int32)[firsts] + np.searchsorted(bounds, firsts, "right")
     return cut_at(starts, data).filter(pa.array(is_word)).dictionary_encode(), piece
 
 
 def by_language(batches) -> Iterator[tuple[str, pa.Array]]:
     """(language, its texts) of each slice of rows with a language and a text."""
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, size=SLICE_BYTES):
             langs, texts = pc.fill_null(part.column(0), "und"), pc.fill_null(part.column(1), "")
             for lang in pc.unique(langs).to_pylist():
                 yield lang, texts.filter(pc.equal(langs, lang))
@@ -277,8 +279,8 @@ def counted_sequences(docs: DataFrame, words: int, dictionary, others, shorter,
         trie = HatTrie(words, trie_sequences)
 
         def rows(grams: np.ndarray, n: np.ndarray):
-            for a in range(0, len(grams), 1 << 18):
-                part = grams[a : a + (1 << 18)]
+            for a in range(0, len(grams), 1 << 16):
+                part = grams[a : a + (1 << 16)]
                 split = min(words, PREFIX_WORDS)
                 halves = []
                 for half in (part[:, :split], part[:, split:]):
@@ -288,7 +290,7 @@ def counted_sequences(docs: DataFrame, words: int, dictionary, others, shorter,
                         data = half.astype(">u4").tobytes()
                         offsets = np.arange(len(half) + 1, dtype=np.int32) * (4 * half.shape[1])
                         halves.append(pa.BinaryArray.from_buffers(pa.binary(), len(half), [None, pa.py_buffer(offsets), pa.py_buffer(data)]))
-                yield pa.RecordBatch.from_arrays([*halves, pa.array(n[a : a + (1 << 18)], pa.int64())], ["prefix", "rest", "n"])
+                yield pa.RecordBatch.from_arrays([*halves, pa.array(n[a : a + (1 << 16)], pa.int64())], ["prefix", "rest", "n"])
 
         for lang, texts in by_language(batches):
             found, piece = words_of(texts)
