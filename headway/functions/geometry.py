@@ -46,13 +46,17 @@ def edges_in_band(sides: Column, low: Column, high: Column) -> Column:
     )
 
 
-def strictly_inside(x: Column, y: Column, sides: Column) -> Column:
-    """Even-odd test over the segments; points on a side are outside."""
+def crossings(x: Column, y: Column, sides: Column) -> Column:
+    """Segments that a ray from the point to the right crosses."""
 
     def crosses(s: Column) -> Column:
         at = (s["x2"] - s["x1"]) * (y - s["y1"]) / (s["y2"] - s["y1"]) + s["x1"]
         return F.when((s["y1"] > y) != (s["y2"] > y), x < at).otherwise(False)
 
+    return F.size(F.filter(sides, crosses))
+
+
+def on_a_side(x: Column, y: Column, sides: Column) -> Column:
     def touches(s: Column) -> Column:
         turn = (s["x2"] - s["x1"]) * (y - s["y1"]) - (s["y2"] - s["y1"]) * (x - s["x1"])
         return (
@@ -61,8 +65,12 @@ def strictly_inside(x: Column, y: Column, sides: Column) -> Column:
             & y.between(F.least(s["y1"], s["y2"]), F.greatest(s["y1"], s["y2"]))
         )
 
-    odd = F.size(F.filter(sides, crosses)) % 2 == 1
-    return odd & ~F.exists(sides, touches)
+    return F.exists(sides, touches)
+
+
+def strictly_inside(x: Column, y: Column, sides: Column) -> Column:
+    """Even-odd test over the segments; points on a side are outside."""
+    return (crossings(x, y, sides) % 2 == 1) & ~on_a_side(x, y, sides)
 
 
 def box(rings: Column | str) -> Column:
@@ -108,33 +116,58 @@ def orient_nested(rings: Column | str) -> Column:
     """Turn rings of any order and turn by their nesting: counter-clockwise outside all
     others or inside an even number of them, else clockwise (holes).
 
-    A ring lies in another one if a corner or the middle of a side does, off its sides; of
-    rings with the same corners the later lies in the earlier. Rings of fewer than four
-    points are left out.
+    A ring lies in another one if its first corner or middle of a side off the other's sides
+    does; of rings with the same corners the later lies in the earlier. Rings of fewer than
+    four points are left out. The work grows with the corners times the rings whose box
+    covers theirs.
     """
     closed = closed_rings(rings)
+    known = F.transform(
+        closed,
+        lambda ring: F.struct(ring.alias("ring"), box(F.array(ring)).alias("box"), _ring_edges(ring).alias("sides")),
+    )
 
-    def inside(ring: Column, other: Column) -> Column:
-        sides = _ring_edges(other)
-        return F.exists(
-            _ring_edges(ring),
-            lambda s: strictly_inside(s["x1"], s["y1"], sides)
-            | strictly_inside((s["x1"] + s["x2"]) / 2, (s["y1"] + s["y2"]) / 2, sides),
-        )
+    def covers(other: Column, mine: Column) -> Column:
+        low = (other["xmin"] <= mine["xmin"]) & (other["ymin"] <= mine["ymin"])
+        return low & (other["xmax"] >= mine["xmax"]) & (other["ymax"] >= mine["ymax"])
+
+    def inside(mine: Column, other: Column) -> Column:
+        """The first corner or middle off the other ring's sides decides; rings do not cross."""
+
+        def decided(side: Column, at: Column, x: Column, y: Column) -> Column:
+            near = edges_in_band(other["sides"], y, y)
+            place = F.when(on_a_side(x, y, near), 0).when(crossings(x, y, near) % 2 == 1, 1).otherwise(-1)
+            return F.when(at != 0, at).otherwise(place)
+
+        def step(at: Column, s: Column) -> Column:
+            corner = decided(s, at, s["x1"], s["y1"])
+            return F.when(at != 0, at).otherwise(
+                decided(s, corner, (s["x1"] + s["x2"]) / 2, (s["y1"] + s["y2"]) / 2)
+            )
+
+        return F.aggregate(mine["sides"], F.lit(0), step) == 1
 
     def corners(ring: Column) -> Column:
         return F.array_sort(F.array_distinct(ring))
 
-    def turned(ring: Column, i: Column) -> Column:
-        around = F.filter(
-            closed,
-            lambda other, j: (i != j)
-            & (inside(ring, other) | ((j < i) & (corners(other) == corners(ring)))),
-        )
-        return _turned(ring, F.size(around) % 2 == 0)
-
+    def turned(all_rings: Column) -> Column:
+        def one(mine: Column, i: Column) -> Column:
+            around = F.filter(
+                all_rings,
+                lambda other, j: (i != j)
+                & covers(other["box"], mine["box"])
+                & (
+                    inside(mine, other)
+                    | ((j < i) & (other["box"] == mine["box"]) & (corners(other["ring"]) == corners(mine["ring"])))
+                ),
+            )
+            return _turned(mine["ring"], F.size(around) % 2 == 0)
+
+        return F.transform(all_rings, one)
+
+    # A one-element array names the rings with their boxes, which are then found once.
     return F.when(F.size(closed) == 1, F.transform(closed, lambda r: _turned(r, F.lit(True)))).otherwise(
-        F.transform(closed, turned)
+        F.get(F.transform(F.array(known), turned), F.lit(0))
     )
 
 

@@ -8,21 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.missing import quoted
-from headway.operators.joins import BROADCAST_BYTES, attach, join
-from headway.operators.ranking import (
-    GROUP_LIMIT,
-    MAP_SIDE_ROWS,
-    largest_group,
-    rows_at_ranks,
-)
+from headway.operators.joins import attach, join
+from headway.operators.ranking import first_by_count, rows_at_ranks
 
 
-def with_group_stats(
-    df: DataFrame,
-    keys: Sequence[str],
-    broadcast_bytes: int = BROADCAST_BYTES,
-    **stats: Column,
-) -> DataFrame:
+def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> DataFrame:
     """Add aggregates of a row's group to every row.
 
     The groups are aggregated (partially before the shuffle) and joined back, so
@@ -31,7 +21,7 @@ def with_group_stats(
     summary = df.groupBy(*[F.col(quoted(k)) for k in keys]).agg(
         *[value.alias(name) for name, value in stats.items()]
     )
-    return attach(df, summary, keys, broadcast_bytes=broadcast_bytes)
+    return attach(df, summary, keys)
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -49,21 +39,17 @@ def nth_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -
     """Keys and order columns of the row at position ``n`` (from 1) of every group
     that has as many rows."""
     names = [*keys, *[c for c in order if c not in keys]]
-    rows = df.select(*[F.col(quoted(c)) for c in names])
-    if n <= MAP_SIDE_ROWS:
-        window = Window.partitionBy(*[F.col(quoted(k)) for k in keys]).orderBy(
-            *[F.col(quoted(c)) for c in order]
-        )
-        numbered = rows.withColumn("__row", F.row_number().over(window))
-        first = numbered.where(F.col("__row") <= n)
-        return first.where(F.col("__row") == n).drop("__row")
+    found = first_by_count(df, keys, order, [F.col(quoted(c)) for c in order], n)
+    return found.where(F.col("__upto") >= n).select(*[F.col(quoted(c)) for c in names])
 
-    def place(total: Column) -> Column:
-        return F.array(
-            F.struct(F.lit("nth").alias("label"), F.lit(n).cast("long").alias("rank"))
-        )
 
-    return rows_at_ranks(rows, keys, order, place).select(*[F.col(quoted(c)) for c in names])
+def counted_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Keys, ``value`` as a double and ``times``: how often a group has it, missing included.
+
+    Quantiles and the deviation from a median need no more of the rows than this table.
+    """
+    column = F.col(quoted(value)).cast("double").alias(value)
+    return df.groupBy(*[F.col(quoted(k)) for k in keys], column).agg(F.count(F.lit(1)).alias("times"))
 
 
 def quantiles(
@@ -71,33 +57,18 @@ def quantiles(
     keys: Sequence[str],
     value: str,
     probabilities: Mapping[str, float],
-    group_limit: int = GROUP_LIMIT,
     weight: str | None = None,
 ) -> DataFrame:
     """Exact quantiles per group by linear interpolation between order statistics.
 
     A group with a missing value has missing quantiles. With ``weight`` a row
-    stands for that many equal values. Groups up to
-    ``group_limit`` rows are aggregated in place; beyond that the distinct values
-    with their counts are spread over a range-partitioned sort.
+    stands for that many equal values. The distinct values with their counts are spread over
+    places of their order, so a group of any size is never in one task.
     """
     key_columns = [F.col(quoted(k)) for k in keys]
-    column = F.col(quoted(value)).cast("double")
-    whole = F.count_if(column.isNull()) == 0
+    column = F.col(quoted(value)).cast("double").alias("__value")
     times = F.lit(1) if weight is None else F.col(quoted(weight))
-    if largest_group(df, keys) <= group_limit:
-        return df.groupBy(*key_columns).agg(
-            *[
-                F.when(whole, F.percentile(column, F.lit(p), times)).alias(name)
-                for name, p in probabilities.items()
-            ]
-        )
-
-    counted = (
-        df.where(column.isNotNull())
-        .groupBy(*key_columns, column.alias("__value"))
-        .agg(F.sum(times).alias("__weight"))
-    )
+    counted = df.groupBy(*key_columns, column).agg(F.sum(times).alias("__weight"))
 
     def wanted(total: Column) -> Column:
         targets = []
@@ -111,10 +82,14 @@ def quantiles(
                 )
         return F.array(*targets)
 
-    found = rows_at_ranks(counted, keys, ["__value"], wanted, weight="__weight")
+    found = rows_at_ranks(counted.where("__value IS NOT NULL"), keys, ["__value"], wanted, weight="__weight")
+    # A group's missing values join the found ones as one more row.
+    missing = counted.where("__value IS NULL").select(*key_columns, F.lit(True).alias("__missing"))
+    found = found.unionByName(missing, allowMissingColumns=True)
     at = lambda label: F.max(F.when(F.col("__label") == label, F.col("__value")))
     sides = found.groupBy(*key_columns).agg(
         F.max("__total").alias("__total"),
+        F.max("__missing").alias("__missing"),
         *[
             at(f"{name}:{side}").alias(f"{name}:{side}")
             for name in probabilities
@@ -126,24 +101,14 @@ def quantiles(
         position = (F.col("__total") - 1) * F.lit(float(p)) + 1
         low, high = F.col(quoted(f"{name}:low")), F.col(quoted(f"{name}:high"))
         share = position - F.floor(position)
-        results.append((low * (1 - share) + high * share).alias(name))
-    computed = sides.select(*key_columns, *results)
-    groups = df.groupBy(*key_columns).agg(whole.alias("__whole"))
-    if not keys:
-        is_whole = groups.scalar()
-        return computed.select(
-            *[F.when(is_whole, F.col(quoted(n))).alias(n) for n in probabilities]
-        )
-    answer = join(groups, computed, by=list(keys), how="left")
-    return answer.select(
-        *key_columns,
-        *[F.when(F.col("__whole"), F.col(quoted(n))).alias(n) for n in probabilities],
-    )
+        # Equal neighbours stand for themselves: an infinite one times a share of 0 would not.
+        between = F.when(low == high, low).otherwise(low * (1 - share) + high * share)
+        results.append(F.when(F.col("__missing").isNull(), between).alias(name))
+    return sides.select(*key_columns, *results)
 
 
 def median_absolute_deviation(
-    df: DataFrame, keys: Sequence[str], value: str, name: str = "mad",
-    group_limit: int = GROUP_LIMIT,
+    df: DataFrame, keys: Sequence[str], value: str, name: str = "mad", weight: str | None = None
 ) -> DataFrame:
     """1.4826 times the median distance from the group's median.
 
@@ -151,15 +116,16 @@ def median_absolute_deviation(
     fewer than the rows of a large group.
     """
     key_columns = [F.col(quoted(k)) for k in keys]
-    column = F.col(quoted(value)).cast("double").alias("__value")
-    counted = df.groupBy(*key_columns, column).agg(F.count(F.lit(1)).alias("__times"))
-    centre = quantiles(counted, keys, "__value", {"__centre": 0.5}, group_limit, "__times")
+    counted = df if weight else counted_values(df, keys, value)
+    times = weight or "times"
+    centre = quantiles(counted, keys, value, {"__centre": 0.5}, times)
     if keys:
         joined = join(counted, centre, by=list(keys))
     else:
-        joined = counted.withColumn("__centre", centre.scalar())
-    distances = joined.select(
-        *key_columns, F.abs(F.col("__value") - F.col("__centre")).alias("__distance"), "__times"
-    )
-    spread = quantiles(distances, keys, "__distance", {name: 0.5}, group_limit, "__times")
+        joined = counted.withColumn("__centre", centre.select("__centre").scalar())
+    distance = F.col(quoted(value)).cast("double") - F.col("__centre")
+    # An infinite value is at no distance from an infinite median.
+    distance = F.when(F.col(quoted(value)) == F.col("__centre"), 0.0).otherwise(F.abs(distance))
+    distances = joined.select(*key_columns, distance.alias("__distance"), F.col(quoted(times)).alias("__times"))
+    spread = quantiles(distances, keys, "__distance", {name: 0.5}, "__times")
     return spread.withColumn(name, F.col(quoted(name)) * F.lit(1.4826))

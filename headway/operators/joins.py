@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from headway.functions.missing import quoted
-from headway.session import durable
-
 Keys = str | Sequence[str] | Mapping[str, str] | None
 
 KINDS = {
@@ -150,19 +148,11 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(text + ROW_BYTES), F.lit(0))).first()[0]
 
 
-def attach(
-    df: DataFrame,
-    summary: DataFrame,
-    by: Sequence[str],
-    how: str = "left",
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+def attach(df: DataFrame, summary: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
     """Join a summary of ``df`` back to its rows.
 
-    Spark cannot foresee how small an aggregate is and would shuffle the wide
-    table for it. The summary is written once and measured: below the limit it is
-    broadcast and the wide rows stay where they are, above it both are shuffled.
+    Nothing runs until the result is asked for. Spark broadcasts a summary it knows or finds
+    at run time to be small; otherwise adaptive execution splits the partitions of a hot key,
+    of which the summary holds one row.
     """
-    kept = durable(summary)
-    small = measured_bytes(kept) <= broadcast_bytes
-    return join(df, F.broadcast(kept) if small else kept, by=list(by), how=how)
+    return join(df, summary, by=list(by), how=how)

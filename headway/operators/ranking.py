@@ -1,40 +1,150 @@
 """Positions, equal-sized buckets and top rows per group.
 
-A group may be larger than one task should hold. Ranks are found in two levels: a row's
-place is computed from cut points, a group spreads over many places and only the counts
-of places meet; then rows are numbered inside their place.
+A group may be larger than one task should hold. A row's place in an order is computed from
+the row and from cut points taken from a sample; a group spreads over many places and only
+the counts of places meet. Then the few places that hold a wanted position are looked into.
+Everything is part of one lazy plan: cut points are a subquery of it.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DataType, DateType, MapType, NumericType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import BinaryType, DataType, MapType, StringType, VariantType
 
 from headway.functions.missing import quoted
 from headway.operators.joins import attach, join
 
-# Bytes of a text that decide on its place.
-KEY_BYTES = 7
-# Largest group, in rows, that may be sorted inside one task.
-GROUP_LIMIT = 2_000_000
-# Most rows per group a map task may pass on; Spark cuts row numbers before the
-# shuffle below spark.sql.optimizer.windowGroupLimitThreshold (1000).
-MAP_SIDE_ROWS = 500
+# Cut points of an order, and sampled rows a cut point stands for.
+CUTS = 4095
+ROWS_PER_CUT = 16
+# Steps of the search for a cut point that one projection takes.
+HALVINGS = 3
+# Characters of a text or bytes of a binary value that make a cut point.
+CUT_LENGTH = 256
+# Bits of a place that one column of the order takes; columns that take part.
+LEVEL_BITS = 14
+LEVELS = 4
+# Parts in which the first rows of a group are found before they meet.
+PARTS = 64
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(quoted(n)) for n in names]
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group; only counts are shuffled."""
-    sizes = df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+def _is_nan(column: Column, kind: DataType) -> Column:
+    return F.isnan(column) if kind.typeName() in ("double", "float") else F.lit(False)
+
+
+def _present(df: DataFrame, name: str) -> Column:
+    column = F.col(quoted(name))
+    return column.isNotNull() & ~_is_nan(column, df.schema[name].dataType)
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """The same number for equal rows. Maps, which have no hash, are left out."""
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, (MapType, VariantType))]
+    return F.xxhash64(*_cols(plain))
+
+
+def with_one(df: DataFrame, one: DataFrame) -> DataFrame:
+    """The columns of ``one``, a table of one row of bounded size, on every row.
+
+    An equi-join on a number that is always 0, which the optimizer does not know: nested
+    subqueries would each be planned again and again.
+    """
+    def always(table: DataFrame) -> Column:
+        return F.pmod(F.xxhash64(F.col(quoted(table.columns[0])).isNull()), F.lit(1))
+
+    both = df.withColumn("__one", always(df)).join(F.broadcast(one.withColumn("__one", always(one))), "__one", "left")
+    return both.drop("__one")
+
+
+def _advanced(at: Column, cuts: Column, value: Column, steps: Sequence[int], done: int = 0) -> Column:
+    """``at`` and as many of the steps as still lead to a cut point not above ``value``."""
+    if not steps:
+        return at + done
+    further, stay = (_advanced(at, cuts, value, steps[1:], d) for d in (done + steps[0], done))
+    return F.when(F.get(cuts, at + (done + steps[0] - 1)) <= value, further).otherwise(stay)
+
+
+class Places:
+    """Where a row stands in the order of some columns, as a number computed from the row.
+
+    Cut points come from a sample of ROWS_PER_CUT times CUTS rows at most. A row equal to a cut point in one column is
+    placed further by the next one, at last by its hash; so a frequent value is divided as
+    the order goes on. Only the balance depends on the cut points, never a result.
+
+    ``orders`` are lists of columns, each followed by a hash column in the order of rows if
+    ``hashed`` names one.
+    """
+
+    def __init__(self, df: DataFrame, orders: Sequence[Sequence[str]], hashed: str | None = None):
+        self.df, self.hashed = df, hashed
+        self.names = [n for n in dict.fromkeys(c for order in orders for c in order[:LEVELS]) if n != hashed]
+        keys = [F.when(_present(df, n), self._cut_key(n)) for n in self.names]
+        mixed = F.xxhash64(F.col(quoted(hashed)) if hashed else _row_hash(df), F.lit(7))
+        # One row of each of many shares of the hash: evenly drawn, equal rows at most once, in one
+        # pass, and the same rows whenever it is drawn.
+        held = df.select(mixed.alias("h"), F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]).alias("k"))
+        sample = held.groupBy(F.pmod("h", F.lit(CUTS * ROWS_PER_CUT)).alias("share")).agg(F.min_by("k", "h").alias("k")).select("k.*")
+        values = sample.select(*[F.sort_array(F.collect_list(f"k{i}")).alias(f"k{i}") for i in range(len(keys))])
+        picked = values.select(F.struct(*[self._picked(F.col(f"k{i}")).alias(f"k{i}") for i in range(len(keys))]).alias("__cuts"))
+        self.cuts = picked
+
+    def marked(self, slots: Mapping[str, Sequence[str]]) -> DataFrame:
+        """The rows with, for each name, their place in an order.
+
+        All columns are searched at once, some halvings in each projection, so that the number
+        found so far is computed once and the search stays generated code.
+        """
+        held = with_one(self.df, self.cuts).withColumns({f"__at{i}": F.lit(0) for i in range(len(self.names))})
+        cuts = [F.col("__cuts")[f"k{i}"] for i in range(len(self.names))]
+        ats = [F.col(f"__at{i}") for i in range(len(self.names))]
+        values = _cols(self.names)
+        bits = CUTS.bit_length()
+        for low in range(bits - HALVINGS, -HALVINGS, -HALVINGS):
+            steps = [1 << k for k in reversed(range(max(low, 0), low + HALVINGS))]
+            held = held.withColumns({f"__at{i}": _advanced(at, cut, v, steps) for i, (at, cut, v) in enumerate(zip(ats, cuts, values))})
+        same = [v.isNull() | F.coalesce(F.get(cut, at - 1) == v, F.lit(False)) for at, cut, v in zip(ats, cuts, values)]
+        held = held.withColumns({f"__same{i}": x for i, x in enumerate(same)})
+        last = F.lit((1 << LEVEL_BITS) - 1)
+        digits = [
+            F.when(v.isNull(), 0).when(_is_nan(v, self.df.schema[n].dataType), last).otherwise(2 * at + F.when(F.col(f"__same{i}"), 1).otherwise(2))
+            for i, (n, at, v) in enumerate(zip(self.names, ats, values))
+        ]
+        held = held.withColumns({f"__digit{i}": d for i, d in enumerate(digits)})
+        return held.withColumns({name: self._place(order) for name, order in slots.items()}).select(*_cols(self.df.columns), *_cols(list(slots)))
+
+    def _place(self, order: Sequence[str]) -> Column:
+        place, deeper = F.lit(0).cast("long"), F.lit(True)
+        levels = [*order, self.hashed] if self.hashed and len(order) < LEVELS else list(order)
+        for name in levels[:LEVELS]:
+            if name == self.hashed:
+                digit = F.shiftright(F.col(quoted(name)), 65 - LEVEL_BITS).cast("int") + (1 << LEVEL_BITS - 2)
+            else:
+                i = self.names.index(name)
+                digit = F.col(f"__digit{i}")
+            place = place * (1 << LEVEL_BITS) + F.when(deeper, digit).otherwise(0)
+            if name != self.hashed:
+                deeper = deeper & F.col(f"__same{i}")
+        return place
+
+    @staticmethod
+    def _picked(values: Column) -> Column:
+        """Evenly spaced different values."""
+        spots = F.sequence(F.lit(0), F.least(F.size(values), F.lit(CUTS)) - 1)
+        many = F.transform(spots, lambda i: F.get(values, F.floor(i * F.size(values) / F.least(F.size(values), F.lit(CUTS))).cast("int")))
+        return F.when(F.size(values) > 0, F.array_distinct(many)).otherwise(F.slice(values, 1, 0))
+
+    def _cut_key(self, name: str) -> Column:
+        column = F.col(quoted(name))
+        if isinstance(self.df.schema[name].dataType, (StringType, BinaryType)):
+            return F.substring(column, 1, CUT_LENGTH)
+        return column
 
 
 def rows_at_ranks(
@@ -50,126 +160,38 @@ def rows_at_ranks(
     ``weight`` a row stands for that many rows. Returns the keys, the order
     columns, ``__label`` and ``__total``. ``order`` should tell rows apart, since
     equal rows share a place.
-
-    Every place of the order learns how many rows of the group come before it; only
-    places holding a wanted rank are then looked into.
     """
     unit = F.lit(1).cast("long") if weight is None else F.col(quoted(weight)).cast("long")
-    rows = df.select(*_cols(keys), *_cols([o for o in order if o not in keys]), unit.alias("__w"))
-    ranged = rows.withColumn("__slot", Places(rows, order[:1], order[1:]).of(order[0]))
+    rest = [o for o in order if o not in keys]
+    rows = df.select(*_cols(keys), *_cols(rest), unit.alias("__w"))
+    hits = _at_ranks(Places(rows, [order]).marked({"__slot": order}), keys, targets, order)
+    return hits.select(*_cols(keys), *_cols(rest), F.col("__hit.label").alias("__label"), "__total")
+
+
+def _at_ranks(ranged: DataFrame, keys: Sequence[str], targets: Callable[[Column], Column], order: Sequence[str]) -> DataFrame:
+    """Rows of ``ranged`` at the wanted ranks of their group, with ``__hit``, ``__total`` and
+    ``__first``, the rank at which the row begins. ``__slot`` holds the place of a row, ``__w``
+    for how many it stands; rows equal in ``order`` should be one."""
     # At most one row per key and place.
     slots = ranged.groupBy(*_cols(keys), "__slot").agg(F.sum("__w").alias("__n"))
-    upto = Window.partitionBy(*_cols(keys)).orderBy("__slot")
-    everything = Window.partitionBy(*_cols(keys))
+    group = Window.partitionBy(*_cols(keys))
     wanted = (
-        slots.withColumn("__before", F.sum("__n").over(upto) - F.col("__n"))
-        .withColumn("__total", F.sum("__n").over(everything))
-        .withColumn("__target", F.explode(targets(F.col("__total"))))
-        .where(
-            (F.col("__target.rank") > F.col("__before"))
-            & (F.col("__target.rank") <= F.col("__before") + F.col("__n"))
+        slots.withColumn("__before", F.sum("__n").over(group.orderBy("__slot")) - F.col("__n"))
+        .withColumn("__total", F.sum("__n").over(group))
+        .withColumn(
+            "__targets",
+            F.filter(targets(F.col("__total")), lambda t: (t["rank"] > F.col("__before")) & (t["rank"] <= F.col("__before") + F.col("__n"))),
         )
-        .groupBy(*_cols(keys), "__slot", "__before", "__total")
-        .agg(F.collect_list("__target").alias("__targets"))
+        .where(F.size("__targets") > 0)
+        .drop("__n")
     )
-    inside = attach(ranged, wanted, [*keys, "__slot"], how="inner")
+    if not keys:
+        wanted = F.broadcast(wanted)  # a row for each target at most
+    inside = join(ranged, wanted, by=[*keys, "__slot"], how="inner")
     running = Window.partitionBy(*_cols(keys), "__slot").orderBy(*_cols(order))
-    reached = inside.withColumn(
-        "__rank",
-        F.col("__before")
-        + F.sum("__w").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-    )
-    hits = reached.withColumn("__hit", F.explode("__targets")).where(
-        (F.col("__hit.rank") <= F.col("__rank"))
-        & (F.col("__hit.rank") > F.col("__rank") - F.col("__w"))
-    )
-    return hits.select(
-        *_cols(keys),
-        *_cols([o for o in order if o not in keys]),
-        F.col("__hit.label").alias("__label"),
-        "__total",
-    )
-
-
-def _present(df: DataFrame, name: str) -> Column:
-    column = F.col(quoted(name))
-    if df.schema[name].dataType.typeName() in ("double", "float"):
-        return column.isNotNull() & ~F.isnan(column)
-    return column.isNotNull()
-
-
-def _order_key(column: Column, kind: DataType) -> Column:
-    """A column that rises with ``column`` and has approximate percentiles; of a text the
-    number of its first bytes, of types without an order a constant."""
-    if isinstance(kind, StringType):
-        digits = F.rpad(F.hex(F.substring(F.encode(column, "utf-8"), 1, KEY_BYTES)), 2 * KEY_BYTES, "0")
-        return F.conv(digits, 16, 10).cast("long")
-    if isinstance(kind, BooleanType):
-        return column.cast("int")
-    if isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
-        return column
-    return F.when(column.isNotNull(), 0)
-
-
-class Places:
-    """Where a row stands in an order, as a number computed from the row alone.
-
-    Cut points of each column, approximate percentiles of all its rows, are read once and
-    become literals, so a lost task finds the same places again and nothing is stored. A
-    value so frequent that several cut points fall on it is divided further: by the cut
-    points of the first tiebreak, or without one by the hash of the row. Only the balance
-    depends on the cut points, never a result.
-    """
-
-    def __init__(self, df: DataFrame, columns: Sequence[str], tiebreak: Sequence[str]):
-        self.df, self.tiebreak = df, list(tiebreak)
-        self.slots = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        names = list(dict.fromkeys([*columns, *self.tiebreak[:1]]))
-        keys = [F.when(_present(df, c), self._key(c)) for c in names]
-        types = [field.dataType for field in df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)]).schema]
-        shares = [k / self.slots for k in range(1, self.slots)]
-        found = df.select(
-            *[F.percentile_approx(k, shares, 10 * self.slots).cast("array<string>").alias(f"k{i}") for i, k in enumerate(keys)]
-        ).first()
-        self.cuts = {c: ([*map(str, texts)] if texts else [], kind) for c, texts, kind in zip(names, found, types)}
-
-    def _key(self, name: str) -> Column:
-        return _order_key(F.col(quoted(name)), self.df.schema[name].dataType)
-
-    def _slot(self, name: str) -> Column:
-        """Number of different cut points at or below the row's value."""
-        texts, kind = self.cuts[name]
-        cuts = list(dict.fromkeys(texts))
-        if not cuts:
-            return F.lit(0)
-        key, width = self._key(name), math.isqrt(len(cuts)) + 1
-        runs = [F.array(*[F.lit(t).cast(kind) for t in cuts[at : at + width]]) for at in range(0, len(cuts), width)]
-        below = lambda values: F.size(F.filter(values, lambda cut: cut <= key))
-        run = below(F.array(*[F.lit(t).cast(kind) for t in cuts[::width]]))
-        inside = (run - 1) * width + below(F.get(F.array(*runs), run - 1))
-        return F.when(key.isNull(), 0).when(run > 0, inside).otherwise(0)
-
-    def of(self, name: str) -> Column:
-        """Place of a row by ``name`` and the tiebreak; missing values stand first."""
-        texts, kind = self.cuts[name]
-        hot = [text for text, times in Counter(texts).items() if times > 1]
-        divided = F.lit(self.slots)
-        if hot and not isinstance(self.df.schema[name].dataType, StringType):
-            if self.tiebreak:
-                part = self._slot(self.tiebreak[0])
-            else:
-                part = F.pmod(self._hash(), F.lit(self.slots))
-            divided = F.when(self._key(name).isin(*[F.lit(t).cast(kind) for t in hot]), part).otherwise(self.slots)
-        place = 1 + self._slot(name).cast("long") * 2 * self.slots + divided
-        return F.when(F.col(quoted(name)).isNotNull(), place).otherwise(0)
-
-    def aside(self) -> Column:
-        """Place below 0 for rows that are not ranked, dealt evenly."""
-        return -1 - F.pmod(self._hash(), F.lit(self.slots))
-
-    def _hash(self) -> Column:
-        plain = [f.name for f in self.df.schema if not isinstance(f.dataType, MapType)]
-        return F.xxhash64(*_cols(plain))
+    upto = F.sum("__w").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    reached = inside.withColumn("__first", F.col("__before") + upto - F.col("__w") + 1).withColumn("__hit", F.explode("__targets"))
+    return reached.where((F.col("__hit.rank") >= F.col("__first")) & (F.col("__hit.rank") < F.col("__first") + F.col("__w")))
 
 
 def ntile(
@@ -178,6 +200,7 @@ def ntile(
     n: int,
     keys: Sequence[str] = (),
     tiebreak: Sequence[str] = (),
+    all_differ: bool = False,
 ) -> DataFrame:
     """Split each group into ``n`` buckets of almost equal size, 1 the lowest.
 
@@ -186,49 +209,72 @@ def ntile(
     tie in the value and ``tiebreak`` are divided arbitrarily, so bucket sizes always
     differ by at most one.
 
-    A group of any size is ranked in places: the rows of each are counted, the counts
-    added up, and a row's rank is what lies before its place plus its number inside.
+    Only the first row of each bucket is looked for, for all columns at once; a row's bucket
+    then follows from comparing it with those few. Rows equal in every column, of which a
+    bucket takes only some, are counted and written out again by their number. With
+    ``all_differ`` the caller states that there are none, which saves reading ``df`` for them.
     """
-    places = Places(df, list(columns.values()), tiebreak)
-    at = {out: f"__place_{out}" for out in columns}
-    marked = df.withColumns(
-        {at[out]: F.when(_present(df, name), places.of(name)).otherwise(places.aside()) for out, name in columns.items()}
-    )
-    each = F.explode(F.array(*[F.struct(F.lit(o).alias("out"), F.col(quoted(p)).alias("place")) for o, p in at.items()]))
-    counts = (
-        marked.select(*_cols(keys), each.alias("__at"))
-        .where("__at.place >= 0")
-        .groupBy(*_cols(keys), F.col("__at.out").alias("__out"), F.col("__at.place").alias("__place"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    group = Window.partitionBy(*_cols(keys), "__out")
-    starts = counts.select(
-        *_cols(keys),
-        "__out",
-        "__place",
-        (F.sum("__n").over(group.orderBy("__place")) - F.col("__n")).alias("__before"),
-        F.sum("__n").over(group).alias("__total"),
-    )
-    if not keys:
-        # At most 2 * slots rows for each column, slots more for each hot value.
-        starts = df.sparkSession.createDataFrame(starts.collect(), starts.schema)
-    ranked = marked
-    for out, name in columns.items():
-        mine = starts.where(F.col("__out") == out).drop("__out").withColumnRenamed("__place", at[out])
-        inside = Window.partitionBy(*_cols([*keys, at[out]])).orderBy(*_cols([name, *tiebreak]))
-        numbered = ranked.withColumn("__row", F.row_number().over(inside))
-        joined = join(numbered, mine, by=[*keys, at[out]], how="left")
-        rank, total = F.col("__before") + F.col("__row"), F.col("__total")
-        even, extra = F.floor(total / n), total % n
-        large = (even + 1) * extra
-        bucket = F.when(rank <= large, F.floor((rank - 1) / (even + 1)) + 1).otherwise(
-            extra + F.floor((rank - large - 1) / F.greatest(even, F.lit(1))) + 1
+    names = list(columns.values())
+    rows = df.withColumn("__hash", _row_hash(df))
+    orders = {f"__place{i}": [c, *tiebreak] for i, c in enumerate(names)}
+    placed = Places(rows, list(orders.values()), "__hash").marked(orders)
+    order_keys = [F.struct(F.col(quoted(c)).alias("v"), *[F.col(quoted(b)).alias(f"t{i}") for i, b in enumerate(tiebreak)], "__hash") for c in names]
+    kinds = [f.dataType for f in rows.select(*[k.alias(f"k{i}") for i, k in enumerate(order_keys)]).schema]
+    each = [
+        F.struct(
+            F.lit(i).alias("__out"),
+            F.when(_present(df, c), F.col(f"__place{i}")).alias("__slot"),
+            *[(k if j == i else F.lit(None).cast(kinds[j])).alias(f"__k{j}") for j, k in enumerate(order_keys)],
         )
-        ranked = joined.withColumn(f"__bucket_{out}", bucket.cast("int")).drop("__row", "__before", "__total")
-    results = [F.col(quoted(f"__bucket_{out}")).alias(out) for out in columns]
-    kept = [c for c in df.columns if c not in columns]
-    done = ranked.select(*_cols(kept), *results)
-    return done.select(*_cols(df.columns), *_cols([o for o in columns if o not in df.columns]))
+        for i, c in enumerate(names)
+    ]
+    narrow = placed.select(*[F.col(quoted(k)).alias(f"__g{i}") for i, k in enumerate(keys)], F.explode(F.array(*each)).alias("__e"))
+    groups = [f"__g{i}" for i in range(len(keys))]
+    narrow = narrow.select(*groups, "__e.*").where("__slot IS NOT NULL")
+    ordered = [f"__k{j}" for j in range(len(names))]
+    narrow = narrow.groupBy(*groups, "__out", "__slot", *ordered).agg(F.count(F.lit(1)).alias("__w"))
+
+    def firsts(total: Column) -> Column:
+        """Rank of the first row of each bucket from the second on."""
+        ranks = F.transform(F.sequence(F.lit(1), F.lit(n - 1)), lambda k: (k * F.floor(total / n) + F.least(k, total % n) + 1).cast("long"))
+        return F.transform(ranks, lambda r: F.struct(r.alias("rank"))) if n > 1 else F.array().cast("array<struct<rank:bigint>>")
+
+    hits = _at_ranks(narrow, [*groups, "__out"], firsts, ordered)
+    below = F.col("__hit.rank") - F.col("__first")  # of equal rows, those in earlier buckets
+    starts = hits.groupBy(*groups).agg(
+        *[F.collect_list(F.when(F.col("__out") == j, F.struct(F.col(f"__k{j}").alias("key"), below.alias("below")))).alias(f"__starts{j}") for j in range(len(names))]
+    )
+    starts = starts.select(*groups, F.struct(*[F.col(f"__starts{j}").alias(f"s{j}") for j in range(len(names))]).alias("__starts"))
+    if keys:
+        joined = join(rows, starts, by=dict(zip(keys, groups)), how="left")
+    else:
+        joined = with_one(rows, starts.select("__starts"))
+    begins = [F.col("__starts")[f"s{j}"] for j in range(len(names))]
+
+    def bucketed(frame: DataFrame, reached: Callable[[Column, Column], Column]) -> DataFrame:
+        results = [
+            F.when(_present(df, c), 1 + F.coalesce(F.size(F.filter(begin, lambda s: reached(s, key))), F.lit(0))).cast("int").alias(out)
+            for (out, c), begin, key in zip(columns.items(), begins, order_keys)
+        ]
+        done = frame.select(*_cols([c for c in df.columns if c not in columns]), *results)
+        return done.select(*_cols(df.columns), *_cols([o for o in columns if o not in df.columns]))
+
+    def upto(start: Column, key: Column) -> Column:
+        return start["key"] <= key
+
+    if all_differ:
+        return bucketed(joined, upto)
+    split = F.lit(False)
+    for begin, key in zip(begins, order_keys):
+        split = split | F.coalesce(F.exists(begin, lambda s: (s["below"] > 0) & (s["key"] == key)), F.lit(False))
+    joined = joined.withColumn("__split", split)
+    # Equal rows are told apart by number only; rows that differ in a map alone follow each other.
+    equal = joined.where("__split").groupBy(*_cols(rows.columns), "__starts").agg(F.count(F.lit(1)).alias("__copies"))
+    line = Window.partitionBy("__hash").orderBy(F.to_json(F.struct(*_cols(df.columns))))
+    counted = equal.withColumn("__upto", F.sum("__copies").over(line))
+    copies = counted.withColumn("__number", F.explode(F.sequence(F.col("__upto") - F.col("__copies") + 1, F.col("__upto"))))
+    numbered = bucketed(copies, lambda s, key: (s["key"] < key) | ((s["key"] == key) & (s["below"] < F.col("__number"))))
+    return bucketed(joined.where(~F.col("__split")), upto).unionByName(numbered)
 
 
 def slice_max(df: DataFrame, value: str, n: int, keys: Sequence[str] = ()) -> DataFrame:
@@ -239,33 +285,27 @@ def slice_max(df: DataFrame, value: str, n: int, keys: Sequence[str] = ()) -> Da
     """
     column = F.col(quoted(value))
     present = df.where(_present(df, value))
-    if n > MAP_SIDE_ROWS:
-        least = _nth_largest(present, value, n, keys)
-    elif keys:
-        window = Window.partitionBy(*_cols(keys)).orderBy(column.desc())
-        top = (
-            present.select(*_cols([*keys, value]))
-            .withColumn("__row", F.row_number().over(window))
-            .where(F.col("__row") <= n)
-        )
-        least = top.groupBy(*_cols(keys)).agg(F.min(column).alias("__least"))
-    else:
-        top = present.select(column).orderBy(column.desc()).limit(n)
-        least = top.agg(F.min(column).alias("__least"))
+    top = first_by_count(present, keys, [value], [column.desc()], n)
+    least = top.groupBy(*_cols(keys)).agg(F.min(column).alias("__least"))
     if not keys:
         return present.where(column >= least.select("__least").scalar())
     joined = attach(present, least, keys, how="inner")
     return joined.where(column >= F.col("__least")).drop("__least")
 
 
-def _nth_largest(present: DataFrame, value: str, n: int, keys: Sequence[str]) -> DataFrame:
-    """The n-th largest value per group (the smallest in groups with fewer rows),
-    from the distinct values with their counts."""
-    counted = present.groupBy(*_cols([*keys, value])).agg(F.count(F.lit(1)).alias("__weight"))
-
-    def place(total: Column) -> Column:
-        rank = F.greatest(total - n + 1, F.lit(1))
-        return F.array(F.struct(F.lit("least").alias("label"), rank.cast("long").alias("rank")))
+def first_by_count(df: DataFrame, keys: Sequence[str], names: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
+    """The different rows of ``keys`` and ``names`` that reach into the first ``n`` rows of
+    their group, with ``__upto``, the rows up to their last one.
 
-    found = rows_at_ranks(counted, keys, [value], place, weight="__weight")
-    return found.select(*_cols(keys), F.col(quoted(value)).alias("__least"))
+    Equal rows are counted first. Each group's first are found in parts, of which at most
+    ``n`` rows each meet.
+    """
+    both = [*keys, *[c for c in names if c not in keys]]
+    counted = df.groupBy(*_cols(both)).agg(F.count(F.lit(1)).alias("__n"))
+    plain = [c for c in names if not isinstance(df.schema[c].dataType, (MapType, VariantType))]
+    counted = counted.withColumn("__part", F.pmod(F.xxhash64(*_cols(plain)), F.lit(PARTS)))
+    part = Window.partitionBy(*_cols(keys), "__part").orderBy(*order)
+    few = counted.withColumn("__row", F.row_number().over(part)).where(F.col("__row") <= n).drop("__row", "__part")
+    line = Window.partitionBy(*_cols(keys)).orderBy(*order)
+    running = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return few.withColumn("__upto", F.sum("__n").over(running)).where(F.col("__upto") - F.col("__n") < n).drop("__n")

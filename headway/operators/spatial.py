@@ -2,8 +2,9 @@
 
 A point table has columns x and y, a polygon table a column ``rings``; the code
 of the reference system travels in the metadata of those columns. A polygon is
-laid over the cells of a square grid, a point has one cell, and the two meet in
-an equi-join on the cell before the exact test runs.
+laid over the cells of a grid, a point has one cell, and the two meet in an
+equi-join on the cell before the exact test runs. Cell sides are powers of four, each
+polygon's from its own box, so layers may mix polygons of all sizes.
 """
 
 from __future__ import annotations
@@ -20,14 +21,14 @@ from headway.operators.joins import join
 
 GEOMETRY = ("x", "y", "rings")
 
-# Largest estimated size, in bytes, of a gridded polygon layer that is broadcast.
-BROADCAST_BYTES = 64 * 1024 * 1024
-ROW_BYTES = 256
-SIDE_BYTES = 40
 # Cell number of points without a position; no polygon covers it.
 NO_CELL = -(2**63)
-# The grid rule of `grid_size` keeps the cells below this many per polygon.
-CELLS_PER_POLYGON = 9
+# Sides that a band of a polygon should hold, and bands cut first into one coarse band.
+BAND_SIDES = 64
+COARSE_BITS = 5
+# Cell sides are powers of two between these exponents.
+LEVELS = (-60, 60)
+NO_LEVEL = -99
 
 
 def _tagged(column: Column, name: str, epsg: int) -> Column:
@@ -88,70 +89,96 @@ def project(df: DataFrame, to_epsg: int) -> DataFrame:
     return moved_points.withMetadata("x", {"epsg": to_epsg}).withMetadata("y", {"epsg": to_epsg})
 
 
-def layer_stats(polygons: DataFrame):
-    """One row about the layer: polygons, segments, mean box sides and area."""
-    b = F.col("b")
-    wide, high = b["xmax"] - b["xmin"], b["ymax"] - b["ymin"]
-    return (
-        polygons.select(box("rings").alias("b"), F.size(edges("rings")).alias("sides"))
-        .agg(
-            F.count(F.lit(1)).alias("polygons"),
-            F.coalesce(F.sum("sides"), F.lit(0)).alias("sides"),
-            F.avg((wide + high) / 2).alias("side"),
-            F.avg(wide * high).alias("area"),
-        )
-        .first()
-    )
+def _level(length: Column) -> Column:
+    """Exponent, even, of the smallest cell side (a power of four) not below a length;
+    missing for nothing, NaN or infinity."""
+    exponent = 2 * F.ceil(F.log2(length) / 2)
+    usable = (length > 0) & (length < F.lit(float("inf")))
+    return F.when(usable, F.least(F.greatest(exponent, F.lit(LEVELS[0])), F.lit(LEVELS[1])).cast("int"))
+
+
+def _side(level: Column) -> Column:
+    return F.pow(F.lit(2.0), level)
 
 
-def grid_size(stats) -> float:
-    """Cell side: at least the mean box side and the root of the mean box area,
-    which bounds the cells by a fixed number per polygon whatever the outliers."""
-    side = max(stats["side"] or 0.0, (stats["area"] or 0.0) ** 0.5)
-    return side if side > 0 else 1.0
+def _cell(value: Column, level: Column) -> Column:
+    """Number of the cell; exact, since dividing by a power of two is."""
+    return F.floor(value / _side(level))
 
 
-def _cell(value: Column, size: float) -> Column:
-    return F.floor(value / F.lit(size))
+def _levelled(polygons: DataFrame) -> DataFrame:
+    """Polygons with ``__box``, their sides, and ``__lx``, ``__ly``: the levels of their own
+    box, a box of many sides being cut into bands of height."""
+    wide, high = F.col("__box.xmax") - F.col("__box.xmin"), F.col("__box.ymax") - F.col("__box.ymin")
+    bands = F.ceil(F.size("__sides") / BAND_SIDES)
+    # Nothing computed of a shape may be missing, and no filter may ask for it: the optimizer
+    # would work out the shape once more for each. A shape without extent has no level.
+    found = box("rings")
+    limits = F.struct(*[F.coalesce(found[c], F.lit(float("nan"))).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")])
+    laid = polygons.withColumns({"__box": limits, "__sides": edges("rings")})
+    levels = {"__lx": _level(wide), "__top": _level(high), "__ly": _level(high / bands)}
+    holds = levels["__lx"].isNotNull() & levels["__ly"].isNotNull()
+    return laid.withColumns({n: F.coalesce(F.when(holds, v), F.lit(NO_LEVEL)) for n, v in levels.items()})
 
 
-def _gridded(polygons: DataFrame, size: float) -> DataFrame:
-    """One row per polygon and cell, with the segments that matter in its band.
+def _gridded(levelled: DataFrame, grid: Column) -> DataFrame:
+    """One row per polygon and cell of its own level, with the sides in its band.
 
-    Box limits that cannot be missing keep the optimizer from adding a null filter
-    that would work out the box again; a polygon without shape has a NaN box.
+    Levels are not finer than the points' grid. A polygon lies in two columns and about as
+    many bands as it has 64 sides; bands are cut out of coarse ones, so that not every side
+    is held against every band.
     """
-    limits = F.struct(
-        *[
-            F.coalesce(box("rings")[side], F.lit(float("nan"))).alias(side)
-            for side in ("xmin", "ymin", "xmax", "ymax")
-        ]
-    )
-    laid = (
-        polygons.withColumns({"__box": limits, "__sides": edges("rings")})
-        .withColumn(
-            "__cx",
-            F.explode(
-                F.sequence(_cell(F.col("__box.xmin"), size), _cell(F.col("__box.xmax"), size))
-            ),
-        )
-        .withColumn(
-            "__cy",
-            F.explode(
-                F.sequence(_cell(F.col("__box.ymin"), size), _cell(F.col("__box.ymax"), size))
-            ),
-        )
-    )
-    # One cell of slack on both sides: floor(y / size) may round across a line.
-    low = (F.col("__cy") - 1).cast("double") * F.lit(size)
-    high = (F.col("__cy") + 2).cast("double") * F.lit(size)
-    return laid.withColumn("__sides", edges_in_band(F.col("__sides"), low, high))
+    laid = levelled.withColumns({"__px": F.greatest("__lx", grid["lx"]), "__py": F.greatest("__ly", grid["ly"])})
+
+    def cells(low: str, high: str, level: Column) -> Column:
+        covered = F.sequence(_cell(F.col(f"__box.{low}"), level), _cell(F.col(f"__box.{high}"), level))
+        return F.explode(F.when(F.col("__lx") != NO_LEVEL, covered).otherwise(F.array().cast("array<bigint>")))
 
+    def in_band(number: Column, level: Column) -> Column:
+        return edges_in_band(F.col("__sides"), number * _side(level), (number + 1) * _side(level))
 
-def _sized(cells: DataFrame, stats, limit: int) -> DataFrame:
-    """Broadcast a layer proven small; make Spark shuffle a larger one."""
-    bound = CELLS_PER_POLYGON * (stats["polygons"] * ROW_BYTES + stats["sides"] * SIDE_BYTES)
-    return F.broadcast(cells) if bound <= limit else cells.hint("merge")
+    coarse = F.col("__py") + COARSE_BITS
+    laid = laid.withColumn("__coarse", cells("ymin", "ymax", coarse))
+    laid = laid.withColumn("__sides", in_band(F.col("__coarse"), coarse))
+    first = F.greatest(F.shiftleft("__coarse", COARSE_BITS), _cell(F.col("__box.ymin"), F.col("__py")))
+    last = F.least(F.shiftleft(F.col("__coarse") + 1, COARSE_BITS) - 1, _cell(F.col("__box.ymax"), F.col("__py")))
+    laid = laid.withColumn("__cy", F.explode(F.sequence(first, last)))
+    laid = laid.withColumn("__sides", in_band(F.col("__cy"), F.col("__py")))
+    return laid.withColumn("__cx", cells("xmin", "xmax", F.col("__px"))).drop("__coarse", "__lx", "__ly", "__top")
+
+
+def _candidates(polygons: DataFrame, points: DataFrame, shuffled: bool) -> tuple[DataFrame, Column]:
+    """(polygons per grid cell that holds points, with the sides in the cell's band; the grid).
+
+    The grid of the points has the cells of a polygon of median size. Each cell that holds a
+    point is looked up at every level that polygons lie on, as many as powers of four
+    separate their sizes; so a polygon of any size costs no more cells than it has bands.
+    """
+    levelled = _levelled(polygons)
+    some = lambda c: F.when(F.col("__lx") != NO_LEVEL, c)
+    middle = [F.floor(F.percentile(some(F.col(level)), 0.5)).cast("int") for level in ("__lx", "__top")]
+    grid = levelled.agg(F.struct(middle[0].alias("lx"), middle[1].alias("ly"))).scalar()
+    grid = F.coalesce(grid, F.struct(F.lit(0).alias("lx"), F.lit(0).alias("ly")))
+    held = levelled.withColumn("__grid", grid)
+    cells = _gridded(held, F.col("__grid")).drop("__grid")
+    level = F.struct(F.greatest("__lx", "__grid.lx").alias("px"), F.greatest("__ly", "__grid.ly").alias("py"))
+    levels = held.agg(F.array_sort(F.collect_set(some(level)))).scalar()
+    full = points.withColumn("__grid", grid).select(
+        _cell(F.col("x"), F.col("__grid.lx")).alias("__fx"), _cell(F.col("y"), F.col("__grid.ly")).alias("__fy"), "__grid"
+    )
+    full = full.where("__fx IS NOT NULL AND __fy IS NOT NULL").distinct()
+    looked = full.withColumn("__level", F.explode(levels)).select(
+        "__fx", "__fy", F.col("__level.px").alias("__px"), F.col("__level.py").alias("__py"),
+        F.expr("shiftright(__fx, __level.px - __grid.lx)").alias("__cx"),
+        F.expr("shiftright(__fy, __level.py - __grid.ly)").alias("__cy"),
+        (F.col("__fx") * _side(F.col("__grid.lx"))).alias("__left"), ((F.col("__fx") + 1) * _side(F.col("__grid.lx"))).alias("__right"),
+        (F.col("__fy") * _side(F.col("__grid.ly"))).alias("__low"), ((F.col("__fy") + 1) * _side(F.col("__grid.ly"))).alias("__high"),
+    )
+    b = F.col("__box")
+    met = looked.join(cells.hint("merge") if shuffled else cells, ["__px", "__py", "__cx", "__cy"])
+    met = met.where((b["xmin"] <= F.col("__right")) & (b["xmax"] >= F.col("__left")) & (b["ymin"] <= F.col("__high")) & (b["ymax"] >= F.col("__low")))
+    met = met.withColumn("__sides", edges_in_band(F.col("__sides"), F.col("__low"), F.col("__high")))
+    return met.drop("__px", "__py", "__cx", "__cy", "__left", "__right", "__low", "__high"), grid
 
 
 def spatial_join(
@@ -161,13 +188,15 @@ def spatial_join(
     how: str = "left",
     key: str | None = None,
     suffixes: tuple[str, str] = (".x", ".y"),
-    broadcast_bytes: int = BROADCAST_BYTES,
+    shuffled: bool = False,
 ) -> DataFrame:
     """Join points to the polygons that hold them; a boundary point is in none.
 
     ``within``: points on the left, each kept once per polygon holding it.
     ``contains``: polygons on the left; a left join also keeps empty polygons and
-    needs the ``key`` that tells polygons apart. The left geometry is kept.
+    needs the ``key`` that tells polygons apart. The left geometry is kept. Nothing runs
+    before the result is asked for; Spark broadcasts a layer it knows or finds to be small,
+    unless ``shuffled``, else both sides are shuffled and hot cells are split.
     """
     if predicate not in ("within", "contains") or how not in ("left", "inner"):
         raise ValueError("predicate is within or contains, how is left or inner")
@@ -185,36 +214,34 @@ def spatial_join(
     right_out = {c: c + suffixes[1] if c in clash else c for c in right_names}
     point_out, polygon_out = (left_out, right_out) if points_first else (right_out, left_out)
 
-    stats = layer_stats(polygons)
-    size = grid_size(stats)
     shapes = polygons.select(
         *[F.col(quoted(c)).alias(polygon_out[c]) for c in polygon_out], "rings"
     )
-    cells = _gridded(shapes, size)
+    cells, grid = _candidates(shapes, points, shuffled)
     if points_first:
         cells = cells.drop("rings")
     # Columns that cannot be missing, so that no null filter repeats the (possibly
     # long) coordinate expressions below the join. NaN lies in no box.
     nowhere = F.lit(float("nan"))
-    placed = points.select(
+    placed = points.withColumn("__grid", grid).select(
         *[F.col(quoted(c)).alias(point_out[c]) for c in point_out],
         "x",
         "y",
         F.coalesce("x", nowhere).alias("__x"),
         F.coalesce("y", nowhere).alias("__y"),
-        F.coalesce(_cell(F.col("x"), size), F.lit(NO_CELL)).alias("__px"),
-        F.coalesce(_cell(F.col("y"), size), F.lit(NO_CELL)).alias("__py"),
+        F.coalesce(_cell(F.col("x"), F.col("__grid.lx")), F.lit(NO_CELL)).alias("__px"),
+        F.coalesce(_cell(F.col("y"), F.col("__grid.ly")), F.lit(NO_CELL)).alias("__py"),
     )
     x, y, b = F.col("__x"), F.col("__y"), F.col("__box")
     holds = (
-        (F.col("__px") == F.col("__cx"))
-        & (F.col("__py") == F.col("__cy"))
+        (F.col("__px") == F.col("__fx"))
+        & (F.col("__py") == F.col("__fy"))
         & x.between(b["xmin"], b["xmax"])
         & y.between(b["ymin"], b["ymax"])
         & strictly_inside(x, y, F.col("__sides"))
     )
     # A point has exactly one cell, so no pair can be met twice.
-    hits = placed.join(_sized(cells, stats, broadcast_bytes), holds, how if points_first else "inner")
+    hits = placed.join(cells.hint("merge") if shuffled else cells, holds, how if points_first else "inner")
 
     left_columns = [F.col(quoted(left_out[c])) for c in left_names]
     right_columns = [F.col(quoted(right_out[c])) for c in right_names]

@@ -15,7 +15,7 @@ from headway.operators.joins import join
 from headway.operators.ranking import ntile
 from headway.operators.reshape import pivot_wider
 from headway.operators.spatial import spatial_join
-from headway.session import durable
+from headway.session import kept
 
 # Survey variables by the name used here.
 VARIABLES = {
@@ -107,11 +107,12 @@ def area_scores(
     ``keep_all_areas`` starts from the areas: those without estimates stay with
     missing scores, estimates of other areas are left out.
     """
-    # One row per area: written once, so ranking does not read the survey again.
-    measures = durable(area_measures(acs))
+    measures = area_measures(acs)
     if keep_all_areas:
         measures = join(areas.select("geoid"), measures, by="geoid", how="left")
-    quintiles = ntile(measures, {q: m for m, q, _ in MEASURES}, 5, tiebreak=["geoid"])
+    quintiles = ntile(
+        kept(measures), {q: m for m, q, _ in MEASURES}, 5, tiebreak=["geoid"], all_differ=True
+    )
     scored = quintiles.select(
         "geoid",
         "name",
@@ -156,18 +157,16 @@ def route_index(scored_stops: DataFrame) -> DataFrame:
         count_where(is_in(score, [5])).alias("equity_stops_count"),
         count_where(is_in(score, [1, 2, 3, 4]) | score.isNull()).alias("non_equity_stops_count"),
     )
-    share = durable(
-        per_route.withColumn(
-            "percent_stops_in_priority_bg",
-            ratio_half_even("equity_stops_count", "total_stop_count"),
-        )
+    share = per_route.withColumn(
+        "percent_stops_in_priority_bg", ratio_half_even("equity_stops_count", "total_stop_count")
     )
     return ntile(
-        share,
+        kept(share),
         {"route_opportunity_index_score": "percent_stops_in_priority_bg"},
         5,
         keys=["service_change_num"],
         tiebreak=["route_short_name"],
+        all_differ=True,
     )
 
 

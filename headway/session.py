@@ -1,9 +1,8 @@
-"""Session settings and durable intermediate results."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import tempfile
-
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the library relies on. Skewed join keys are split by
@@ -46,21 +45,11 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it from there.
+def kept(df: DataFrame) -> DataFrame:
+    """A small table that a plan reads several times, computed once, when first needed.
 
-    Used where two later steps must see the very same partitioning (a range
-    shuffle samples its bounds anew whenever it is planned again). The folder is
-    the one the cluster names in ``spark.checkpoint.dir``; a private folder is
-    made only for a local master.
+    For summaries such as one row per area or route. They stay in the executors' storage
+    (memory, then disk) until ``unpersist`` or ``spark.catalog.clearCache()``; a part that is
+    lost with its executor is computed again.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="headway-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    return df.persist(StorageLevel.MEMORY_AND_DISK)

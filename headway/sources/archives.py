@@ -19,8 +19,10 @@ from headway.sources.tables import DEFAULT_NA, _struct, clean_markers, typed
 
 BLOCK_ROWS = 50_000
 
-# Declared columns of the feed tables this library uses. Further columns of a
-# file are not read: they would become join keys in a natural join.
+# Declared columns of the feed tables this library uses, and those of them that a feed may
+# leave out. Further columns of a file are not read: they would become join keys in a
+# natural join.
+OPTIONAL = {"stops": ["stop_name"], "routes": ["route_short_name", "route_desc"]}
 FEED_TABLES = {
     "stops": "stop_id string, stop_name string, stop_lat double, stop_lon double",
     "stop_times": "stop_id string, trip_id string",
@@ -30,9 +32,14 @@ FEED_TABLES = {
 }
 
 
-def _unpacker(member: str, names: Sequence[str]):
+def _unpacker(member: str, names: Sequence[str], required: bool, optional: Sequence[str]):
     wanted = list(names)
 
+    def check(header: Sequence[str], path: str, name: str) -> None:
+        lacking = [n for n in wanted if n not in header and n not in optional]
+        if required and lacking:
+            raise ValueError(f"{path}: {name} has no column {', '.join(lacking)}")
+
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
@@ -42,6 +49,8 @@ def _unpacker(member: str, names: Sequence[str]):
                         for n in archive.namelist()
                         if n.rsplit("/", 1)[-1] == member or (member == "*" and n.endswith(".csv"))
                     ]
+                    if required and not inside:
+                        raise ValueError(f"{path}: no member {member}")
                     for name in inside:
                         with archive.open(name) as stream:
                             blocks = pd.read_csv(
@@ -53,7 +62,9 @@ def _unpacker(member: str, names: Sequence[str]):
                                 skipinitialspace=True,
                             )
                             for block in blocks:
-                                yield block.reindex(columns=wanted).assign(archive=path)
+                                check(block.columns, path, name)
+                                block = block.reindex(columns=wanted).astype(object)
+                                yield block.where(block.notna(), None).assign(archive=path)
 
     return unpack
 
@@ -65,9 +76,15 @@ def read_zipped_csv(
     member: str = "*",
     na: Sequence[str] = DEFAULT_NA,
     partitions: int | None = None,
+    required: bool = False,
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of one CSV member of every archive under ``path``, plus ``archive``.
 
+    Declared columns a member lacks are missing. With ``required``, an archive without the
+    member, or a member without one of the columns that are not ``optional``, is an error
+    that names both.
+
     An archive is one task's work. ``partitions`` spreads its rows afterwards,
     for few large archives followed by heavy work.
     """
@@ -77,7 +94,7 @@ def read_zipped_csv(
         text_schema = text_schema.add(field.name, "string")
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     texts = files.mapInPandas(
-        _unpacker(member, fields.fieldNames()), text_schema.add("archive", "string")
+        _unpacker(member, fields.fieldNames(), required, optional), text_schema.add("archive", "string")
     )
     if partitions:
         texts = texts.repartition(partitions)
@@ -96,7 +113,9 @@ def read_gtfs(
     """
     tables = {}
     for name, schema in FEED_TABLES.items():
-        rows = read_zipped_csv(spark, path, schema, member=f"{name}.txt")
+        rows = read_zipped_csv(
+            spark, path, schema, member=f"{name}.txt", required=True, optional=OPTIONAL.get(name, ())
+        )
         # A file name that does not fit stands for itself, so that feeds stay apart.
         change = F.regexp_extract("archive", feed_pattern, 1)
         rows = rows.withColumn(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,13 +135,41 @@ def read_sheets(
     schema: StructType | str,
     na: Sequence[str] = DEFAULT_NA,
 ) -> DataFrame:
-    """All sheets of a workbook exported as one CSV per sheet, with a ``sheet`` column."""
-    texts = read_text_table(spark, folder).withColumn(
+    """All sheets of a workbook exported as one CSV per sheet, with a ``sheet`` column.
+
+    Columns are found by name, so sheets may differ in their order and in further ones; a
+    declared column that a sheet lacks is missing there. The first lines of all files are
+    read at once, then the sheets of each header in one scan.
+    """
+    lines = spark.read.text(folder).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+        F.regexp_replace("value", "^\ufeff", "").alias("line"),
+    )
+    # One row per sheet.
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("line", "place").alias("header")).collect()
+    alike: dict[str, list[str]] = {}
+    for row in sorted(first):
+        path = re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(row["file"]))
+        alike.setdefault(row["header"].rstrip("\r"), []).append(path)
+    fields = _struct(schema)
+    sheets = [_sheets_alike(spark, paths, fields, na) for paths in alike.values()]
+    if not sheets:
+        return spark.createDataFrame([], StructType(list(fields.fields)).add("sheet", "string"))
+    return reduce(DataFrame.unionByName, sheets)
+
+
+def _sheets_alike(spark: SparkSession, paths: list[str], fields: StructType, na: Sequence[str]) -> DataFrame:
+    """Sheets of one header; declared columns they lack are missing."""
+    texts = read_text_table(spark, paths).withColumn(
         "sheet", F.regexp_replace(F.col("_metadata.file_name"), r"(?i)\.csv(\.gz)?$", "")
     )
     # File names are escaped like URLs.
     texts = texts.withColumn("sheet", F.url_decode(F.replace("sheet", F.lit("+"), F.lit("%2B"))))
-    return typed(clean_markers(texts, na), _struct(schema).add("sheet", "string"))
+    lacking = [f.name for f in fields.fields if f.name not in texts.columns]
+    texts = texts.withColumns({name: F.lit(None).cast("string") for name in lacking}) if lacking else texts
+    return typed(clean_markers(texts, na), StructType(list(fields.fields)).add("sheet", "string"))
 
 
 def read_sheet(

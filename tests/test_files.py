@@ -250,3 +250,39 @@ def test_variable_search(spark):
     assert [r[0] for r in census.search_variables(catalogue, "income").collect()] == ["B2"]
 
 
+
+
+def test_sheets_of_other_headers(spark, tmp_path):
+    (tmp_path / "a b[1].csv").write_text("﻿Routes,Lead\n1,Kim\n")
+    (tmp_path / "c+d.csv").write_text("Lead,Extra,Routes\nLee,x,2\n")
+    (tmp_path / "e.csv").write_text("Routes\n3\n")
+    (tmp_path / "f.csv").write_text("Lead,Extra,Routes\r\nAnn,y,4\r\n")
+    got = tables.read_sheets(spark, str(tmp_path), "Routes int, Lead string")
+    assert got.columns == ["Routes", "Lead", "sheet"]
+    assert rows(got) == [(1, "Kim", "a b[1]"), (2, "Lee", "c+d"), (3, None, "e"), (4, "Ann", "f")]
+
+
+def write_feed(path, files):
+    with zipfile.ZipFile(path, "w") as archive:
+        for name, text in files.items():
+            archive.writestr(name, text)
+
+
+def test_feed_without_optional_columns(spark, tmp_path):
+    files = {**FEED_FILES, "routes.txt": "route_id,route_short_name\nr1,A Line\nr2,7\n", "stops.txt": "stop_id,stop_lat,stop_lon\n2,47.6,-122.3\n"}
+    write_feed(tmp_path / "213_gtfs.zip", files)
+    write_feed(tmp_path / "193_gtfs.zip", FEED_FILES)
+    feed = archives.read_gtfs(spark, str(tmp_path))
+    assert rows(feed["routes"].where("service_change_num = '213'").select("route_id", "route_desc")) == [("r1", None), ("r2", None)]
+    found = {(r.stop_id, r.service_change_num) for r in stops_by_route(feed).collect()}
+    assert ("2", "213") in found and ("46769", "193") in found and ("46769", "213") not in found
+
+
+@pytest.mark.parametrize("files, message", [
+    ({k: v for k, v in FEED_FILES.items() if k != "trips.txt"}, "213_gtfs.zip: no member trips.txt"),
+    ({**FEED_FILES, "trips.txt": "route_id,trip_id\nr1,t1\n"}, "trips.txt has no column service_id"),
+])
+def test_feed_without_what_it_needs(spark, tmp_path, files, message):
+    write_feed(tmp_path / "213_gtfs.zip", files)
+    with pytest.raises(Exception, match=message):
+        archives.read_gtfs(spark, str(tmp_path))["trips"].collect()

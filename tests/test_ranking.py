@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -80,7 +81,7 @@ def test_text_and_date_tiebreaks(spark):
     assert [r["q"] for r in got.orderBy("d").collect()] == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
 
 
-def test_top_rows_keep_ties(skewed, monkeypatch):
+def test_top_rows_keep_ties(skewed):
     got = ranking.slice_max(skewed, "v", 3, ["g"])
     skewed.createOrReplaceTempView("skewed")
     expected = skewed.sparkSession.sql(
@@ -89,45 +90,37 @@ def test_top_rows_keep_ties(skewed, monkeypatch):
     )
     assert rows(got) == rows(expected)
     assert rows(ranking.slice_max(skewed, "v", 10_000, ["g"])) == rows(skewed.where("v IS NOT NULL"))
-    monkeypatch.setattr(ranking, "MAP_SIDE_ROWS", 0)
-    assert rows(ranking.slice_max(skewed, "v", 3, ["g"])) == rows(expected)
-    assert rows(ranking.slice_max(skewed, "v", 10_000, ["g"])) == rows(skewed.where("v IS NOT NULL"))
     assert rows(ranking.slice_max(skewed, "id", 2).select("id")) == [(1001,), (1002,)]
-    monkeypatch.undo()
     alone = ranking.slice_max(skewed, "id", 2)
     assert sorted(r["id"] for r in alone.collect()) == [1001, 1002]
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_quantiles_interpolate(spark, limit):
+def test_quantiles_interpolate(spark):
     frame = spark.createDataFrame(
         [("a", float(v)) for v in (4, 1, 3, 2)] + [("b", 5.0), ("c", None), ("c", 1.0)],
         "g string, v double",
     )
     wanted = {"q1": 0.25, "mid": 0.5, "q3": 0.75}
-    assert rows(groups.quantiles(frame, ["g"], "v", wanted, limit)) == [
+    assert rows(groups.quantiles(frame, ["g"], "v", wanted)) == [
         ("a", 1.75, 2.5, 3.25), ("b", 5.0, 5.0, 5.0), ("c", None, None, None)
     ]
     present = frame.where("v IS NOT NULL")
-    assert rows(groups.quantiles(present, [], "v", {"mid": 0.5}, limit)) == [(2.5,)]
-    assert rows(groups.quantiles(frame, [], "v", {"mid": 0.5}, limit)) == [(None,)]
-    spread = groups.median_absolute_deviation(present, ["g"], "v", group_limit=limit)
+    assert rows(groups.quantiles(present, [], "v", {"mid": 0.5})) == [(2.5,)]
+    assert rows(groups.quantiles(frame, [], "v", {"mid": 0.5})) == [(None,)]
+    spread = groups.median_absolute_deviation(present, ["g"], "v")
     assert rows(spread) == [("a", pytest.approx(1.4826)), ("b", 0.0), ("c", 0.0)]
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_quantiles_match_numpy(skewed, limit):
+def test_quantiles_match_numpy(skewed):
     present = skewed.where("v IS NOT NULL")
-    got = {r["g"]: r["q"] for r in groups.quantiles(present, ["g"], "v", {"q": 0.37}, limit).collect()}
+    got = {r["g"]: r["q"] for r in groups.quantiles(present, ["g"], "v", {"q": 0.37}).collect()}
     values = {}
     for r in present.collect():
         values.setdefault(r["g"], []).append(r["v"])
     assert got == {g: pytest.approx(np.quantile(v, 0.37)) for g, v in values.items()}
 
 
-@pytest.mark.parametrize("limit", [0, 500])
-def test_nth_row(skewed, monkeypatch, limit):
-    monkeypatch.setattr(groups, "MAP_SIDE_ROWS", limit)
+def test_nth_row(skewed):
     got = {r["g"]: r["id"] for r in groups.nth_rows(skewed, ["g"], ["id"], 4).collect()}
     ids = {}
     for r in skewed.orderBy("id").collect():
@@ -140,6 +133,63 @@ def test_nth_row(skewed, monkeypatch, limit):
 def test_frequent_value_is_spread_over_places(spark, tiebreak):
     """A value on nine tenths of the rows never has to sit in one place."""
     frame = spark.range(0, 40_000, numPartitions=8).select(F.when(F.col("id") % 10 > 0, 5.0).otherwise(F.col("id").cast("double")).alias("v"), "id")
-    place = ranking.Places(frame, ["v"], tiebreak).of("v")
-    sizes = [r["count"] for r in frame.groupBy(place.alias("p")).count().collect()]
+    frame = frame.withColumn("h", F.xxhash64("id"))
+    placed = ranking.Places(frame, [["v", *tiebreak]], "h").marked({"p": ["v", *tiebreak]})
+    sizes = [r["count"] for r in placed.groupBy("p").count().collect()]
     assert len(sizes) > 7 and max(sizes) < 8_000
+
+
+def test_frequent_text_is_spread_over_places(spark):
+    frame = spark.range(0, 40_000, numPartitions=8).select(F.when(F.col("id") % 10 > 0, "frequent text").otherwise(F.col("id").cast("string")).alias("v"), "id")
+    frame = frame.withColumn("h", F.xxhash64("id"))
+    sizes = [r["count"] for r in ranking.Places(frame, [["v"]], "h").marked({"p": ["v"]}).groupBy("p").count().collect()]
+    assert len(sizes) > 7 and max(sizes) < 8_000
+
+
+@pytest.mark.parametrize("keys", [["g"], []])
+def test_equal_rows_are_divided_and_all_kept(spark, keys):
+    """Two thirds of the rows equal in every column, maps and extra columns included."""
+    frame = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, 5.0).otherwise(F.col("id") % 9).alias("v"), F.lit("a").alias("g"), F.create_map(F.lit("k"), (F.col("id") % 3 > 1).cast("int")).alias("m")
+    )
+    got = ranking.ntile(frame, {"q": "v"}, 7, keys)
+    assert got.columns == [*frame.columns, "q"]
+    counts = {(r.v, r.q): r.n for r in got.groupBy("v", "q").agg(F.count("*").alias("n")).collect()}
+    sizes = [sum(n for (_, q), n in counts.items() if q == b) for b in range(1, 8)]
+    assert sizes == [429] * 4 + [428] * 3
+    want = Counter((r.v, r.n) for r in frame.groupBy("v").agg(F.count("*").alias("n")).collect())
+    assert Counter((v, sum(n for (w, _), n in counts.items() if w == v)) for v in {v for v, _ in counts}) == want
+    low, high = [{v for v, q in counts if q == b} for b in (1, 7)]
+    assert max(low) <= 5 <= min(high)
+
+
+def test_quantiles_of_infinite_and_nan_values(spark):
+    inf, nan = float("inf"), float("nan")
+    data = {"a": [inf, inf, 1.0], "b": [-inf, 0.0, inf], "c": [-inf, inf], "d": [1.0, nan, nan], "e": [5.0], "f": [1.0, inf]}
+    frame = spark.createDataFrame([(k, v) for k, vs in data.items() for v in vs], "g string, v double")
+    got = {r.g: (r.lo, r.mid) for r in groups.quantiles(frame, ["g"], "v", {"lo": 0.0, "mid": 0.5}).collect()}
+    assert got["a"] == (1.0, inf) and got["b"] == (-inf, 0.0) and got["e"] == (5.0, 5.0) and got["f"] == (1.0, inf)
+    assert got["c"][0] == -inf and np.isnan(got["c"][1]) and got["d"][0] == 1.0 and np.isnan(got["d"][1])
+    spread = {r.g: r.mad for r in groups.median_absolute_deviation(frame, ["g"], "v").collect()}
+    assert spread["a"] == 0 and spread["b"] == inf and spread["e"] == 0
+
+
+def test_quantiles_of_a_group_of_many_values(spark):
+    frame = spark.range(0, 300_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("g"), (F.col("id") * 7919 % 300_007).cast("double").alias("v")
+    )
+    got = {r.g: r.q for r in groups.quantiles(frame, ["g"], "v", {"q": 0.77}).collect()}
+    want = {r.g: r.q for r in frame.groupBy("g").agg(F.percentile("v", 0.77).alias("q")).collect()}
+    assert got == pytest.approx(want)
+
+
+def test_building_starts_no_job(spark, skewed):
+    spark.sparkContext.setJobGroup("build", "build")
+    ranking.ntile(skewed, {"q": "v", "p": "id"}, 5, ["g"], ["id"])
+    groups.quantiles(skewed, ["g"], "v", {"q": 0.5})
+    groups.median_absolute_deviation(skewed, ["g"], "v")
+    groups.with_group_stats(skewed, ["g"], n=F.count("*"))
+    ranking.slice_max(skewed, "v", 3, ["g"])
+    started = spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    spark.sparkContext.setJobGroup("other", "other")
+    assert not started

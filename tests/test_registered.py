@@ -54,11 +54,6 @@ def test_first_rows_are_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in before_shuffle
 
 
-def test_top_rows_stay_where_they_are(spark):
-    text = plan(QUERIES["slice_max_ties"](spark, FOLDER))
-    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
-
-
 def test_large_layers_are_not_broadcast(spark):
     from headway.operators import spatial
     from workload.queries import Tables, _stops
@@ -67,7 +62,7 @@ def test_large_layers_are_not_broadcast(spark):
     tables = Tables(spark, FOLDER)
     areas = tables.areas(m.AREAS_FEET, 2926)
     small = plan(spatial.spatial_join(_stops(tables), areas))
-    large = plan(spatial.spatial_join(_stops(tables), areas, broadcast_bytes=0))
+    large = plan(spatial.spatial_join(_stops(tables), areas, shuffled=True))
     assert "BroadcastHashJoin" in small
     assert "SortMergeJoin" in large and "Broadcast" not in large
 

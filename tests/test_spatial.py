@@ -1,4 +1,6 @@
+import math
 import random
+import time
 
 import pytest
 from conftest import rows
@@ -126,8 +128,8 @@ def brute_force(points, shapes):
     return found
 
 
-@pytest.mark.parametrize("seed,limit", [(1, 10**9), (2, 0), (3, 10**9)])
-def test_random_polygons_equal_brute_force(spark, seed, limit):
+@pytest.mark.parametrize("seed,shuffled", [(1, False), (2, True), (3, False)])
+def test_random_polygons_equal_brute_force(spark, seed, shuffled):
     """Broadcast and shuffled layers, with one polygon far larger than the rest."""
     rng = random.Random(seed)
     shapes = {}
@@ -139,20 +141,85 @@ def test_random_polygons_equal_brute_force(spark, seed, limit):
     points = [(rng.randrange(-60, 280), rng.randrange(-60, 280)) for _ in range(600)]
     got = spatial.spatial_join(
         point_table(spark, points), polygon_table(spark, shapes), "within", "inner",
-        broadcast_bytes=limit,
+        shuffled=shuffled,
     )
     pairs = [tuple(r) for r in got.select("id", "area").collect()]
     assert len(pairs) == len(set(pairs))
     assert set(pairs) == brute_force(points, shapes)
 
 
-def test_cells_stay_bounded(spark):
-    shapes = {f"p{k}": [[(k, 0), (k + 1, 0), (k, 1), (k, 0)]] for k in range(50)}
-    shapes["large"] = [[(0, 0), (10_000, 0), (10_000, 10_000), (0, 10_000), (0, 0)]]
+def star(cx, cy, radius, corners, seed):
+    """A closed ring of many corners around a point, every second one pulled in."""
+    pick = random.Random(seed)
+    ring = []
+    for k in range(corners):
+        angle, far = 2 * math.pi * k / corners, radius * (1 if k % 2 else 0.6 + 0.3 * pick.random())
+        ring.append((cx + far * math.cos(angle), cy + far * math.sin(angle)))
+    return [*ring, ring[0]]
+
+
+def test_one_huge_detailed_polygon_among_small_ones(spark):
+    shapes = {f"p{k}": [[(k % 100, k // 100), (k % 100 + 1, k // 100), (k % 100, k // 100 + 1), (k % 100, k // 100)]] for k in range(10_000)}
+    shapes["huge"] = [star(50, 50, 40_000, 20_000, 1)]
     layer = polygon_table(spark, shapes)
-    stats = spatial.layer_stats(layer)
-    cells = spatial._gridded(layer, spatial.grid_size(stats)).count()
-    assert cells <= spatial.CELLS_PER_POLYGON * len(shapes)
+    levelled = spatial._levelled(layer).withColumn("g", F.struct(F.lit(0).alias("lx"), F.lit(0).alias("ly")))
+    cells = spatial._gridded(levelled, F.col("g"))
+    found = cells.groupBy((F.col("area") == "huge").alias("huge")).agg(F.count("*").alias("n"), F.max(F.size("__sides")).alias("sides"))
+    sizes = {r.huge: (r.n, r.sides) for r in found.collect()}
+    assert sizes[False][0] <= 4 * 10_000 and sizes[True][0] <= 3 * 4 * 20_000 / spatial.BAND_SIDES and sizes[True][1] < 20_000 / 4
+    pick = random.Random(4)
+    points = [(k % 100 + 0.25, k // 100 % 100 + 0.25) for k in range(0, 10_000, 7)] + [(pick.uniform(-45_000, 45_000), pick.uniform(-45_000, 45_000)) for _ in range(300)]
+    got = spatial.spatial_join(point_table(spark, points), layer, "within", "inner")
+    small = {(i, f"p{k}") for i, k in enumerate(range(0, 10_000, 7))}
+    assert {tuple(r) for r in got.select("id", "area").collect()} == small | brute_force(points, {"huge": shapes["huge"]})
+
+
+def test_points_in_one_hot_cell_are_split(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        shapes = {f"p{k}": [[(k, 0), (k + 1, 0), (k + 1, 1), (k, 1), (k, 0)]] for k in range(300)}
+        raw = spark.range(0, 90_000, numPartitions=8).select(
+            "id", F.when(F.col("id") % 3 == 0, 7.5).otherwise(F.col("id") % 300 + 0.5).alias("px"), F.lit(0.5).alias("py"), F.sha2(F.col("id").cast("string"), 512).alias("payload")
+        )
+        got = spatial.spatial_join(spatial.as_points(raw, "px", "py", 2926), polygon_table(spark, shapes), "within", shuffled=True)
+        counted = {r.area: r.n for r in got.groupBy("area").agg(F.count("*").alias("n")).collect()}
+        assert counted["p7"] == 30_000 + sum(k % 3 > 0 and k % 300 == 7 for k in range(90_000)) and sum(counted.values()) == 90_000
+        got.write.format("noop").mode("overwrite").save()
+        got.collect()
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_many_corners_and_holes_are_turned_in_time(spark):
+    outer = [(100_000 * math.cos(2 * math.pi * k / 40_000), 100_000 * math.sin(2 * math.pi * k / 40_000)) for k in range(40_000)]
+    holes = [[(x, y), (x + 10, y), (x + 10, y + 10), (x, y + 10), (x, y)] for x in range(-500, 500, 100) for y in range(-500, 500, 100)]
+    started = time.time()
+    frame = polygon_table(spark, {"a": [*holes[:50], [*outer, outer[0]], *holes[50:]]})
+    area = frame.select(polygon_area("rings")).first()[0]
+    assert area == pytest.approx(math.pi * 1e10 - 100 * 100, rel=1e-6) and time.time() - started < 60
+
+
+def test_spatial_join_builds_without_a_job(spark):
+    layer, points = polygon_table(spark, {"a": [SQUARE]}), point_table(spark, [(1, 1)])
+    spark.sparkContext.setJobGroup("spatial", "spatial")
+    spatial.count_in(layer, points, "area")
+    started = spark.sparkContext.statusTracker().getJobIdsForGroup("spatial")
+    spark.sparkContext.setJobGroup("other", "other")
+    assert not started
+
+
+def test_empty_layers_and_shapes_without_extent(spark):
+    points = point_table(spark, [(1, 1), None, (float("nan"), 1)])
+    flat = polygon_table(spark, {"line": [[(0, 0), (4, 0), (0, 0), (0, 0)]], "none": []})
+    assert rows(spatial.spatial_join(points, flat).select("id", "area")) == [(0, None), (1, None), (2, None)]
+    assert rows(spatial.spatial_join(points, flat.where("area = 'x'")).select("id", "area")) == [(0, None), (1, None), (2, None)]
+    assert rows(spatial.spatial_join(flat, points, "contains", key="area").select("area", "id")) == [("line", None), ("none", None)]
 
 
 def test_areas(spark):

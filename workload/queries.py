@@ -15,7 +15,7 @@ from headway.operators import checks, columns, groups, ranking, spatial
 from headway.operators.joins import join
 from headway.operators.reshape import pivot_wider
 from headway.plans import equity, feed, jobs, passups, places, ridership
-from headway.session import tune
+from headway.session import kept, tune
 from headway.sources import census
 from headway.sources.tables import cast_problems
 from workload import mapping as m
@@ -293,10 +293,11 @@ def agg_menu(t):
         agg.min_strict("boardings").alias("min"),
         agg.max_strict("boardings").alias("max"),
     )
+    counted = kept(groups.counted_values(trips, key, "boardings"))
     spread = groups.quantiles(
-        trips, key, "boardings", {"q25": 0.25, "median": 0.5, "q75": 0.75, "q90": 0.9}
+        counted, key, "boardings", {"q25": 0.25, "median": 0.5, "q75": 0.75, "q90": 0.9}, "times"
     ).withColumn("iqr", F.col("q75") - F.col("q25"))
-    mad = groups.median_absolute_deviation(trips, key, "boardings")
+    mad = groups.median_absolute_deviation(counted, key, "boardings", weight="times")
     wide = join(join(simple, spread, by=key), mad, by=key)
     return wide.withColumns(
         {c: F.round(c, 6) for c in ("q25", "median", "q75", "q90", "iqr", "mad")}
