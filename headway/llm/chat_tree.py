@@ -28,6 +28,8 @@ CONTROLS = ("<|role|>", "<|text|>", "<|end|>", "<s>", "</s>", "[INST]", "[/INST]
 _ESCAPE = re.compile("\\\\|" + "|".join(f"{re.escape(c[0])}(?={re.escape(c[1:])})" for c in CONTROLS))
 _CODES = {"\\": "\\\\", "<": "\\l", "[": "\\b"}
 _PLAIN = {"\\": "\\", "l": "<", "b": "["}
+# Tokens of the stream that nodes and intervals are looked up by.
+STRETCH = 4096
 NODE_DDL = "node string, path array<string>, ids array<int>, loss_start int, loss_end int"
 
 
@@ -126,24 +128,34 @@ def tree(turns: DataFrame, tokenizer: str) -> tuple[DataFrame, DataFrame]:
 
 
 def conversations_of(nodes: DataFrame, members: DataFrame, tokenizer: str) -> DataFrame:
-    """Each conversation read back from the emitted tokens of its nodes: ``conv_id``,
-    ``n_turns``, ``turns_sha256`` (role, line feed, text, line feed per turn), ``loss_chars``
-    and ``loss_sha256`` (unescaped text under the loss mask), ``formatted_chars``."""
+    """Each conversation read back from the stream: ``conv_id``, ``n_turns``, ``turns_sha256``
+    (role, line feed, text, line feed per turn), ``loss_chars`` and ``loss_sha256`` (unescaped
+    text under the loss mask), ``formatted_chars``.
+
+    Of a conversation only its last node is looked up; its turns are what the stream holds in
+    the intervals that node attends to, in the order of their positions. Tokens that are
+    missing, or not as many turns as the conversation has, are an error.
+    """
 
     def read(batches):
         tokens = encoder(tokenizer).tokenizer
         for batch in batches:
             for part in slices(batch, 500):
                 rows = []
-                for turns in part.column("turns").to_pylist():
-                    said, loss, chars = hashlib.sha256(), "", 0
-                    for turn in sorted(turns, key=lambda t: t["k"]):
+                for conv, n, stop, turns in zip(*(part.column(c).to_pylist() for c in ("conv_id", "n_turns", "stop", "turns"))):
+                    said, loss, chars, at = hashlib.sha256(), "", 0, 0
+                    for turn in sorted(turns, key=lambda t: t["position_start"]):
                         ids, a, b = turn["ids"], turn["loss_start"], turn["loss_end"]
+                        if turn["position_start"] != at:
+                            raise ValueError(f"conversation {conv}: position {at} is not in the intervals it attends to")
+                        at += len(ids)
                         whole = tokens.decode(ids, skip_special_tokens=False)
                         role, text = whole.removeprefix("<|role|>").removesuffix("<|end|>").split("<|text|>", 1)
                         said.update(f"{plain(role)}\n{plain(text)}\n".encode())
                         loss += plain(tokens.decode(ids[a:b], skip_special_tokens=False))
                         chars += len(whole)
+                    if len(turns) != n or at != stop:
+                        raise ValueError(f"conversation {conv}: {len(turns)} of {n} turns, {at} of {stop} positions read back")
                     rows.append((len(turns), said.hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), chars))
                 made = list(zip(*rows)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
@@ -151,8 +163,18 @@ def conversations_of(nodes: DataFrame, members: DataFrame, tokenizer: str) -> Da
                     ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
                 )
 
-    whole = members.join(nodes.select("node", "ids", "loss_start", "loss_end"), "node")
-    grouped = whole.groupBy("conv_id").agg(F.collect_list(F.struct("k", "ids", "loss_start", "loss_end")).alias("turns"))
+    last = members.groupBy("conv_id").agg(F.max_by("node", "k").alias("node"), F.max("k").alias("n_turns"))
+    size = F.size("ids").cast("long")
+    own = F.struct(F.col("emit_start").alias("start"), (F.col("emit_start") + size).alias("stop"))
+    ends = nodes.select("node", (F.col("position_start") + size).alias("stop"), F.concat("attends", F.array(own)).alias("spans"))
+    seen = last.join(ends, "node").select("conv_id", "n_turns", "stop", F.explode("spans").alias("span"))
+    stretch = lambda c: F.floor(c / STRETCH)
+    met = F.sequence(stretch(F.col("span.start")), stretch(F.col("span.stop") - 1))
+    seen = seen.withColumn("stretch", F.explode(met))
+    stream = nodes.select(stretch(F.col("emit_start")).alias("stretch"), "emit_start", "position_start", "ids", "loss_start", "loss_end")
+    read_out = seen.join(stream, "stretch").where((F.col("emit_start") >= F.col("span.start")) & (F.col("emit_start") < F.col("span.stop")))
+    turns = F.collect_list(F.struct("position_start", "ids", "loss_start", "loss_end")).alias("turns")
+    grouped = read_out.groupBy("conv_id").agg(F.max("n_turns").cast("long").alias("n_turns"), F.max("stop").alias("stop"), turns)
     ddl = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     kind = dict(members.dtypes)["conv_id"]
     return grouped.mapInArrow(read, f"conv_id {kind}, {ddl}")
