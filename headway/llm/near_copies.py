@@ -29,7 +29,7 @@ FINE_HASHES = 2048
 # similarity before it is given up without looking at the full sets.
 MARGIN = 4.5
 BLOCK_SETS = 256
-RESULTS = ["n_shingles", "component_id", "kept"]
+RESULTS = ["n_shingles", "component_id", "kept", "first"]
 
 _RANDOM = np.random.default_rng(20240229)
 _FACTORS = _RANDOM.integers(0, 2**64, FINE_HASHES, np.uint64) | np.uint64(1)
@@ -361,13 +361,14 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` with ``n_shingles``, ``component_id`` (smallest id of its
-    group, its own if alone) and ``kept`` (it has that id).
+    group, its own if alone), ``kept`` (it has that id) and ``first`` (kept, and of several
+    texts with that id, or without any, the one chosen).
 
     Words are runs of non-white-space, A-Z in lower case; two documents are linked when
     100 * common shingles >= ``percent`` * all shingles of both. Null and blank texts have
     no shingle and are linked with nothing. A row without id takes part in links; a group
     of rows without any id has a null component, and its rows are kept. Rows that share
-    both id and text are all kept or all dropped. Input columns named like a result are
+    both id and text are all kept or all dropped, also in ``first``. Input columns named like a result are
     replaced by it.
     """
     row = F.col(ROW)
@@ -377,7 +378,8 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     rows = keyed.select("id", "print", "text")
     about = stored(described(rows, width), "about")
     labels = linked_sets(about, rows, width, percent)
-    sets = about.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("least"))
+    sets = about.where("set_id is not null").groupBy("set_id")
+    sets = sets.agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "print")).alias("least"))
     named = labelled(sets, labels, "set_id")
     least = named.groupBy("set_id_label").agg(F.min("least").alias("component"))
     of_set = named.join(least, "set_id_label").select("set_id", "component")
@@ -385,6 +387,8 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     texts = about.groupBy("print", "n_shingles", "set_id").agg(F.count("*").alias("n")).join(of_set, "set_id", "left")
     texts = texts.select("print", F.col("n_shingles").alias("_n"), F.col("set_id").isNull().alias("alone"), "component")
     found = keyed.select(ROW, "id", "print").join(texts, "print", "left")
-    component = F.when(F.col("alone"), F.col("id")).otherwise(F.col("component"))
-    found = found.select(ROW, F.col("_n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    component = F.when(F.col("alone"), F.col("id")).otherwise(F.col("component.id"))
+    kept = F.col("id").eqNullSafe(component)
+    first = kept & (F.col("alone") | (F.col("print") == F.col("component.print")))
+    found = found.select(ROW, F.col("_n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"), first.alias("first"))
     return unpacked(found, docs.columns, RESULTS)
