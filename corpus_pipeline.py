@@ -21,9 +21,8 @@ from headway.llm.queries import held_out, table, word_vocabulary
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with confidence; texts without a letter go."""
     model = fit(docs.where(~F.coalesce(held_out(), F.lit(False))))
-    names = docs.columns
-    found = docs.withColumn("_found", predicted(F.col("text"), model))
-    return found.where((F.col("_found.lang") != "und") & ~F.col("_found.rejected")).select(*names)
+    found = docs.select(F.struct(*docs.columns).alias("doc"), predicted(F.col("text"), model).alias("found"))
+    return found.where((F.col("found.lang") != "und") & ~F.col("found.rejected")).select("doc.*")
 
 
 def one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,10 +31,11 @@ def one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of near copies (five words, similarity 0.8)."""
+    """The smallest id of each group of near copies (five words, similarity 0.8); of several
+    texts with that id, or without any, one."""
     names = docs.columns
     found = near_copies(docs.select(F.struct(*names).alias("doc"), "doc_id", "text"), width=5, percent=80)
-    return found.where("kept").select("doc.*")
+    return found.where("first").select("doc.*")
 
 
 def weighted_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
