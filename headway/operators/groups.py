@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from headway.functions.missing import quoted
 from headway.operators.joins import attach, join
 from headway.operators.ranking import first_by_count, rows_at_ranks
+from headway.session import kept
 
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> DataFrame:
@@ -113,12 +114,13 @@ def median_absolute_deviation(
     """1.4826 times the median distance from the group's median.
 
     Both medians work on the distinct values with their counts, which are far
-    fewer than the rows of a large group.
+    fewer than the rows of a large group. The groups' medians are kept (see
+    ``headway.session.kept``), one row per group.
     """
     key_columns = [F.col(quoted(k)) for k in keys]
     counted = df if weight else counted_values(df, keys, value)
     times = weight or "times"
-    centre = quantiles(counted, keys, value, {"__centre": 0.5}, times)
+    centre = kept(quantiles(counted, keys, value, {"__centre": 0.5}, times))
     if keys:
         joined = join(counted, centre, by=list(keys))
     else:

@@ -57,7 +57,8 @@ def with_one(df: DataFrame, one: DataFrame) -> DataFrame:
     subqueries would each be planned again and again.
     """
     def always(table: DataFrame) -> Column:
-        return F.pmod(F.xxhash64(F.col(quoted(table.columns[0])).isNull()), F.lit(1))
+        plain = [f.name for f in table.schema if not isinstance(f.dataType, (MapType, VariantType))]
+        return F.pmod(F.xxhash64(*_cols(plain[:1])), F.lit(1))
 
     both = df.withColumn("__one", always(df)).join(F.broadcast(one.withColumn("__one", always(one))), "__one", "left")
     return both.drop("__one")

@@ -13,18 +13,18 @@ from headway.sources.warehouse import sql
 
 # Service days per year of weekday, Saturday and Sunday schedules.
 SERVICE_DAYS = {0: 255, 1: 52, 2: 58}
-# The columns that describe a scheduled trip.
+# The columns that describe a scheduled trip, in the order of the warehouse query.
 TRIP_COLUMNS = (
-    "BUS_BASE_ID",
-    "BUS_TYPE_NUM",
-    "DAY_PART_CD",
+    "TRIP_ID",
+    "SERVICE_RTE_NUM",
     "EXPRESS_LOCAL_CD",
-    "INBD_OUTBD_CD",
     "SCHED_DAY_TYPE_CODED_NUM",
-    "SERVICE_RTE_NUM",
-    "TRIP_ID",
-    "end_time_mnts_after_midnt",
+    "DAY_PART_CD",
+    "INBD_OUTBD_CD",
+    "BUS_BASE_ID",
+    "BUS_TYPE_NUM",
     "start_time_mnts_after_midnt",
+    "end_time_mnts_after_midnt",
 )
 
 
@@ -96,8 +96,11 @@ def annual_platform_hours(all_trips: DataFrame, service_change: int) -> DataFram
 def boarding_quintiles(
     trips: DataFrame, value: str, tiebreak: Sequence[str], route: str = "SERVICE_RTE_NUM"
 ) -> DataFrame:
-    """Every trip with its quintile of boardings among its route's trips."""
-    return ntile(trips, {"quintile_rank": value}, 5, keys=[route], tiebreak=tiebreak)
+    """Every trip with its quintile of boardings among its route's trips, which
+    ``tiebreak`` tells apart."""
+    return ntile(
+        trips, {"quintile_rank": value}, 5, keys=[route], tiebreak=tiebreak, all_differ=True
+    )
 
 
 def busiest_trips(

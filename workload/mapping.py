@@ -154,8 +154,8 @@ FROM (
 FEED = {
     "stops": """
 SELECT cast(p_partkey AS string) AS stop_id, p_name AS stop_name,
-  472e-1 + floor(floor(p_partkey / 20) / 32) * 2e-2 + (p_partkey * 29 % 20 - 10) * 1e-3 + 5e-4 AS stop_lat,
-  -1225e-1 + floor(p_partkey / 20) % 32 * 2e-2 + (p_partkey * 13 % 20 - 10) * 1e-3 + 5e-4 AS stop_lon,
+  cast(47.2 AS double) + floor(floor(p_partkey / 20) / 32) * cast(0.02 AS double) + (p_partkey * 29 % 20 - 10) * cast(0.001 AS double) + cast(0.0005 AS double) AS stop_lat,
+  cast(-122.5 AS double) + floor(p_partkey / 20) % 32 * cast(0.02 AS double) + (p_partkey * 13 % 20 - 10) * cast(0.001 AS double) + cast(0.0005 AS double) AS stop_lon,
   '213' AS service_change_num
 FROM {part}
 """,
@@ -192,13 +192,13 @@ SQUARE = [(-1.0, -1.0), (1.0, -1.0), (1.0, 1.0), (-1.0, 1.0)]
 AREAS_FEET = """
 SELECT cast(s_suppkey AS string) AS geoid, s_suppkey % 3 = 0 AS holed,
   cast(s_suppkey % 32 * 100 + 50 AS double) AS cx,
-  cast(floor(s_suppkey / 32) * 100 + 50 AS double) AS cy, 6e1 AS radius, 1e1 AS hole
+  cast(floor(s_suppkey / 32) * 100 + 50 AS double) AS cy, cast(60 AS double) AS radius, cast(10 AS double) AS hole
 FROM {supplier}
 """
 AREAS_DEGREES = """
 SELECT cast(s_suppkey AS string) AS geoid, s_suppkey % 3 = 0 AS holed,
-  -1225e-1 + s_suppkey % 32 * 2e-2 AS cx, 472e-1 + floor(s_suppkey / 32) * 2e-2 AS cy,
-  121e-4 AS radius, 2e-3 AS hole
+  cast(-122.5 AS double) + s_suppkey % 32 * cast(0.02 AS double) AS cx, cast(47.2 AS double) + floor(s_suppkey / 32) * cast(0.02 AS double) AS cy,
+  cast(0.0121 AS double) AS radius, cast(0.002 AS double) AS hole
 FROM {supplier}
 """
 

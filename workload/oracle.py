@@ -9,9 +9,9 @@ ORACLE: dict[str, str] = {}
 
 # Fixed values shared with the queries: names, codes and labels only.
 VARIABLE_NAMES = (
-    "pop housing pov1 pov2 foreign_born people_of_color1 people_of_color2 "
-    "lep1 lep2 lep3 lep4 disability1 disability2"
-).split()
+    "pop", "housing", "pov1", "pov2", "foreign_born", "people_of_color1", "people_of_color2",
+    "lep1", "lep2", "lep3", "lep4", "disability1", "disability2",
+)
 MEASURE_CASE = """CASE WHEN variable LIKE 'lep%' THEN 'lep' WHEN variable LIKE 'pov%' THEN 'pov'
   WHEN variable = 'foreign_born' THEN 'foreign_born' WHEN variable LIKE 'people%' THEN 'poc'
   WHEN variable LIKE 'disab%' THEN 'disability' WHEN variable = 'pop' THEN 'population'
@@ -400,9 +400,9 @@ jobs AS MATERIALIZED (SELECT * FROM {JOB_POINTS}),
 totals AS (SELECT geoid, cast(sum(people) AS bigint) AS jobs
   FROM {_hits('jobs', 'geo_sides', 'c_custkey, people')} GROUP BY 1),
 shapes AS (SELECT geoid, sum(x1 * y2 - x2 * y1) / 2 AS outer_minus_hole FROM (
-    SELECT g.geoid, CASE WHEN abs(n.x1 - a.cx) + abs(n.y1 - a.cy) < 7e-3 THEN -1 ELSE 1 END AS sign,
-      g.x1 - c.x AS x1, (g.y1 - c.y) * CASE WHEN abs(n.x1 - a.cx) + abs(n.y1 - a.cy) < 7e-3 THEN -1 ELSE 1 END AS y1,
-      g.x2 - c.x AS x2, (g.y2 - c.y) * CASE WHEN abs(n.x1 - a.cx) + abs(n.y1 - a.cy) < 7e-3 THEN -1 ELSE 1 END AS y2
+    SELECT g.geoid, CASE WHEN abs(n.x1 - a.cx) + abs(n.y1 - a.cy) < 0.007::DOUBLE THEN -1 ELSE 1 END AS sign,
+      g.x1 - c.x AS x1, (g.y1 - c.y) * CASE WHEN abs(n.x1 - a.cx) + abs(n.y1 - a.cy) < 0.007::DOUBLE THEN -1 ELSE 1 END AS y1,
+      g.x2 - c.x AS x2, (g.y2 - c.y) * CASE WHEN abs(n.x1 - a.cx) + abs(n.y1 - a.cy) < 0.007::DOUBLE THEN -1 ELSE 1 END AS y2
     FROM (SELECT a.geoid, a.i, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
       FROM (SELECT geoid, i, x, y FROM {_lambert('numbered', 'x1', 'y1', 'geoid, i')}) a
       JOIN (SELECT geoid, i, x, y FROM {_lambert('numbered', 'x2', 'y2', 'geoid, i')}) b USING (geoid, i)) g
@@ -477,12 +477,12 @@ def _quintile(measure: str, name: str) -> str:
 
 
 def _scores(measures: str) -> str:
-    return f"""(SELECT *, round(poc_quintile * 4e-1, 6) AS race_score,
-    round(pov_quintile * 3e-1, 6) AS pov_score, round(lep_quintile * 1e-1, 6) AS lep_score,
-    round(disability_quintile * 1e-1, 6) AS disability_score,
-    round(foreign_born_quintile * 1e-1, 6) AS foreign_born_score,
-    round_even(poc_quintile * 4e-1 + pov_quintile * 3e-1 + lep_quintile * 1e-1
-      + disability_quintile * 1e-1 + foreign_born_quintile * 1e-1, 0) AS final_score,
+    return f"""(SELECT *, round(poc_quintile * 0.4::DOUBLE, 6) AS race_score,
+    round(pov_quintile * 0.3::DOUBLE, 6) AS pov_score, round(lep_quintile * 0.1::DOUBLE, 6) AS lep_score,
+    round(disability_quintile * 0.1::DOUBLE, 6) AS disability_score,
+    round(foreign_born_quintile * 0.1::DOUBLE, 6) AS foreign_born_score,
+    round_even(poc_quintile * 0.4::DOUBLE + pov_quintile * 0.3::DOUBLE + lep_quintile * 0.1::DOUBLE
+      + disability_quintile * 0.1::DOUBLE + foreign_born_quintile * 0.1::DOUBLE, 0) AS final_score,
     2019 AS acs_year
   FROM (SELECT geoid, name,
     {_quintile('population_200_pct_below_poverty_line', 'pov_quintile')},
@@ -509,8 +509,8 @@ feed_rows AS MATERIALIZED (SELECT stop_id, stop_name, route_id, route_desc, '213
     CASE WHEN route_short_name IN ('A Line', 'C', 'Link light rail') THEN
       CASE route_short_name WHEN 'A Line' THEN '671' WHEN 'C' THEN '673' ELSE '599' END
       ELSE coalesce(route_short_name, '599') END AS route_short_name,
-    CASE WHEN stop_id IN ('46', '47') THEN 472041e-4 ELSE stop_lat END AS lat,
-    CASE WHEN stop_id IN ('46', '47') THEN -1224559e-4 ELSE stop_lon END AS lon
+    CASE WHEN stop_id IN ('46', '47') THEN 47.2041::DOUBLE ELSE stop_lat END AS lat,
+    CASE WHEN stop_id IN ('46', '47') THEN -122.4559::DOUBLE ELSE stop_lon END AS lon
   FROM (SELECT DISTINCT s.stop_id, stop_name, stop_lat, stop_lon, t.route_id
     FROM {cte(m.FEED['stops'])} s LEFT JOIN {cte(m.FEED['stop_times'])} st USING (stop_id)
     LEFT JOIN {cte(m.FEED['trips'])} t ON st.trip_id = t.trip_id
