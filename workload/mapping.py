@@ -151,37 +151,57 @@ FROM (
 ) AS l JOIN {supplier} AS s ON l_suppkey = s_suppkey
 """
 
+# Two service changes: the earlier one has half of the stops, a quarter of the trips and
+# other first days.
+CHANGE_OF_ORDER = "CASE WHEN {key} % 4 = 0 THEN '193' ELSE '213' END AS service_change_num"
+
+
+def _in_both(select: str, source: str, only_earlier: str = "true") -> str:
+    """Rows of a feed table in the later and, as far as they were there, in the earlier change."""
+    return f"""
+{select}, '213' AS service_change_num FROM {source}
+UNION ALL
+{select}, '193' AS service_change_num FROM {source} WHERE {only_earlier}
+"""
+
+
 FEED = {
-    "stops": """
-SELECT cast(p_partkey AS string) AS stop_id, p_name AS stop_name,
+    "stops": _in_both(
+        """SELECT cast(p_partkey AS string) AS stop_id, p_name AS stop_name,
   cast(47.2 AS double) + floor(floor(p_partkey / 20) / 32) * cast(0.02 AS double) + (p_partkey * 29 % 20 - 10) * cast(0.001 AS double) + cast(0.0005 AS double) AS stop_lat,
-  cast(-122.5 AS double) + floor(p_partkey / 20) % 32 * cast(0.02 AS double) + (p_partkey * 13 % 20 - 10) * cast(0.001 AS double) + cast(0.0005 AS double) AS stop_lon,
-  '213' AS service_change_num
-FROM {part}
-""",
-    "stop_times": """
+  cast(-122.5 AS double) + floor(p_partkey / 20) % 32 * cast(0.02 AS double) + (p_partkey * 13 % 20 - 10) * cast(0.001 AS double) + cast(0.0005 AS double) AS stop_lon""",
+        "{part}",
+        "p_partkey % 2 = 0",
+    ),
+    "stop_times": f"""
 SELECT cast(l_partkey AS string) AS stop_id, cast(l_orderkey AS string) AS trip_id,
-  '213' AS service_change_num
-FROM {lineitem}
+  {CHANGE_OF_ORDER.format(key="l_orderkey")}
+FROM {{lineitem}}
 """,
-    "trips": """
+    "trips": f"""
 SELECT cast(o_orderkey AS string) AS trip_id, cast(o_custkey % 25 AS string) AS route_id,
-  cast(o_custkey AS string) AS service_id, '213' AS service_change_num
-FROM {orders}
+  cast(o_custkey AS string) AS service_id, {CHANGE_OF_ORDER.format(key="o_orderkey")}
+FROM {{orders}}
 """,
     "calendar": """
 SELECT cast(c_custkey AS string) AS service_id,
   CASE WHEN c_custkey % 3 = 0 THEN date '2021-09-15' ELSE date '2021-10-09' END AS start_date,
   '213' AS service_change_num
 FROM {customer}
+UNION ALL
+SELECT cast(c_custkey AS string) AS service_id,
+  CASE WHEN c_custkey % 2 = 0 THEN date '2021-09-15' ELSE date '2021-10-02' END AS start_date,
+  '193' AS service_change_num
+FROM {customer}
 """,
-    "routes": """
-SELECT cast(n_nationkey AS string) AS route_id,
+    "routes": _in_both(
+        """SELECT cast(n_nationkey AS string) AS route_id,
   CASE n_nationkey WHEN 0 THEN 'A Line' WHEN 1 THEN 'Link light rail' WHEN 2 THEN NULL
     WHEN 3 THEN 'C' WHEN 4 THEN 'C' ELSE n_name END AS route_short_name,
-  n_name AS route_desc, '213' AS service_change_num
-FROM {nation}
-""",
+  n_name AS route_desc""",
+        "{nation}",
+        "n_nationkey <> 5",
+    ),
 }
 MOVED = ("46", "47")
 

@@ -505,19 +505,20 @@ FROM {cte(m.AREAS_FEET)} LEFT JOIN {SCORES} USING (geoid)"""
 
 # Literal left joins in feed order, then the repair, the projection and the renaming.
 FEED_ROWS = f"""
-feed_rows AS MATERIALIZED (SELECT stop_id, stop_name, route_id, route_desc, '213' AS service_change_num,
+feed_rows AS MATERIALIZED (SELECT stop_id, stop_name, route_id, route_desc, service_change_num,
     CASE WHEN route_short_name IN ('A Line', 'C', 'Link light rail') THEN
       CASE route_short_name WHEN 'A Line' THEN '671' WHEN 'C' THEN '673' ELSE '599' END
       ELSE coalesce(route_short_name, '599') END AS route_short_name,
     CASE WHEN stop_id IN ('46', '47') THEN 47.2041::DOUBLE ELSE stop_lat END AS lat,
     CASE WHEN stop_id IN ('46', '47') THEN -122.4559::DOUBLE ELSE stop_lon END AS lon
-  FROM (SELECT DISTINCT s.stop_id, stop_name, stop_lat, stop_lon, t.route_id
-    FROM {cte(m.FEED['stops'])} s LEFT JOIN {cte(m.FEED['stop_times'])} st USING (stop_id)
-    LEFT JOIN {cte(m.FEED['trips'])} t ON st.trip_id = t.trip_id
-    LEFT JOIN {cte(m.FEED['calendar'])} c ON t.service_id = c.service_id
+  FROM (SELECT DISTINCT service_change_num, stop_id, stop_name, stop_lat, stop_lon, route_id
+    FROM {cte(m.FEED['stops'])} s LEFT JOIN {cte(m.FEED['stop_times'])} st USING (stop_id, service_change_num)
+    LEFT JOIN {cte(m.FEED['trips'])} t USING (trip_id, service_change_num)
+    LEFT JOIN {cte(m.FEED['calendar'])} c USING (service_id, service_change_num)
     WHERE start_date > date '2021-10-01')
-  LEFT JOIN {cte(m.FEED['routes'])} r USING (route_id)
-  QUALIFY row_number() OVER (PARTITION BY stop_id, route_short_name ORDER BY route_id) = 1)"""
+  LEFT JOIN {cte(m.FEED['routes'])} r USING (route_id, service_change_num)
+  QUALIFY row_number() OVER (
+    PARTITION BY service_change_num, stop_id, route_short_name ORDER BY route_id) = 1)"""
 PLACED = _lambert(
     "feed_rows",
     "lon",
