@@ -185,3 +185,11 @@ def test_measure_by_place(spark):
     )
     got = places.measure_by_place(frame).collect()
     assert [tuple(r)[1:] for r in got] == [("Kitsap", "m", 5.0, 2.0, 3.0, 7.0), ("King", "m", 9.0, 1.0, 8.0, 10.0)]
+
+
+def test_platform_hours_come_in_order(spark):
+    from workload import mapping as m
+
+    got = ridership.annual_platform_hours(m.view(spark, "/root/testdata/sf0.001", m.ALL_TRIPS), 201)
+    order = [(r.SERVICE_RTE_NUM, r.SCHED_DAY_TYPE_CODED_NUM, r.TRIP_ID) for r in got.collect()]
+    assert len(order) > 10 and order == sorted(order, key=lambda t: [(v is not None, v) for v in t])

@@ -151,6 +151,17 @@ FROM (
 ) AS l JOIN {supplier} AS s ON l_suppkey = s_suppkey
 """
 
+# The stop table with its history: states, changes and last days of validity.
+STOP_HISTORY = """
+SELECT p_partkey AS STOP_ID, p_size % 4 AS STOP_STATUS_ID,
+  CASE WHEN p_partkey % 3 = 0 THEN 201 WHEN p_partkey % 11 <> 0 THEN 213 END AS CHANGE_NUM,
+  CASE WHEN p_partkey % 7 = 0 THEN 1 ELSE 0 END AS MINOR_CHANGE_NUM,
+  CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN date '2021-10-01'
+    WHEN p_partkey % 5 = 1 THEN date '2021-10-02' ELSE date '2099-12-31' END AS EFFECTIVE_END_DATE,
+  cast(p_partkey * 13 % 100 AS double) AS XCOORD_OFFSET, cast(p_partkey * 29 % 100 AS double) AS YCOORD_OFFSET
+FROM {part}
+"""
+
 # Two service changes: the earlier one has half of the stops, a quarter of the trips and
 # other first days.
 CHANGE_OF_ORDER = "CASE WHEN {key} % 4 = 0 THEN '193' ELSE '213' END AS service_change_num"

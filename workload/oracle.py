@@ -39,6 +39,10 @@ SELECT l_orderkey AS TRIP_ID, l_partkey AS STOP_ID, l_quantity AS PSNGR_BOARDING
 FROM lineitem WHERE l_quantity <> 13"""
 ORACLE["active_routes"] = f"""
 SELECT * FROM {cte(m.ROUTES)} WHERE IS_ACTIVE_FLAG = 1 AND SERVICE_TYPE_CD <> 'DART'"""
+ORACLE["current_stops"] = f"""
+SELECT STOP_ID, XCOORD_OFFSET, YCOORD_OFFSET FROM {cte(m.STOP_HISTORY)}
+WHERE STOP_STATUS_ID = 3 AND CHANGE_NUM = 213 AND MINOR_CHANGE_NUM = 0
+  AND EFFECTIVE_END_DATE >= date '2021-10-02'"""
 ORACLE["select_cols"] = "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem"
 ORACLE["drop_cols"] = """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_returnflag, l_linestatus

@@ -663,6 +663,11 @@ def routes_without_passups(t):
     return passups.routes_without_passups(t.view(m.ALL_ROUTES), _events(t))
 
 
+@query
+def current_stops(t):
+    return passups.current_stops(t.view(m.STOP_HISTORY), 3, 213, "2021-10-02")
+
+
 @query
 def passups_by_stop(t):
     return passups.passups_by_stop(_events(t), t.view(m.STOPS), t.view(m.DATES))
