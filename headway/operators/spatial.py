@@ -110,7 +110,7 @@ def _levelled(polygons: DataFrame) -> DataFrame:
     """Polygons with ``__box``, their sides, and ``__lx``, ``__ly``: the levels of their own
     box, a box of many sides being cut into bands of height."""
     wide, high = F.col("__box.xmax") - F.col("__box.xmin"), F.col("__box.ymax") - F.col("__box.ymin")
-    bands = F.ceil(F.size("__sides") / BAND_SIDES)
+    bands = F.greatest(F.ceil(F.size("__sides") / BAND_SIDES), F.lit(1))
     # Nothing computed of a shape may be missing, and no filter may ask for it: the optimizer
     # would work out the shape once more for each. A shape without extent has no level.
     found = box("rings")
