@@ -6,11 +6,15 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the library relies on. Skewed join keys are split by
-# adaptive execution, also where that costs the next operator a shuffle.
+# adaptive execution, also where that costs the next operator a shuffle. Shuffles start
+# with many partitions and are merged to small ones: a task sorts and hashes all rows of
+# its partition, some 30 times the size of the compressed shuffle blocks.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "400",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
