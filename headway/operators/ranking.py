@@ -29,6 +29,8 @@ LEVEL_BITS = 14
 LEVELS = 4
 # Parts in which the first rows of a group are found before they meet.
 PARTS = 64
+# Rows up to which a group is put in order as a whole, in one task.
+GROUP_ROWS = 100_000
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
@@ -210,11 +212,45 @@ def ntile(
     tie in the value and ``tiebreak`` are divided arbitrarily, so bucket sizes always
     differ by at most one.
 
-    Only the first row of each bucket is looked for, for all columns at once; a row's bucket
-    then follows from comparing it with those few. Rows equal in every column, of which a
-    bucket takes only some, are counted and written out again by their number. With
+    Groups of at most GROUP_ROWS rows are put in order by a window. In larger ones, and
+    without ``keys``, only the first row of each bucket is looked for, for all columns at once;
+    a row's bucket then follows from comparing it with those few. Rows equal in every column, of
+    which a bucket takes only some, are counted and written out again by their number. With
     ``all_differ`` the caller states that there are none, which saves reading ``df`` for them.
     """
+    if not keys:
+        return _spread_ntile(df, columns, n, keys, tiebreak, all_differ)
+    large = df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > GROUP_ROWS)
+    few = _window_ntile(join(df, large, by=list(keys), how="anti"), columns, n, keys, tiebreak, all_differ)
+    many = _spread_ntile(join(df, large, by=list(keys), how="semi"), columns, n, keys, tiebreak, all_differ)
+    return few.unionByName(many)
+
+
+def _window_ntile(
+    df: DataFrame, columns: Mapping[str, str], n: int, keys: Sequence[str], tiebreak: Sequence[str], all_differ: bool
+) -> DataFrame:
+    """``ntile`` of groups that one task can order. Rows that the order does not tell apart
+    share the last one's bucket with ``all_differ``, as they do in large groups."""
+    held = df.withColumn("__hash", _row_hash(df))
+    results = []
+    for i, (out, c) in enumerate(columns.items()):
+        held = held.withColumn(f"__here{i}", _present(df, c))
+        group = Window.partitionBy(*_cols(keys), f"__here{i}")
+        line = group.orderBy(*_cols([c, *tiebreak]), "__hash")
+        upto = F.count(F.lit(1)).over(line.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        held = held.withColumns({f"__rank{i}": upto if all_differ else F.row_number().over(line), f"__total{i}": F.count(F.lit(1)).over(group)})
+        rank, each, more = F.col(f"__rank{i}"), F.floor(F.col(f"__total{i}") / n), F.col(f"__total{i}") % n
+        # The first ``more`` buckets have a row more than ``each``.
+        bucket = F.when(rank <= more * (each + 1), F.ceil(rank / (each + 1))).otherwise(more + F.ceil((rank - more * (each + 1)) / F.greatest(each, F.lit(1))))
+        results.append(F.when(F.col(f"__here{i}"), bucket).cast("int").alias(out))
+    done = held.select(*_cols([c for c in df.columns if c not in columns]), *results)
+    return done.select(*_cols(df.columns), *_cols([o for o in columns if o not in df.columns]))
+
+
+def _spread_ntile(
+    df: DataFrame, columns: Mapping[str, str], n: int, keys: Sequence[str], tiebreak: Sequence[str], all_differ: bool
+) -> DataFrame:
+    """``ntile`` by the first rows of the buckets, with no group in one task."""
     names = list(columns.values())
     rows = df.withColumn("__hash", _row_hash(df))
     orders = {f"__place{i}": [c, *tiebreak] for i, c in enumerate(names)}

@@ -193,3 +193,15 @@ def test_building_starts_no_job(spark, skewed):
     started = spark.sparkContext.statusTracker().getJobIdsForGroup("build")
     spark.sparkContext.setJobGroup("other", "other")
     assert not started
+
+
+@pytest.mark.parametrize("all_differ", [True, False])
+def test_groups_ordered_whole_get_the_buckets_of_spread_ones(spark, monkeypatch, all_differ):
+    """Missing keys and values, NaN, rows that come twice, groups smaller than the bucket number."""
+    data = [(k, v, i) for i in range(60) for k, v in [("a", float(i % 7)), (None, float(-i)), ("b" if i < 3 else "c", None if i % 5 == 0 else float("nan") if i % 4 == 0 else i / 2)]]
+    frame = spark.createDataFrame([*data, *data[:40]], "g string, v double, id long")
+    found = []
+    for most in (1000, 90, 0):  # all groups in one way, some in either, all in the other
+        monkeypatch.setattr(ranking, "GROUP_ROWS", most)
+        found.append([str(r) for r in rows(ranking.ntile(frame, {"q": "v", "p": "id"}, 5, ["g"], ["id"], all_differ))])
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(data) + 40
