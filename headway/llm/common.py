@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import json
 import re
 import tempfile
@@ -261,9 +262,21 @@ def encoder(path: str, plain: bool = False) -> Encoder:
     return Encoder(path, plain)
 
 
+def give_back() -> None:
+    """Return memory that is free but still held by this process to the system.
+
+    A Python worker serves task after task and step after step; what the allocators keep of
+    one step would add to all that the executor holds in the next.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every system's library has it
+    if trim:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, rows: int = 2500, size: int = 1 << 24):
     """Parts of at most ``rows`` rows and about ``size`` bytes of text, however long one text
-    is, so that what a task holds at once stays small."""
+    is, so that what a task holds at once stays small; afterwards free memory is given back."""
     if not batch.num_rows:
         return
     weight = np.full(batch.num_rows, -(-size // rows), np.int64)
@@ -273,3 +286,4 @@ def slices(batch: pa.RecordBatch, rows: int = 2500, size: int = 1 << 24):
     cuts = np.flatnonzero(np.diff(np.cumsum(weight) // size)) + 1
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
         yield batch.slice(a, b - a)
+    give_back()

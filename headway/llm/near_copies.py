@@ -130,7 +130,7 @@ def described(rows: DataFrame, width: int) -> DataFrame:
         import xxhash
 
         for batch in batches:
-            for part in slices(batch, 1000):
+            for part in slices(batch, 1000, 1 << 22):
                 sets = shingle_sets(part.column("text"), width)
                 names = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 made: dict[bytes, tuple] = {n: signature(s) for n, s in zip(names, sets) if n}
@@ -174,7 +174,7 @@ def full_sets(needed: DataFrame, about: DataFrame, rows: DataFrame, width: int,
         import xxhash
 
         for batch in batches:
-            for part in slices(batch, 1000):
+            for part in slices(batch, 1000, 1 << 22):
                 sets = shingle_sets(part.column(0), width)
                 yield pa.RecordBatch.from_arrays(
                     [

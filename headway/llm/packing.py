@@ -143,7 +143,7 @@ def pieces_of(
     def cut(batches):
         encode = encoder(tokenizer)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 1000, 1 << 22):
                 counts, flat = encode(part.column(1))
                 ends = np.cumsum(counts)
                 rows = [[], [], [], [], []]
