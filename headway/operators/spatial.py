@@ -106,6 +106,12 @@ def _cell(value: Column, level: Column) -> Column:
     return F.floor(value / _side(level))
 
 
+def _point_cells(across: str, up: str) -> list[Column]:
+    """Cell of a point in ``__grid``; NO_CELL for a missing coordinate."""
+    numbers = {across: _cell(F.col("x"), F.col("__grid.lx")), up: _cell(F.col("y"), F.col("__grid.ly"))}
+    return [F.coalesce(number, F.lit(NO_CELL)).alias(name) for name, number in numbers.items()]
+
+
 def _levelled(polygons: DataFrame) -> DataFrame:
     """Polygons with ``__box``, their sides, and ``__lx``, ``__ly``: the levels of their own
     box, a box of many sides being cut into bands of height."""
@@ -158,15 +164,15 @@ def _candidates(polygons: DataFrame, points: DataFrame, shuffled: bool) -> tuple
     some = lambda c: F.when(F.col("__lx") != NO_LEVEL, c)
     middle = [F.floor(F.percentile(some(F.col(level)), 0.5)).cast("int") for level in ("__lx", "__top")]
     grid = levelled.agg(F.struct(middle[0].alias("lx"), middle[1].alias("ly"))).scalar()
-    grid = F.coalesce(grid, F.struct(F.lit(0).alias("lx"), F.lit(0).alias("ly")))
+    grid = F.struct(*[F.coalesce(grid[c], F.lit(0)).alias(c) for c in ("lx", "ly")])
     held = levelled.withColumn("__grid", grid)
     cells = _gridded(held, F.col("__grid")).drop("__grid")
     level = F.struct(F.greatest("__lx", "__grid.lx").alias("px"), F.greatest("__ly", "__grid.ly").alias("py"))
     levels = held.agg(F.array_sort(F.collect_set(some(level)))).scalar()
-    full = points.withColumn("__grid", grid).select(
-        _cell(F.col("x"), F.col("__grid.lx")).alias("__fx"), _cell(F.col("y"), F.col("__grid.ly")).alias("__fy"), "__grid"
-    )
-    full = full.where("__fx IS NOT NULL AND __fy IS NOT NULL").distinct()
+    # Numbers instead of missing cells and levels: a filter on them, also one that the optimizer
+    # makes of the join, would work out the (possibly long) coordinate expressions many times
+    # over. The join leaves such cells out.
+    full = points.withColumn("__grid", grid).select(*_point_cells("__fx", "__fy"), "__grid").distinct()
     looked = full.withColumn("__level", F.explode(levels)).select(
         "__fx", "__fy", F.col("__level.px").alias("__px"), F.col("__level.py").alias("__py"),
         F.expr("shiftright(__fx, __level.px - __grid.lx)").alias("__cx"),
@@ -229,8 +235,7 @@ def spatial_join(
         "y",
         F.coalesce("x", nowhere).alias("__x"),
         F.coalesce("y", nowhere).alias("__y"),
-        F.coalesce(_cell(F.col("x"), F.col("__grid.lx")), F.lit(NO_CELL)).alias("__px"),
-        F.coalesce(_cell(F.col("y"), F.col("__grid.ly")), F.lit(NO_CELL)).alias("__py"),
+        *_point_cells("__px", "__py"),
     )
     x, y, b = F.col("__x"), F.col("__y"), F.col("__box")
     holds = (

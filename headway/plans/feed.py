@@ -68,22 +68,23 @@ def stops_by_route(
     handled side by side. Where a stop and name occur with several route ids the
     lowest id is kept.
     """
-    pairs = route_stop_pairs(feed, start_after)
-    placed = join(feed["stops"], pairs, how="inner")
-    named = join(placed, feed["routes"], how="left")
-    once = first_rows(
-        named, ["service_change_num", "stop_id", "route_short_name"], ["route_id"]
-    )
     on_water = is_in("stop_id", moved)
     lat, lon = moved_to
-    repaired = once.withColumns(
+    repaired = feed["stops"].withColumns(
         {
             "stop_lat": first_match([(on_water, F.lit(lat))], F.col("stop_lat")),
             "stop_lon": first_match([(on_water, F.lit(lon))], F.col("stop_lon")),
         }
     )
+    # Each stop is projected once, not once per route that serves it.
     points = project(as_points(repaired, "stop_lon", "stop_lat", 4326), epsg)
-    numbered = points.withColumn("route_short_name", recode("route_short_name", ROUTE_NUMBERS))
+    placed = join(points, route_stop_pairs(feed, start_after), how="inner")
+    named = join(placed, feed["routes"], how="left")
+    # The key of many values comes first: sorting compares it first.
+    once = first_rows(
+        named, ["stop_id", "service_change_num", "route_short_name"], ["route_id"]
+    )
+    numbered = once.withColumn("route_short_name", recode("route_short_name", ROUTE_NUMBERS))
     return replace_na(numbered, {"route_short_name": UNNAMED_ROUTE}).select(
         "stop_id",
         "stop_name",

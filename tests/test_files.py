@@ -116,6 +116,16 @@ def test_feed_to_stops(spark, tmp_path):
     assert (dock["x"], dock["y"]) == pytest.approx((1237465.518, 189692.311), abs=0.001)
 
 
+def test_each_stop_is_projected_once(spark, tmp_path):
+    """The projection lies below the joins, where a stop has one row and not one per route."""
+    write_feed(tmp_path / "213_gtfs.zip", FEED_FILES)
+    got = stops_by_route(archives.read_gtfs(spark, str(tmp_path)))
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    projected = [i for i, line in enumerate(plan) if "TAN(" in line]
+    assert len(projected) == 1
+    assert projected[0] > next(i for i, line in enumerate(plan) if "Join" in line)
+
+
 def test_polygon_layers(spark, tmp_path):
     ring = [list(map(float, p)) for p in SQUARE]
     hole = [list(map(float, p)) for p in HOLE][::-1]

@@ -222,6 +222,19 @@ def test_empty_layers_and_shapes_without_extent(spark):
     assert rows(spatial.spatial_join(flat, points, "contains", key="area").select("area", "id")) == [("line", None), ("none", None)]
 
 
+def test_projection_is_not_worked_out_in_filters(spark):
+    """A filter on computed coordinates repeats the whole projection for every row."""
+    degrees = point_table(spark, [(-122.463845, 47.508329), None, (float("nan"), 47.5)], 4326)
+    feet = spatial.project(degrees, 2926)
+    corner = (1237465.0, 189692.0)
+    square = polygon_table(spark, {"a": [[(corner[0] + 4 * x, corner[1] + 4 * y) for x, y in SQUARE]]})
+    got = spatial.spatial_join(feet, square)
+    assert rows(got.select("id", "area")) == [(0, "a"), (1, None), (2, None)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "TAN(" in plan
+    assert not [line for line in plan.splitlines() if "Filter" in line and "TAN(" in line]
+
+
 def test_areas(spark):
     frame = polygon_table(spark, {"a": [SQUARE, SQUARE[::-1]], "h": [SQUARE, HOLE], "m": [SQUARE, [(10, 0), (12, 0), (12, 2), (10, 2), (10, 0)]]})
     got = frame.select("area", polygon_area("rings"), F.size(parts("rings")))
