@@ -140,6 +140,10 @@ def gathered(index: np.ndarray, bounds: np.ndarray, firsts: np.ndarray, sizes: n
     return np.diff(np.r_[0, ends][bounds]), pool[at]
 
 
+# Words that an encoder remembers with their ids, and bytes of the longest of them.
+KNOWN_WORDS, KNOWN_LENGTH = 1 << 17, 64
+
+
 class Encoder:
     """Token ids of texts by a tokenizers file; with ``plain``, the strings of special tokens
     are ordinary text.
@@ -152,7 +156,8 @@ class Encoder:
     separates words and the ids of a text are those of its words in order. Then the
     distinct words of a batch are encoded: letters with or without marks behind, nearly
     all, go through the vocabulary's model in one go, the rest one by one through the whole
-    tokenizer. Other vocabularies get the whole texts.
+    tokenizer. The first KNOWN_WORDS words met are remembered and not encoded again in later
+    batches. Other vocabularies get the whole texts.
     """
 
     def __init__(self, path: str, plain: bool = False):
@@ -173,6 +178,8 @@ class Encoder:
         if suffix and '"Lowercase"' in steps and '"ByteLevel"' in steps:
             self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
             self.ends[[i for w, i in self.tokenizer.get_vocab().items() if w.endswith(suffix)]] = True
+            self.known, self.known_ids = pa.array([], pa.string()), np.zeros(0, np.uint32)
+            self.known_firsts = self.known_sizes = np.zeros(0, np.int64)
             self.model = Tokenizer(self.tokenizer.model)
             self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
             level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -211,6 +218,28 @@ class Encoder:
         firsts[~mask] = len(pool) + np.cumsum(sizes[~mask]) - sizes[~mask]
         return firsts, sizes, np.concatenate([pool, *other])
 
+    def _remembered(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``_words``, encoding only what is not known yet."""
+        at = pc.index_in(words, value_set=self.known)
+        new = np.asarray(pc.is_null(at), bool)
+        fresh, old = words.filter(pa.array(new)), np.asarray(pc.drop_null(at), np.int64)
+        firsts, sizes = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        firsts[~new], sizes[~new] = self.known_firsts[old], self.known_sizes[old]
+        if not len(fresh):
+            return firsts, sizes, self.known_ids
+        found, counts, ids = self._words(fresh)
+        firsts[new], sizes[new] = len(self.known_ids) + found, counts
+        pool = np.concatenate([self.known_ids, ids])
+        short = np.flatnonzero(np.asarray(pc.binary_length(fresh)) <= KNOWN_LENGTH)[: max(0, KNOWN_WORDS - len(self.known))]
+        if len(short):
+            more = gathered(short, np.array([0, len(short)]), found, counts, ids)[1]
+            begins = len(self.known_ids) + np.cumsum(counts[short]) - counts[short]
+            self.known = pa.concat_arrays([self.known, fresh.take(pa.array(short))])
+            self.known_firsts = np.r_[self.known_firsts, begins]
+            self.known_sizes = np.r_[self.known_sizes, counts[short]]
+            self.known_ids = np.concatenate([self.known_ids, more])
+        return firsts, sizes, pool
+
     def _units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first id, number of ids) of each distinct unit in the pool of ids, and the pool."""
         mask = np.asarray(pc.match_substring_regex(units, "^ [^ \\t\\r\\n]"), bool)
@@ -253,7 +282,7 @@ class Encoder:
             return np.array([len(x) for x in found], np.int64), np.concatenate([*found, np.zeros(0, np.uint32)])
         lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
-        return gathered(coded.indices.to_numpy(zero_copy_only=False), lists.offsets.to_numpy(), *self._words(coded.dictionary))
+        return gathered(coded.indices.to_numpy(zero_copy_only=False), lists.offsets.to_numpy(), *self._remembered(coded.dictionary))
 
 
 @lru_cache(maxsize=2)

@@ -55,6 +55,22 @@ def vocabulary():
     return queries.word_vocabulary()
 
 
+def test_known_words_are_not_encoded_again(monkeypatch):
+    for room in (1 << 17, 3):
+        monkeypatch.setattr("headway.llm.common.KNOWN_WORDS", room)
+        encoder, asked = Encoder(vocabulary()), []
+        whole = encoder._words
+        monkeypatch.setattr(encoder, "_words", lambda words: asked.append(words.to_pylist()) or whole(words))
+        for texts in (["Über den Fluss, über", "x1 y2 " + "long" * 40], ["y2 den neu,"], ["den y2 " + "long" * 40]):
+            counts, ids = encoder(pa.array(texts, pa.string()))
+            want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            assert counts.tolist() == [len(w) for w in want]
+            assert ids.tolist() == [i for w in want for i in w]
+        if room > 3:
+            assert asked[1:] == [["neu,"], ["long" * 40]]
+        assert len(encoder.known) <= room
+
+
 def test_encoder_equals_whole_text_encoding():
     encoder = Encoder(vocabulary())
     texts = [r[1] or "" for r in ROWS] + ["It's <|endoftext|>x. A.B 3,4 x%%% ÀÉ.", "ﬁ e\u0301t Σς"]
