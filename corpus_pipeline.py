@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm.common import stored
+from headway.llm.common import small_batches, stored
 from headway.llm.exact_copies import without_copies
 from headway.llm.language import fit, predicted
 from headway.llm.mixing import mixed
@@ -20,6 +20,7 @@ from headway.llm.queries import held_out, table, word_vocabulary
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with confidence; texts without a letter go."""
+    small_batches(spark)
     model = fit(docs.where(~F.coalesce(held_out(), F.lit(False))))
     found = docs.select(F.struct(*docs.columns).alias("doc"), predicted(F.col("text"), model).alias("found"))
     return found.where((F.col("found.lang") != "und") & ~F.col("found.rejected")).select("doc.*")

@@ -303,6 +303,16 @@ def give_back() -> None:
         trim(0)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of about 4 MB, not of 10,000 rows, so that neither an
+    executor's buffers nor a worker hold more, however long the texts are.
+
+    The setting stays with the session: what an operator returns runs later. It counts
+    bytes, so short rows still go 10,000 at a time.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def slices(batch: pa.RecordBatch, rows: int = 2500, size: int = 1 << 24):
     """Parts of at most ``rows`` rows and about ``size`` bytes of text, however long one text
     is, so that what a task holds at once stays small; afterwards free memory is given back."""

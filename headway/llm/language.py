@@ -173,7 +173,7 @@ def predicted(text: Column, model: LanguageModel | None) -> Column:
 
     def predict(texts: pa.Array) -> pa.Array:
         parts = []
-        for some in slices(pa.RecordBatch.from_arrays([texts], ["text"]), 1000, 1 << 21):
+        for some in slices(pa.RecordBatch.from_arrays([texts], ["text"]), 1000, 1 << 20):
             part = some.column(0)
             letters = pc.fill_null(pc.match_substring_regex(part, r"\p{L}"), False).to_numpy(zero_copy_only=False)
             lang, score = np.full(len(part), UNKNOWN, object), np.zeros(len(part))

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import ROW, packed, slices, stored, unpacked
+from headway.llm.common import ROW, packed, slices, small_batches, stored, unpacked
 
 HASHES, BAND_ROWS, LOW_BITS = 240, 6, 4
 # Minima of the longer signature that sets in unsettled buckets get for a closer estimate.
@@ -371,6 +371,7 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     both id and text are all kept or all dropped, also in ``first``. Input columns named like a result are
     replaced by it.
     """
+    small_batches(docs.sparkSession)
     row = F.col(ROW)
     whole = docs.select(packed(docs))
     keyed = whole.select(ROW, row[id_col].cast("long").alias("id"), F.coalesce(row[text_col], F.lit("")).alias("text"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import encoder, slices, stored
+from headway.llm.common import encoder, slices, small_batches, stored
 
 GRAIN = 4
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
@@ -143,7 +143,7 @@ def pieces_of(
     def cut(batches):
         encode = encoder(tokenizer)
         for batch in batches:
-            for part in slices(batch, 1000, 1 << 22):
+            for part in slices(batch, 1000, 1 << 20):
                 counts, flat = encode(part.column(1))
                 ends = np.cumsum(counts)
                 rows = [[], [], [], [], []]
@@ -170,6 +170,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048, id_co
     have no gaps.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     width = id_bytes(tokenizer, end_id)
     made = stored(pieces_of(docs, tokenizer, end_id, length, id_col, text_col, width), "pieces")
     units = F.ceil(F.col("length") / GRAIN).cast("int")
